@@ -1,0 +1,35 @@
+"""Intermediate tables in the folder that all executors share.
+
+A written table cuts lineage and survives lost executors: its readers never
+recompute what stands before it.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir of the session; where it is unset (tests), a new local folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """Write df as Parquet into the shared folder and return the written table."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_within(df: DataFrame, rows: int, most: int) -> DataFrame:
+    """Hint a broadcast only where the counted rows are within the bound."""
+    return F.broadcast(df) if rows <= most else df
