@@ -5,11 +5,15 @@ from __future__ import annotations
 from tidemark.llm.decontaminate import op5_decontaminate
 from tidemark.llm.rules import op6_quality_rules
 from tidemark.llm.secrets import op1_secret_scan
+from tidemark.llm.simhash import op2_simhash
+from tidemark.llm.substrings import op10_substring_dedup
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_simhash": op2_simhash,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality_rules": op6_quality_rules,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {}
