@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 from tidemark.llm.decontaminate import op5_decontaminate
+from tidemark.llm.lines import op4_line_dedup
+from tidemark.llm.oracles import ORACLE
+from tidemark.llm.pieces import op8_sentencepiece
+from tidemark.llm.quality import op9_quality_classifier
 from tidemark.llm.rules import op6_quality_rules
 from tidemark.llm.secrets import op1_secret_scan
 from tidemark.llm.simhash import op2_simhash
@@ -11,9 +15,12 @@ from tidemark.llm.substrings import op10_substring_dedup
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash": op2_simhash,
+    "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality_rules": op6_quality_rules,
+    "op8_sentencepiece": op8_sentencepiece,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

@@ -122,4 +122,4 @@ def apply_rules(
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply_rules(read_table(spark, sf_dir, "documents"))
+    return apply_rules(read_table(spark, sf_dir, "documents")).drop("host_rate")
