@@ -5,10 +5,10 @@ from __future__ import annotations
 from tidemark.llm.lines import OP4_SQL
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _ITEM_WORDS = (
     rf"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UP}', '{_LOW}'), "
-    r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"
+    r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 )
 
 OP5_SQL = f"""
@@ -37,7 +37,7 @@ FROM docs LEFT JOIN cover USING (r) LEFT JOIN items_of USING (r)
 OP6_SQL = rf"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t, {_WORDS} AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ),
 wins AS (SELECT r, i, list_slice(w, i, i + 7) AS win FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM docs WHERE len(w) >= 8)),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.decontaminate import op5_decontaminate
 from tidemark.llm.lines import op4_line_dedup
+from tidemark.llm.lm import op3_lm_scores
 from tidemark.llm.oracles import ORACLE
 from tidemark.llm.pieces import op8_sentencepiece
 from tidemark.llm.quality import op9_quality_classifier
@@ -15,6 +16,7 @@ from tidemark.llm.substrings import op10_substring_dedup
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_simhash": op2_simhash,
+    "op3_lm_scores": op3_lm_scores,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality_rules": op6_quality_rules,
