@@ -1,18 +1,68 @@
-"""Corpus pipeline: STAGES are applied to `documents` in order, each on what its predecessor kept."""
+"""Corpus pipeline: STAGES are applied to `documents` in order, each on what its predecessor kept.
+
+All stages but the last return the columns of `documents`; n_chars follows the text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm.decontaminate import find_contamination
+from tidemark.llm.lines import drop_boilerplate
+from tidemark.llm.pieces import MODEL, encode
+from tidemark.llm.quality import keep_accepted, train
+from tidemark.llm.simhash import drop_near_duplicates
+from tidemark.llm.stage import staged
+from tidemark.llm.text import read_table, row_key
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the classifier, learned from `labels`, rejects."""
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return keep_accepted(docs, train(docs, labels))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts boilerplate lines of each source from its documents; all documents stay."""
+    cut = drop_boilerplate(docs)
+    length = F.length("text").cast(dict(docs.dtypes)["n_chars"])
+    return cut.select(*[F.when(F.col("_n_dropped") > 0, length).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near-duplicates, the one with the smallest doc_id."""
+    return drop_near_duplicates(docs)
 
-STAGES: list = []
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a window of a benchmark item."""
+    marked = find_contamination(docs, read_table(spark, sf_dir, "benchmark"), keep_key=True)
+    bad = marked.where("contaminated").select(F.col("key").alias("_row_key")).distinct()
+    keyed = docs.withColumn("_row_key", row_key(F.col("doc_id"), F.col("text")))
+    return keyed.join(bad, "_row_key", "left_anti").select(*docs.columns)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_pieces and the sampled pieces of each document that is left."""
+    return encode(docs, MODEL)
+
+
+STAGES = [
+    ("quality", quality),
+    ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("pieces", pieces),
+]
+
+#: Classifier, fingerprints and pieces are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the last stage."""
-    from tidemark.llm.stage import staged
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Rows of the last stage over the whole documents table."""
+    docs = read_table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:

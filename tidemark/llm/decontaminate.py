@@ -90,9 +90,9 @@ def occurrences(docs: DataFrame, windows: DataFrame, few: bool, size: int) -> Da
 
 
 def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, size: int = 10, broadcast_windows: int = 200_000
+    docs: DataFrame, benchmark: DataFrame, size: int = 10, broadcast_windows: int = 200_000, keep_key: bool = False
 ) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hit_words of every row of docs (doc_id, text).
+    """doc_id, [key,] n_words, n_hit, n_items, items_sha256, contaminated, hit_words of every row of docs (doc_id, text).
 
     hit_words: the positions of the words inside a window, ascending.
     """
@@ -119,6 +119,7 @@ def find_contamination(
     hit = F.coalesce("hit_words", F.array().cast("array<int>"))
     return rows.join(spots, "key", "left").select(
         "doc_id",
+        *["key"] * keep_key,
         "n_words",
         F.size(hit).cast("bigint").alias("n_hit"),
         F.size(items).cast("bigint").alias("n_items"),

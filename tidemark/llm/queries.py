@@ -7,6 +7,7 @@ from tidemark.llm.lines import op4_line_dedup
 from tidemark.llm.lm import op3_lm_scores
 from tidemark.llm.oracles import ORACLE
 from tidemark.llm.pieces import op8_sentencepiece
+from tidemark.llm.pii import op7_pii
 from tidemark.llm.quality import op9_quality_classifier
 from tidemark.llm.rules import op6_quality_rules
 from tidemark.llm.secrets import op1_secret_scan
@@ -20,6 +21,7 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_quality_rules": op6_quality_rules,
+    "op7_pii": op7_pii,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_substring_dedup": op10_substring_dedup,
