@@ -6,5 +6,53 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+from tidemark.plans import jobs
+from tidemark.plans.sql import ctes
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "clean_inspections": jobs.clean_inspections,
+    "clean_crashes": jobs.clean_crashes,
+    "change_candidates": jobs.candidates,
+    "quarantine": jobs.quarantine,
+    "exclusion_counts": jobs.exclusion_counts,
+    "event_versions": jobs.versions,
+    "retention_expiries": jobs.retention_expiries,
+    "events_union": jobs.events_union,
+    "incident_segments": jobs.incident_segments,
+    "current_events": jobs.current_events,
+    "scoring_grid": jobs.scoring_grid,
+    "features_6m_24m": jobs.features_6m_24m,
+}
+
+_VERSION_COLUMNS = """feed_name, source_record_key, event_date, reported_date, knowledge_valid_from, knowledge_valid_to, availability_quality,
+first_observed_at, is_deleted, deletion_reason, is_current, first_seen AS first_seen_batch_id, last_seen AS last_seen_batch_id, event_type, usdot_number,
+source_add_at, source_change_at, is_model_eligible, exclusion_reason, record_hash, state, violation_count, oos_violation_count, report_state,
+report_number, report_time, report_seq_no, fatalities, injuries, tow_away, event_version_key,
+lag(event_version_key) OVER w AS predecessor_version_key, lead(event_version_key) OVER w AS superseded_by_version_key"""
+
+ORACLE: dict[str, str] = {
+    "clean_inspections": ctes("clean_inspections") + "SELECT * FROM clean_inspections",
+    "clean_crashes": ctes("clean_crashes") + "SELECT * FROM clean_crashes",
+    "change_candidates": ctes("candidates") + "SELECT * FROM candidates",
+    "quarantine": ctes("candidates")
+    + """SELECT batch_id, source_row_number, feed_name, source_record_key, parse_reasons FROM clean_inspections WHERE len(parse_reasons) > 0
+UNION ALL SELECT batch_id, source_row_number, feed_name, source_record_key, parse_reasons FROM clean_crashes WHERE len(parse_reasons) > 0""",
+    "exclusion_counts": ctes("candidates")
+    + """SELECT feed_name, coalesce(exclusion_reason, 'other') AS exclusion_reason, count(*) AS n_rows, count(DISTINCT source_record_key) AS n_keys
+FROM candidates WHERE NOT is_model_eligible GROUP BY ALL""",
+    "event_versions": ctes("versions")
+    + f"SELECT {_VERSION_COLUMNS} FROM versions WINDOW w AS (PARTITION BY feed_name, source_record_key ORDER BY first_observed_at, is_deleted)",
+    "retention_expiries": ctes("i_expired")
+    + """SELECT source_record_key, batch_id, md5(concat_ws('|', first_seen, 'inspections', source_record_key, 'false')) AS event_version_key,
+observed_at, retention_cutoff FROM i_expired""",
+    "events_union": ctes("union_events") + "SELECT * FROM union_events",
+    "incident_segments": ctes("incidents") + "SELECT * FROM incidents",
+    "current_events": ctes("union_events", "incidents")
+    + """SELECT * FROM union_events WHERE is_current AND NOT is_deleted AND event_type = 'inspection'
+UNION ALL SELECT event_key, event_version_key, 'crash', carrier_crash_key, usdot_number, event_date, reported_date, report_lag_days, state, NULL, NULL,
+fatalities, injuries, tow_away, knowledge_valid_from, knowledge_valid_to, is_current, is_deleted, deletion_reason, record_hash
+FROM incidents WHERE is_current AND NOT is_deleted""",
+    "scoring_grid": """SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH))::DATE
+AS scoring_date FROM orders""",
+    "features_6m_24m": ctes("features") + "SELECT * REPLACE (violations_per_inspection::DOUBLE AS violations_per_inspection, oos_violation_rate::DOUBLE AS oos_violation_rate) FROM features",
+}
