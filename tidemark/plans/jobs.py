@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import clean, features, history, incidents
-from tidemark.sources import tables
+from tidemark.functions import keys, parse
+from tidemark.operators import checks, clean, dataset, evaluate, features, history, incidents, maturity, profile, train
+from tidemark.sources import files, tables
 from tidemark.sources.staging import staged
+from tidemark.streaming import arrivals
 
 
 def batches(spark: SparkSession) -> DataFrame:
@@ -67,3 +71,293 @@ def features_6m_24m(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rates(df: DataFrame) -> DataFrame:
     """Exact ratios as doubles, for comparison across engines."""
     return df.withColumns({c: F.col(c).cast("double") for c in ("violations_per_inspection", "oos_violation_rate")})
+
+
+#: What is known of crashes at this day is what labels and maturity rest on.
+AS_OF = date(2001, 9, 5)
+CUTOFF = date(2001, 9, 1)
+LANDMARKS = ["1996-02-01", "1997-09-01", "2001-06-01"]
+
+
+def parse_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every parser over text made from order keys: plain, signed, zero-padded, decimal, blank and broken."""
+    k = F.col("o_orderkey")
+    o = tables.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(k % 13 == 0, F.concat(F.lit(" +000"), k, F.lit(".00 "))).when(k % 13 == 1, F.concat(k, F.lit(".5"))).when(k % 13 == 2, F.lit("")).when(k % 13 == 3, F.concat(F.lit("-"), k)).otherwise(k.cast("string")).alias("n"),
+        F.when(k % 11 == 0, F.lit("20230230")).when(k % 11 == 1, F.lit("00000101")).when(k % 11 == 2, F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lit("\n"))).otherwise(F.concat(F.lit(" "), F.date_format("o_orderdate", "yyyyMMdd"))).alias("d"),
+        F.concat(F.date_format("o_orderdate", "yyyyMMdd"), F.lit(" "), F.lpad((k % 26).cast("string"), 2, "0"), F.lpad((k % 70).cast("string"), 2, "0")).alias("ts"),
+        F.element_at(F.array(*[F.lit(x) for x in ("Y", " no ", "TRUE", "0", "maybe", "", "1", "False")]), (k % 8 + 1).cast("int")).alias("b"),
+        ((k * 37) % 2500).cast("string").alias("tm"),
+    )
+    return o.select(
+        "o_orderkey", parse.nonnegative_integer(F.col("n")).alias("nonnegative"), parse.positive_id(F.col("n")).alias("id"),
+        parse.source_date(F.col("d")).alias("day"), parse.source_timestamp(F.col("ts")).alias("at"), parse.source_boolean(F.col("b")).alias("flag"),
+        parse.report_time(F.col("tm")).alias("time_of_day"), parse.request_usdot(F.col("n")).alias("request_id"),
+        keys.ratio(k % 1000, k % 7).cast("double").alias("ratio"), parse.lag_bucket((k % 300).cast("int")).alias("bucket"),
+    )
+
+
+def incident_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incident and batch identities of orders."""
+    o = tables.table(spark, sf_dir, "orders")
+    text = lambda c: F.col(c).cast("string")
+    return o.select(
+        "o_orderkey",
+        keys.incident_key(text("o_custkey"), F.col("o_orderstatus"), text("o_orderkey"), F.to_date("o_orderdate"), F.col("o_orderkey") % 2400).alias("incident_key"),
+        files.batch_id(F.col("o_orderstatus"), F.col("o_orderpriority"), text("o_custkey"), text("o_orderkey"), F.lit("x")).alias("batch_id"),
+        keys.fallback_key(F.col("o_orderstatus"), F.col("o_orderpriority"), F.to_date("o_orderdate"), F.col("o_orderkey") % 2400, F.col("o_custkey")).alias("fallback_key"),
+    )
+
+
+def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = tables.raw_inspections(spark, sf_dir).select("batch_id", F.col("insp_date").alias("raw_event_date"), F.col("mcmis_add_date").alias("raw_source_add_at"))
+    c = tables.raw_crashes(spark, sf_dir).select("batch_id", F.col("report_date").alias("raw_event_date"), F.col("add_date").alias("raw_source_add_at"))
+    known = tables.snapshot_batches(spark).select("batch_id", F.col("feed_name").alias("feed"), F.date_format("observed_at", "yyyy-MM-dd").alias("acquisition_date"))
+    return i.unionByName(c).join(F.broadcast(known), "batch_id").drop("batch_id")
+
+
+def snapshot_manifests(spark: SparkSession) -> DataFrame:
+    b = tables.snapshot_batches(spark)
+    return b.select(
+        F.col("feed_name").alias("feed"), F.date_format("observed_at", "yyyy-MM-dd").alias("acquisition_date"), "batch_id",
+        F.col("observed_at").alias("manifest_observed_at"), (F.col("batch_no") * 1000).cast("bigint").alias("manifest_row_count"),
+    )
+
+
+def reconcile_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All snapshots, the pending one among them, which has a manifest and no rows."""
+    m = snapshot_manifests(spark)
+    return profile.reconcile(snapshot_rows(spark, sf_dir), m, m.select("feed", "acquisition_date"))
+
+
+def report_lag_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.lag_profile(snapshot_rows(spark, sf_dir), snapshot_manifests(spark).drop("batch_id"), exact=True)
+
+
+def report_lag_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.lag_profile(snapshot_rows(spark, sf_dir), snapshot_manifests(spark).drop("batch_id"))
+
+
+def lag_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lags between order and shipping, dense over the ten buckets."""
+    o, li = tables.table(spark, sf_dir, "orders"), tables.table(spark, sf_dir, "lineitem")
+    rows = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_returnflag").alias("feed"), F.lit("x").alias("acquisition_date"), F.date_format("o_orderdate", "yyyyMMdd").alias("raw_event_date"),
+        F.date_format("l_shipdate", "yyyyMMdd HHmm").alias("raw_source_add_at"),
+    )
+    return profile.dense_histogram(rows)
+
+
+def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.latency_percentiles(tables.table(spark, sf_dir, "events"), "event_type", "value")
+
+
+def json_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pos, n, total of the elements of JSON arrays made from events' props."""
+    k = F.from_json("props", "struct<k:bigint>")["k"]
+    arrays = tables.table(spark, sf_dir, "events").select(F.to_json(F.array(k, k * 2, k % 5)).alias("j"))
+    return arrays.select(F.posexplode(F.from_json("j", "array<bigint>")).alias("pos", "v")).groupBy("pos").agg(F.count("v").alias("n"), F.sum("v").alias("total"))
+
+
+def event_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests named by notifications made from events: some wrapped, some twice, some test events or malformed."""
+    e = tables.table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 500).alias("g"))
+    record = F.concat(F.lit('{"Records":[{"s3":{"bucket":{"name":"b'), F.col("g") % 3, F.lit('"},"object":{"key":"raw%2Ffeed%3D'), "g", F.lit('/manifest.json","versionId":"'), F.col("g") % 7, F.lit('"}}}]}'))
+    body = (
+        F.when(F.col("event_id") % 50 == 0, F.lit('{"Event":"s3:TestEvent"}'))
+        .when(F.col("event_id") % 50 == 1, F.lit("not json"))
+        .when(F.col("event_id") % 3 == 0, F.to_json(F.struct(F.lit("Notification").alias("Type"), record.alias("Message"))))
+        .otherwise(record)
+    )
+    return arrivals.flatten(e.select(body.alias("body")))[0]
+
+
+def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat events of both feeds straight from the tables, without snapshots."""
+    o = tables.table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("k"), (F.col("o_custkey") + 1).cast("string").alias("usdot_number"), F.to_date("o_orderdate").alias("event_date"))
+    i = o.select(
+        F.lit("inspection").alias("event_type"), F.col("k").cast("string").alias("source_key"), "usdot_number", "event_date",
+        F.expr("date_add(event_date, cast(1 + (k - 1) % 60 as int))").alias("reported_date"), ((F.col("k") - 1) % 7).alias("violation_count"),
+        F.least((F.col("k") - 1) % 3, (F.col("k") - 1) % 7).alias("oos_violation_count"), F.lit(False).alias("federal_recordable"),
+    )
+    v = vehicles(spark, sf_dir)
+    c = v.select(
+        F.lit("crash").alias("event_type"), F.col("report_number").alias("source_key"), "usdot_number", "event_date", "reported_date",
+        F.lit(0).cast("bigint").alias("violation_count"), F.lit(0).cast("bigint").alias("oos_violation_count"), "federal_recordable",
+    )
+    return i.unionByName(c)
+
+
+def vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One version of each crash vehicle (order line)."""
+    li = tables.table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"), F.min("l_returnflag").alias("rf"))
+    o = tables.table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") + 1).cast("string").alias("usdot_number"), F.to_date("o_orderdate").alias("event_date"), F.col("o_orderstatus").alias("report_state"))
+    v = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    k = F.col("l_orderkey") * 8 + F.col("l_linenumber") + 1
+    reported = F.expr("date_add(event_date, cast(1 + p % 90 as int))")
+    return v.select(
+        k.cast("string").alias("source_record_key"), F.when(k % 61 != 0, F.col("usdot_number")).alias("usdot_number"), "report_state",
+        F.concat(F.lit("C-"), F.col("l_orderkey")).alias("report_number"), "event_date", (F.col("l_orderkey") % 2400).alias("report_time"),
+        reported.alias("reported_date"), reported.cast("timestamp").alias("knowledge_valid_from"), (F.col("rf") != "N").alias("federal_recordable"),
+        (k % 53 == 0).alias("is_deleted"),
+    )
+
+
+def landmark_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rates(features.landmark_features(flat_events(spark, sf_dir), LANDMARKS, LANDMARKS[-1], "2001-09-03"))
+
+
+def source_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of an extraction from the last snapshots' text rows."""
+    i = tables.raw_inspections(spark, sf_dir).where("batch_id = 'insp-6'")
+    c = tables.raw_crashes(spark, sf_dir).where("batch_id = 'crash-6'")
+    return files.source_events(i, c, "19950101", "2001-06-01")[1]
+
+
+def cohort_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mature cohorts with their orders, as of the last order date."""
+    o = tables.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d"))
+    months = features.cohort_months(spark, o.agg(F.max("d")).first()[0])
+    n = o.groupBy(F.trunc("d", "MM").alias("event_month")).agg(F.count("*").alias("n_orders"))
+    return months.join(n, "event_month", "left").select("event_month", F.coalesce("n_orders", F.lit(0)).alias("n_orders"))
+
+
+def mature_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring months that the order and line dates cover with whole lookbacks and matured labels."""
+    o = tables.table(spark, sf_dir, "orders").agg(F.min(F.to_date("o_orderdate")).alias("a"), F.max(F.to_date("o_orderdate")).alias("b")).first()
+    return features.mature_grid(o["a"], o["a"], o["b"], AS_OF, 30, spark)
+
+
+def first_incident_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maturity.first_incidents(vehicles(spark, sf_dir), AS_OF)
+
+
+def _histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maturity.cohort_lags(staged(first_incident_reports(spark, sf_dir)), AS_OF)
+
+
+def cohort_lag_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maturity.cohort_quantiles(_histogram(spark, sf_dir))
+
+
+def maturity_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maturity.maturity_bound(_histogram(spark, sf_dir))
+
+
+def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged(versions(spark, sf_dir))
+
+
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features with six-month outcomes as known at the cutoff, for the months whose outcomes are whole."""
+    v = _versions(spark, sf_dir)
+    grid = features.month_grid(batches(spark)).where(F.add_months("scoring_date", 6) <= F.lit(CUTOFF))
+    found = features.training_features(incidents.events_union(v), grid)
+    return dataset.labels(found, incidents.crashes(v), CUTOFF)
+
+
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labelled(spark, sf_dir).select("usdot_number", "scoring_date", "incident_count", "label")
+
+
+def purged_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part, rows and positives of the split of the labelled rows."""
+    rows = staged(labelled(spark, sf_dir))
+    grid = features.month_grid(batches(spark)).where(F.add_months("scoring_date", 6) <= F.lit(CUTOFF))
+    split = dataset.purged_split(rows, grid)
+    return split.groupBy("part").agg(F.count("*").alias("n_rows"), F.sum("label").alias("positives"), F.min("scoring_date").alias("first"), F.max("scoring_date").alias("last"))
+
+
+def availability_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = _versions(spark, sf_dir)
+    grid = features.month_grid(batches(spark)).where(F.add_months("scoring_date", 6) <= F.lit(CUTOFF))
+    events = incidents.events_union(v).join(v.select("event_version_key", "availability_quality"), "event_version_key")
+    rows = staged(features.training_features(incidents.events_union(v), grid))
+    return dataset.availability_mix(dataset.contributions(rows, events, CUTOFF))
+
+
+def population_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored carrier-months (without every hundredth carrier, to show a difference) against those that the events call for."""
+    e = staged(events_union(spark, sf_dir))
+    grid = features.month_grid(batches(spark))
+    stored = features.training_features(e, grid).where(F.col("usdot_number").cast("bigint") % 100 != 0)
+    return dataset.population_diff(stored, e, grid)
+
+
+def dataset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset.dataset_fingerprint(labels(spark, sf_dir))
+
+
+def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a label (urgent) and three deterministic scores with ties."""
+    k, p = F.col("o_orderkey"), F.col("o_totalprice")
+    y = F.col("o_orderpriority").startswith("1").cast("int")
+    return tables.table(spark, sf_dir, "orders").select(
+        y.alias("label"), ((k * 7919) % 1000 / 1000 * 0.7 + y * 0.3).alias("candidate"), F.floor(p / 1000).cast("double").alias("baseline"),
+        ((k * 104729) % 50 / 50.0).alias("incumbent"),
+    )
+
+
+def average_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.average_precision(scores(spark, sf_dir), ["candidate", "baseline", "incumbent"], "label")
+
+
+def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.compare_models(scores(spark, sf_dir), "candidate", "baseline", "incumbent", "label")
+
+
+def f1_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.f1_threshold(scores(spark, sf_dir), "candidate", "label")
+
+
+def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.confusion(scores(spark, sf_dir), "candidate", "label", 0.5)
+
+
+def boosted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows of the purged split with the probability of a model fitted to its train rows."""
+    rows = staged(train.encoded(labelled(spark, sf_dir)))
+    grid = features.month_grid(batches(spark)).where(F.add_months("scoring_date", 6) <= F.lit(CUTOFF))
+    split = dataset.purged_split(rows, grid)
+    model = train.train(split, trees=20)
+    return train.score(model, split.where("part = 'test'")).select("usdot_number", "scoring_date", "label", "probability")
+
+
+def batch_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every carrier's decision on a day: score, or why not."""
+    e = staged(events_union(spark, sf_dir))
+    found = features.training_features(e, features.month_grid(batches(spark)))
+    carriers = tables.table(spark, sf_dir, "orders").select((F.col("o_custkey") + 1).cast("string").alias("usdot_number"))
+    return train.batch_decisions(found, e, train.request_dates(carriers, date(2001, 3, 11)))
+
+
+def history_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts of the history with one version in a thousand spoiled, so that rules have something to find."""
+    made = staged(candidates(spark, sf_dir))
+    v, expiries = history.rebuild(made, batches(spark))
+    spoil = F.pmod(F.conv(F.substring("event_version_key", 1, 8), 16, 10).cast("bigint"), F.lit(1000)) == 0
+    v = staged(v.withColumn("is_current", F.when(spoil, ~F.col("is_current")).otherwise(F.col("is_current"))))
+    return checks.history_violations(v, batches(spark), staged(expiries))
+
+
+def publication_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = staged(candidates(spark, sf_dir))
+    expected = batches(spark).select("batch_id", (F.col("batch_no") * 1000).alias("row_count"))
+    return checks.publication_violations(made, batches(spark), expected)
+
+
+def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = {
+        "o_orderkey": {"not_null": True, "unique": True},
+        "o_custkey": {"unique": True},
+        "o_orderstatus": {"not_null": True, "accepted": ["O", "F"]},
+        "o_orderpriority": {"not_null": True, "where": "o_totalprice > 100", "accepted": ["1-URGENT", "2-HIGH"]},
+    }
+    return checks.contract_violations(tables.table(spark, sf_dir, "orders"), rules)
+
+
+def replay_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history built twice from the same batches."""
+    made = staged(candidates(spark, sf_dir))
+    return checks.replay_identity(history.rebuild(made, batches(spark))[0], history.rebuild(made, batches(spark))[0])

@@ -8,21 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import jobs
 from tidemark.plans.sql import ctes
+from tidemark.plans.sql_more import MORE
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "clean_inspections": jobs.clean_inspections,
-    "clean_crashes": jobs.clean_crashes,
-    "change_candidates": jobs.candidates,
-    "quarantine": jobs.quarantine,
-    "exclusion_counts": jobs.exclusion_counts,
-    "event_versions": jobs.versions,
-    "retention_expiries": jobs.retention_expiries,
-    "events_union": jobs.events_union,
-    "incident_segments": jobs.incident_segments,
-    "current_events": jobs.current_events,
-    "scoring_grid": jobs.scoring_grid,
-    "features_6m_24m": jobs.features_6m_24m,
-}
+_NAMES = (
+    "parse_scalars incident_keys clean_inspections clean_crashes quarantine exclusion_counts event_versions retention_expiries events_union "
+    "incident_segments current_events scoring_grid features_6m_24m reconcile_snapshot report_lag_profile report_lag_approx lag_histogram "
+    "latency_percentiles json_positions event_arrivals landmark_features source_event_counts cohort_months mature_grid first_incident_reports "
+    "cohort_lag_quantiles maturity_bound labels purged_split availability_mix population_diff dataset_fingerprint average_precision "
+    "model_comparison f1_threshold confusion boosted_scores batch_decisions history_violations publication_violations contract_violations replay_identity"
+).split()
+_RENAMED = {"event_versions": jobs.versions}
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: _RENAMED.get(n) or getattr(jobs, n) for n in _NAMES}
+QUERIES["change_candidates"] = jobs.candidates
 
 _VERSION_COLUMNS = """feed_name, source_record_key, event_date, reported_date, knowledge_valid_from, knowledge_valid_to, availability_quality,
 first_observed_at, is_deleted, deletion_reason, is_current, first_seen AS first_seen_batch_id, last_seen AS last_seen_batch_id, event_type, usdot_number,
@@ -55,4 +53,4 @@ FROM incidents WHERE is_current AND NOT is_deleted""",
     "scoring_grid": """SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH))::DATE
 AS scoring_date FROM orders""",
     "features_6m_24m": ctes("features") + "SELECT * REPLACE (violations_per_inspection::DOUBLE AS violations_per_inspection, oos_violation_rate::DOUBLE AS oos_violation_rate) FROM features",
-}
+} | MORE

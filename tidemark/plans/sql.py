@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.sources.tables import BATCHES, WINDOW_MONTHS
+from tidemark.sources.tables import BATCHES, PENDING, WINDOW_MONTHS
 
 
 def ctes(*names: str) -> str:
@@ -86,7 +86,7 @@ _LISTED = ", ".join(f"('{b}', '{f}', {n}, TIMESTAMP '{o}', 'loaded')" for b, f,
 _HELD = "CROSS JOIN batches b WHERE b.feed_name = '{feed}' AND b.status = 'loaded' AND added < b.observed_at::DATE AND (k * 31 + b.batch_no) % 11 <> 0"
 
 PIECES = {
-    "batches": f"SELECT * FROM (VALUES {_LISTED}, ('crash-5', 'crashes', 5, TIMESTAMP '2001-12-01 12:00:00', 'pending')) t(batch_id, feed_name, batch_no, observed_at, status)",
+    "batches": f"SELECT * FROM (VALUES {_LISTED}, ('{PENDING[0]}', '{PENDING[1]}', {PENDING[2]}, TIMESTAMP '{PENDING[3]}', '{PENDING[4]}')) t(batch_id, feed_name, batch_no, observed_at, status)",
     "order_rows": """SELECT o_orderkey + 1 AS k, o_custkey + 1 AS c, o_orderdate::DATE AS d, o_orderstatus AS st,
         (o_orderdate::DATE + (o_orderkey % 60)::INTEGER)::DATE AS added FROM orders""",
     "raw_inspections": f"""SELECT b.batch_id, k AS source_row_number,
@@ -258,8 +258,8 @@ def _fold() -> None:
 
 _fold()
 PIECES["versions"] = """SELECT *, md5(concat_ws('|', first_seen, feed_name, source_record_key, is_deleted::VARCHAR)) AS event_version_key,
-    md5(concat_ws('|', feed_name, source_record_key)) AS event_key FROM (SELECT * FROM i4 UNION ALL SELECT * FROM c4)"""
-NEEDS["versions"] = ("i4", "c4")
+    md5(concat_ws('|', feed_name, source_record_key)) AS event_key FROM (SELECT * FROM i6 UNION ALL SELECT * FROM c6)"""
+NEEDS["versions"] = ("i6", "c6")
 PIECES["crash_versions"] = """SELECT * EXCLUDE (state), report_state AS state, (reported_date - event_date)::INTEGER AS report_lag_days,
     md5(concat_ws(chr(31), usdot_number, report_state, report_number, strftime(event_date, '%Y-%m-%d'), report_time::VARCHAR)) AS carrier_crash_key
     FROM versions WHERE feed_name = 'crashes' AND is_model_eligible"""

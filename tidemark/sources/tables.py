@@ -1,6 +1,6 @@
 """Feeds made from the star-schema tables, in the form in which the real feeds arrive.
 
-orders stand for inspections and order lines for vehicles in crashes, as text rows in four
+orders stand for inspections and order lines for vehicles in crashes, as text rows in six
 snapshots a feed. Of each snapshot some rows are missing, some changed and some malformed, by
 rules on their keys, so that every path of the history is met.
 """
@@ -11,16 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: (batch_id, feed_name, number, observed_at) of the snapshots.
-BATCHES = [
-    ("insp-1", "inspections", 1, "1998-01-15 12:00:00"),
-    ("insp-2", "inspections", 2, "1999-03-10 12:00:00"),
-    ("insp-3", "inspections", 3, "2000-06-20 12:00:00"),
-    ("insp-4", "inspections", 4, "2001-09-05 12:00:00"),
-    ("crash-1", "crashes", 1, "1998-01-15 12:05:00"),
-    ("crash-2", "crashes", 2, "1999-03-10 12:05:00"),
-    ("crash-3", "crashes", 3, "2000-06-20 12:05:00"),
-    ("crash-4", "crashes", 4, "2001-09-05 12:05:00"),
-]
+_DAYS = ("1998-01-15", "1999-03-10", "2000-06-20", "2000-12-05", "2001-03-20", "2001-09-05")
+BATCHES = [(f"insp-{n}", "inspections", n, f"{d} 12:00:00") for n, d in enumerate(_DAYS, 1)]
+BATCHES += [(f"crash-{n}", "crashes", n, f"{d} 12:05:00") for n, d in enumerate(_DAYS, 1)]
+#: A snapshot that has arrived and is not loaded.
+PENDING = ("crash-7", "crashes", 7, "2001-12-01 12:00:00", "pending")
 #: Months that the inspections feed reaches back.
 WINDOW_MONTHS = 36
 
@@ -31,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def snapshot_batches(spark: SparkSession) -> DataFrame:
     """batch_id, feed_name, batch_no, observed_at, status of the snapshots, and one that is not loaded."""
-    rows = [(b, f, n, o, "loaded") for b, f, n, o in BATCHES] + [("crash-5", "crashes", 5, "2001-12-01 12:00:00", "pending")]
+    rows = [(b, f, n, o, "loaded") for b, f, n, o in BATCHES] + [PENDING]
     df = spark.createDataFrame(rows, "batch_id string, feed_name string, batch_no int, observed_text string, status string")
     return df.select("batch_id", "feed_name", "batch_no", F.col("observed_text").cast("timestamp").alias("observed_at"), "status")
 
