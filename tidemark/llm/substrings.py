@@ -20,11 +20,13 @@ get equal results; an empty table gives an empty result; extra columns are ignor
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +35,6 @@ from tidemark.llm.text import read_table, row_key
 
 SEED = 8
 U = np.uint64
-LAST = np.iinfo(np.int64).max
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -151,115 +152,136 @@ def repeated_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield from out(held)
 
 
-RUNS = "bucket bigint, runs binary, docs array<bigint>, keys array<string>, done boolean"
+RUNS = "bucket bigint, batch string, runs binary, docs binary, keys array<string>"
+#: A run: its content hash, its start and its document's number in the batch.
+RUN = np.dtype([("a", U), ("b", U), ("at", np.int32), ("doc", np.int32)])
+#: A document of a batch: what orders it among all documents.
+DOC = np.dtype([("none", np.int8), ("id", np.int64), ("tie", U), ("no", np.int32)])
+SPOT = np.dtype([("doc", np.int32), ("at", np.int32)])
+
+
+def spots_of(x: np.ndarray) -> bytes:
+    out = np.empty(len(x), SPOT)
+    out["doc"], out["at"] = x["doc"], x["at"]
+    return out.tobytes()
+
+
+def earliest(x: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs in order of content, document and start; where a content starts; which runs are later than its first.
+
+    docs: of DOC, by position; x["doc"] points into it. Equal rows of the input stand in the same place,
+    and none of them is earlier than the other.
+    """
+    of = docs[x["doc"]]
+    order = np.lexsort((x["at"], of["tie"], of["id"], of["none"], x["b"], x["a"]))
+    x, of = x[order], of[order]
+    new = np.concatenate(([True], (x["a"][1:] != x["a"][:-1]) | (x["b"][1:] != x["b"][:-1])))
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    same = (of["none"] == of["none"][first]) & (of["id"] == of["id"][first]) & (of["tie"] == of["tie"][first]) & (x["at"] == x["at"][first])
+    return x, new, ~same
 
 
 def run_rows(window: int, buckets: int):
     """Of each batch: the runs at repeated anchors, one of each content, packed by bucket of the content hash.
 
-    Runs that repeat inside the batch are settled here (done) and only pass through.
+    Runs that repeat inside the batch are settled here; one row a batch carries them and the batch's keys.
     """
-    kind = np.dtype([("a", U), ("b", U), ("at", np.int32), ("doc", np.int32)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             parts = []
-            ids = b.column("doc_id").to_pylist()
             keys = b.column("key").to_pylist()
-            rank = {i: n for n, i in enumerate(sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, keys[i])))}
+            docs = np.zeros(len(keys), DOC)
+            docs["none"] = b.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            docs["id"] = b.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
+            docs["tie"] = [int(k[:16], 16) for k in keys]
+            docs["no"] = np.arange(len(keys))
             for i, (t, at) in enumerate(zip(b.column("text").cast(pa.binary()), b.column("at"))):
                 hashes = word_hashes((t.as_py() or b"").split())
                 _, of, _ = anchors(hashes, window)
                 starts = np.flatnonzero(np.isin(of, at.values.to_numpy(zero_copy_only=False)))
-                x = np.empty(len(starts), kind)
+                x = np.empty(len(starts), RUN)
                 x["a"] = rolling(hashes, window, 0xD6E8FEB86659FD93)[starts]
                 x["b"] = rolling(hashes ^ (hashes >> U(31)), window, 0xA0761D6478BD642F)[starts]
                 x["at"], x["doc"] = starts, i
                 parts.append(x)
-            x = np.concatenate(parts) if parts else np.zeros(0, kind)
+            x = np.concatenate(parts) if parts else np.zeros(0, RUN)
             if not len(x):
                 continue
-            order = np.lexsort((x["at"], np.array([rank[i] for i in range(len(ids))])[x["doc"]], x["b"], x["a"]))
-            x = x[order]
-            new = np.concatenate(([True], (x["a"][1:] != x["a"][:-1]) | (x["b"][1:] != x["b"][:-1])))
-            # equal rows of the input stand in the same place: none of them is earlier
-            first = np.flatnonzero(new)[np.cumsum(new) - 1]
-            names = np.unique(np.array(keys), return_inverse=True)[1]
-            same = (names[x["doc"]] == names[x["doc"][first]]) & (x["at"] == x["at"][first])
-            ahead, rest = x[new], x[~same]
-            rows = []
+            x, new, later = earliest(x, docs)
+            name = f"{TaskContext.get().partitionId()}-{uuid.uuid4().hex}"
+            rows = [(int(keys[0][:8], 16) % buckets, name, spots_of(x[later]), None, keys)]
+            ahead = x[new]
             bucket = (ahead["a"] >> U(1)).astype(np.int64) % buckets
             order = np.argsort(bucket, kind="stable")
             ahead, bucket = ahead[order], bucket[order]
             cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
             for lo, hi in zip(cuts[:-1], cuts[1:]):
-                rows.append((int(bucket[lo]), ahead[lo:hi], False))
-            by = np.argsort(rest["doc"], kind="stable")
-            rest = rest[by]
-            cuts = np.flatnonzero(np.concatenate(([True], rest["doc"][1:] != rest["doc"][:-1], [True]))) if len(rest) else []
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                rows.append((xxhash.xxh3_64_intdigest(keys[rest["doc"][lo]]) % buckets, rest[lo:hi], True))
-            for i in range(0, len(rows), 2000):
-                out = []
-                for where, x, done in rows[i : i + 2000]:
-                    used, x["doc"] = np.unique(x["doc"], return_inverse=True)
-                    packed = x["at"].tobytes() if done else x.tobytes()
-                    out.append((where, packed, [ids[u] for u in used], [keys[u] for u in used], done))
-                yield pa.record_batch(
-                    [pa.array([r[j] for r in out], k) for j, k in enumerate((pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.bool_()))],
-                    ["bucket", "runs", "docs", "keys", "done"],
-                )
-
-    return run, kind
-
-
-def later_runs(kind: np.dtype):
-    """(key, starts) of all runs but the first of each content; rows come sorted by bucket, and whole buckets are settled."""
-
-    def settle(rows: list[dict]) -> Iterator[tuple[str, bytes]]:
-        ids, keys, parts = [], [], []
+                part = ahead[lo:hi].copy()
+                used, part["doc"] = np.unique(part["doc"], return_inverse=True)
+                rows.append((int(bucket[lo]), name, part.tobytes(), docs[used].tobytes(), None))
+            for i in range(0, len(rows), 200):
+                kinds = (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.list_(pa.string()))
+                yield pa.record_batch([pa.array([r[j] for r in rows[i : i + 200]], k) for j, k in enumerate(kinds)], ["bucket", "batch", "runs", "docs", "keys"])
+
+    return run
+
+
+LATER = "batch string, spots binary, keys array<string>"
+
+
+def later_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each request the runs that are not the first of their content; rows come sorted by bucket, and whole buckets are settled."""
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.string(), pa.binary(), pa.list_(pa.string()))
+        return pa.record_batch([pa.array([r[j] for r in rows], k) for j, k in enumerate(kinds)], ["batch", "spots", "keys"])
+
+    def settle(rows: list[dict]) -> pa.RecordBatch:
+        parts, docs, at = [], [], 0
         for r in rows:
-            x = np.frombuffer(r["runs"], kind).copy()
-            x["doc"] += len(keys)
-            ids += r["docs"]
-            keys += r["keys"]
+            x, d = np.frombuffer(r["runs"], RUN).copy(), np.frombuffer(r["docs"], DOC)
+            x["doc"] += at
+            at += len(d)
             parts.append(x)
-        if not parts:
-            return
-        x = np.concatenate(parts)
-        name, no = np.unique(np.array(keys), return_inverse=True)
-        none = np.array([i is None for i in ids])
-        order = np.array([0 if i is None else i for i in ids], np.int64)
-        doc = x["doc"]
-        x = x[s := np.lexsort((x["at"], no[doc], order[doc], none[doc], x["b"], x["a"]))]
-        doc = doc[s]
-        new = np.concatenate(([True], (x["a"][1:] != x["a"][:-1]) | (x["b"][1:] != x["b"][:-1])))
-        first = np.flatnonzero(new)[np.cumsum(new) - 1]
-        later = ~((no[doc] == no[doc[first]]) & (x["at"] == x["at"][first]))
-        who, at = no[doc[later]], x["at"][later]
-        by = np.argsort(who, kind="stable")
-        who, at = who[by], at[by]
-        cuts = np.flatnonzero(np.concatenate(([True], who[1:] != who[:-1], [True]))) if len(who) else []
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            yield str(name[who[lo]]), at[lo:hi].tobytes()
-
-    def batch(found: list[tuple[str, bytes]]) -> pa.RecordBatch:
-        return pa.record_batch([pa.array([k for k, _ in found], pa.string()), pa.array([s for _, s in found], pa.binary())], ["key", "starts"])
+            docs.append(d)
+        owner = np.repeat(np.arange(len(rows)), [len(d) for d in docs])
+        every = np.concatenate(docs)
+        x, _, later = earliest(np.concatenate(parts), every)
+        x = x[later]
+        who = owner[x["doc"]]
+        x["doc"] = every["no"][x["doc"]]
+        order = np.argsort(who, kind="stable")
+        x, who = x[order], who[order]
+        cuts = np.searchsorted(who, np.arange(len(rows) + 1))
+        return out([(r["batch"], spots_of(x[lo:hi]), None) for r, lo, hi in zip(rows, cuts[:-1], cuts[1:]) if hi > lo])
+
+    held: list[dict] = []
+    for b in batches:
+        for i in range(b.num_rows):
+            r = b.slice(i, 1).to_pylist()[0]
+            if r["keys"] is not None:
+                yield out([(r["batch"], r["runs"], r["keys"])])
+                continue
+            if held and held[-1]["bucket"] != r["bucket"]:
+                yield settle(held)
+                held = []
+            held.append(r)
+    if held:
+        yield settle(held)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
-        for b in batches:
-            for r in b.to_pylist():
-                if r["done"]:
-                    yield batch([(r["keys"][0], r["runs"])])
-                    continue
-                if held and held[-1]["bucket"] != r["bucket"]:
-                    yield batch(list(settle(held)))
-                    held = []
-                held.append(r)
-        yield batch(list(settle(held)))
 
-    return run
+def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, starts) of a batch's documents from all its answers."""
+    for b in batches:
+        for i in range(b.num_rows):
+            r = b.slice(i, 1).to_pylist()[0]
+            x = np.concatenate([np.frombuffer(s, SPOT) for s in r["spots"]])
+            x = x[np.argsort(x["doc"], kind="stable")]
+            cuts = np.flatnonzero(np.concatenate(([True], x["doc"][1:] != x["doc"][:-1], [True]))) if len(x) else np.zeros(1, np.int64)
+            keys = [r["keys"][x["doc"][lo]] for lo in cuts[:-1]]
+            starts = [np.ascontiguousarray(x["at"][lo:hi]).tobytes() for lo, hi in zip(cuts[:-1], cuts[1:])]
+            yield pa.record_batch([pa.array(keys, pa.string()), pa.array(starts, pa.binary())], ["key", "starts"])
 
 
 def repeats(docs: DataFrame, window: int = 20, runs_per_bucket: int = 500_000) -> DataFrame:
@@ -275,15 +297,11 @@ def repeats(docs: DataFrame, window: int = 20, runs_per_bucket: int = 500_000) -
     )
     met = staged(met)
     places = met.agg(F.sum(F.size("at"))).first()[0] or 0
-    make, kind = run_rows(window, max(16, 8 * places // runs_per_bucket))
-    runs = rows.join(met, "key").mapInArrow(make, RUNS)
-    return (
-        runs.repartition("bucket")
-        .sortWithinPartitions("bucket")
-        .mapInArrow(later_runs(kind), "key string, starts binary")
-        .groupBy("key")
-        .agg(F.collect_list("starts").alias("starts"))
-    )
+    runs = rows.join(met, "key").mapInArrow(run_rows(window, max(16, 8 * places // runs_per_bucket)), RUNS)
+    later = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(later_runs, LATER)
+    # a batch's answers meet again: as many documents as one Arrow batch holds
+    whole = later.groupBy("batch").agg(F.collect_list("spots").alias("spots"), F.any_value("keys", True).alias("keys"))
+    return whole.mapInArrow(by_document, "key string, starts binary").groupBy("key").agg(F.collect_list("starts").alias("starts"))
 
 
 def without_repeats(window: int, text: bool):
