@@ -38,7 +38,7 @@ END = b"\n"
 BUCKETS = 24
 U = np.uint64
 WORD, PAIR = 0, 1
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -111,10 +111,10 @@ class Block:
         self.sizes = spread(sizes)
         text = zlib.decompress(words)
         self.words = [END, *(text.split(b"\n") if text else [])]
-        self.w = spread(tokens)
+        self.w = spread(tokens).astype(np.int32)
         n = len(self.words)
         ends = np.cumsum(self.sizes)
-        doc = np.repeat(np.arange(len(ids)), self.sizes)
+        doc = np.repeat(np.arange(len(ids), dtype=np.int32), self.sizes)
         held = np.array([held_out(i) for i in ids])
         fold = np.array([deleted(i) for i in ids]) & ~held
         self.train, self.fold = ~held[doc], fold[doc]
@@ -126,7 +126,8 @@ class Block:
         digest = [xxhash.xxh3_128_digest(x) for x in self.words]
         both = np.frombuffer(b"".join(digest), U).reshape(n, 2)
         self.hash = both
-        self.pairs, self.pair = np.unique(self.v * n + self.w, return_inverse=True)
+        self.pairs, pair = np.unique(self.v.astype(np.int64) * n + self.w, return_inverse=True)
+        self.pair = pair.astype(np.int32)
         a, b = both[self.pairs // n, 0], both[self.pairs % n, 0]
         h = (a ^ (a >> U(29))) * U(0xBF58476D1CE4E5B9) + b
         self.pair_hash = (h ^ (h >> U(32))) * U(0x94D049BB133111EB)
@@ -144,8 +145,14 @@ class Block:
         return order, bucket[order]
 
 
+def rows_of(b: pa.RecordBatch) -> Iterator[dict]:
+    """Rows one by one: the packed columns of a whole batch would be held twice."""
+    for i in range(b.num_rows):
+        yield b.slice(i, 1).to_pylist()[0]
+
+
 def blocks_of(b: pa.RecordBatch) -> Iterator[tuple[str, Block]]:
-    for r in b.to_pylist():
+    for r in rows_of(b):
         yield r["block"], Block(r["ids"], r["sizes"], r["words"], r["tokens"])
 
 
@@ -213,7 +220,7 @@ def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     held: list[dict] = []
     for b in batches:
-        for r in b.to_pylist():
+        for r in rows_of(b):
             if held and held[-1]["bucket"] != r["bucket"]:
                 yield from settle(held)
                 held = []
@@ -252,7 +259,7 @@ def fold_rows(buckets: int, n: int, types: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
+            for r in rows_of(b):
                 block = Block(r["ids"], r["sizes"], r["words"], r["tokens"])
                 if not block.fold.any():
                     continue
@@ -260,9 +267,7 @@ def fold_rows(buckets: int, n: int, types: int):
                 bucket, p = estimates(word, pair, block, n, types)
                 times = np.bincount(block.pair[block.fold], minlength=len(block.pairs))
                 some = times > 0
-                packed = np.concatenate([bucket[some, None], times[some, None], p[some]], 1)
-                events, at = np.unique(packed[:, [0, 2, 3, 4]], axis=0, return_inverse=True)
-                events = np.concatenate([events, np.bincount(at.ravel(), packed[:, 1])[:, None]], 1)
+                events = np.concatenate([bucket[some, None], p[some], times[some, None]], 1)
                 yield pa.record_batch([pa.array([events.tobytes()], pa.binary())], ["events"])
 
     return run
@@ -301,7 +306,7 @@ def learn(events: DataFrame, rounds: int = 12) -> np.ndarray:
 def score_rows(buckets: int, n: int, types: int, mix: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r in b.to_pylist():
+            for r in rows_of(b):
                 block = Block(r["ids"], r["sizes"], r["words"], r["tokens"])
                 word, pair = counts_of(block, r["told"], buckets, "every")
                 bucket, p = estimates(word, pair, block, n, types)
