@@ -88,24 +88,3 @@ LAG_BUCKETS = (
     "00 same day", "01 1-2 days", "02 3-7 days", "03 8-14 days", "04 15-30 days",
     "05 31-60 days", "06 61-90 days", "07 91-180 days", "08 181-270 days", "09 271+ days",
 )
-
-
-def inspection_event_reason(r: dict[str, Column]) -> Column:
-    """First reason for which an extracted inspection row is left out, or null.
-
-    This path is stricter than the clean layer: all white space is cut and no plus sign passes.
-    """
-    strip = lambda c: F.regexp_replace(c, r"\A\s+|\s+\z", "")
-    number = lambda c: strip(c).rlike(r"\A[0-9]{1,19}(\.0+)?\z")
-    return F.coalesce(
-        F.when(~F.coalesce(number(r["dot_number"]), F.lit(False)), F.lit("invalid_inspection_usdot")),
-        F.when(source_date(strip(r["insp_date"])).isNull(), F.lit("invalid_inspection_date")),
-        F.when(source_timestamp(strip(r["mcmis_add_date"])).isNull(), F.lit("invalid_inspection_add_date")),
-        F.when(
-            ~F.coalesce(number(r["viol_total"]) & number(r["oos_total"]), F.lit(False)), F.lit("invalid_inspection_integer")
-        ),
-        F.when(
-            F.date_add(source_timestamp(strip(r["mcmis_add_date"])).cast("date"), 1) < source_date(strip(r["insp_date"])),
-            F.lit("impossible_event_chronology"),
-        ),
-    )

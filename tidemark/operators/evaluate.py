@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 def by_score(df: DataFrame, score: str, label: str, group: list[str]) -> DataFrame:
     """group, score, tp, fp, pos: cumulative counts at each distinct score, from the highest down; pos: all positives."""
     s = df.groupBy(*group, F.col(score).cast("double").alias("score")).agg(F.sum(F.col(label).cast("bigint")).alias("p"), F.count("*").alias("n"))
-    # 256 ranges by hash-free rank: the sign, exponent and first bits of a double order as the number does
+    # bands of scores that order as the scores do: sixteen to each doubling, some thousand at most
     band = F.floor(F.signum("score") * F.log2(1 + F.abs("score") * 1e6) * 16)
     s = s.withColumn("band", band)
     bands = s.groupBy(*group, "band").agg(F.sum("p").alias("bp"), F.sum("n").alias("bn"))
