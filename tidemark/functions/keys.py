@@ -14,9 +14,16 @@ def incident_key(usdot: Column, state: Column, number: Column, day: Column, time
 
 
 def json_text(value: Column) -> Column:
-    """A string as JSON text with its quotes, null as null."""
+    """A string as JSON text with its quotes, null as null. Most strings need no escapes and skip the JSON writer."""
     one = F.to_json(F.array(value))
-    return F.coalesce(F.substring(one, F.lit(2), F.length(one) - 2), F.lit("null"))
+    plain = F.concat(F.lit('"'), value, F.lit('"'))
+    escaped = F.substring(one, F.lit(2), F.length(one) - 2)
+    return F.when(value.isNull(), "null").when(value.rlike(r'["\\\x00-\x1F]'), escaped).otherwise(plain)
+
+
+def quoted(value: Column) -> Column:
+    """A string without anything to escape as JSON text; null stays null."""
+    return F.concat(F.lit('"'), value, F.lit('"'))
 
 
 def json_array(*pieces: Column) -> Column:
@@ -40,9 +47,9 @@ def payload_hash(*values: tuple[Column, str]) -> Column:
         if kind == "text":
             return F.when(value.isNotNull(), json_text(value))
         if kind == "date":
-            return F.when(value.isNotNull(), json_text(F.date_format(value, "yyyy-MM-dd")))
+            return quoted(value.cast("date").cast("string"))
         if kind == "timestamp":
-            return F.when(value.isNotNull(), json_text(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss")))
+            return quoted(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss"))
         if kind == "texts":
             return F.concat(F.lit("["), F.array_join(F.transform(value, json_text), ", "), F.lit("]"))
         return value.cast("string")

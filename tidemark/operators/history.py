@@ -71,11 +71,10 @@ def _appearances(candidates: DataFrame, batches: DataFrame) -> DataFrame:
     other = ~F.col("record_hash").eqNullSafe(F.col("before_hash")) | (F.col("is_model_eligible") != F.col("before_eligible"))
     rows = rows.withColumn("own_date", dated).withColumn("differs", F.col("before_no").isNull() | other)
     # the stored date is that of the row that opened the version; equal rows keep it while it lasts
-    run = F.sum(F.col("differs").cast("int")).over(record.rowsBetween(W.unboundedPreceding, W.currentRow))
-    rows = rows.withColumn("_run", run)
-    opened = F.first("own_date").over(W.partitionBy("feed_name", "source_record_key", "_run").orderBy("no"))
+    so_far = record.rowsBetween(W.unboundedPreceding, W.currentRow)
+    opened = F.last(F.when(F.col("differs"), F.struct("own_date")), True).over(so_far)["own_date"]
     crash = F.col("feed_name") == "crashes"
-    rows = rows.withColumn("version_date", F.when(crash, F.col("own_date")).otherwise(opened)).drop("_run")
+    rows = rows.withColumn("version_date", F.when(crash, F.col("own_date")).otherwise(opened))
     gone = F.filter("missed", lambda s: crash | (s["cutoff"].isNotNull() & (F.col("version_date") >= s["cutoff"])))
     rows = rows.withColumn("deleted_in", F.get(gone, F.lit(0)))
     reborn = F.lag(F.col("deleted_in").isNotNull()).over(record)
@@ -86,12 +85,11 @@ def rebuild(candidates: DataFrame, batches: DataFrame) -> tuple[DataFrame, DataF
     """(versions, retention expiries) of all batches (batch_id, feed_name, observed_at, all applied)."""
     seen = _appearances(candidates, batches)
     record = W.partitionBy("feed_name", "source_record_key").orderBy("no")
-    # the version that an appearance belongs to, and the batch that saw it last
-    seen = seen.withColumn("version_no", F.max(F.when(F.col("opens"), F.col("no"))).over(record.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    last = F.last("batch_id").over(
-        W.partitionBy("feed_name", "source_record_key", "version_no").orderBy("no").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    )
-    seen = seen.withColumn("last_seen_batch_id", last)
+    # all windows have one order, so the rows are sorted once
+    so_far, from_here = record.rowsBetween(W.unboundedPreceding, W.currentRow), record.rowsBetween(W.currentRow, W.unboundedFollowing)
+    seen = seen.withColumn("closes", F.coalesce(F.lead("opens").over(record), F.lit(True)))
+    seen = seen.withColumn("last_seen_batch_id", F.first(F.when(F.col("closes"), F.col("batch_id")), True).over(from_here))
+    seen = seen.withColumn("opened_by", F.last(F.when(F.col("opens"), F.col("batch_id")), True).over(so_far))
     first = F.col("no") == 1
     live = seen.where("opens").select(
         "feed_name", "source_record_key", *PAYLOAD, F.col("no").alias("step"),
@@ -128,10 +126,8 @@ def rebuild(candidates: DataFrame, batches: DataFrame) -> tuple[DataFrame, DataF
         "missed",
         lambda s: (F.col("deleted_in").isNull() | (s["no"] < d["no"])) & (F.col("version_date") < s["cutoff"]),
     )
-    opened_by = F.max(F.when(F.col("opens"), F.col("batch_id"))).over(W.partitionBy("feed_name", "source_record_key", "version_no"))
     expiries = (
-        seen.withColumn("opened_by", opened_by)
-        .where("feed_name = 'inspections'")
+        seen.where("feed_name = 'inspections'")
         .select("source_record_key", "feed_name", "opened_by", F.explode(alive).alias("s"))
         .select(
             "source_record_key",
