@@ -34,9 +34,15 @@ MARK = "▁"
 UNIT = re.compile(r" ?[^\s]+|\s")
 #: Longer units are sampled one by one.
 LONG = 40
+SLOT_BITS = 18
 U = np.uint64
 
 
+def first_slot(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> U(32))) * U(0xD1B54A32D192ED03)
+    return (h >> U(64 - SLOT_BITS)).astype(np.int64)
+
+
 class Vocabulary:
     """Pieces, weights and byte pieces of a SentencePiece model file, given as bytes."""
 
@@ -61,10 +67,18 @@ class Vocabulary:
         self.unknown = -(np.log(size) + 12.0) / heat
         self.ids = pieces
         self.longest = max(map(len, pieces), default=1)
-        codes = sorted((self.hashed(p), i, self.weight[p]) for p, i in pieces.items())
-        self.hash = np.array([c[0] for c in codes], U)
-        self.hash_id = np.array([c[1] for c in codes], np.int32)
-        self.hash_weight = np.array([c[2] for c in codes])
+        # an open-addressing table of the pieces' hashes: a lookup is a few gathers
+        self.slot_hash = np.zeros(1 << SLOT_BITS, U)
+        self.slot_id = np.full(1 << SLOT_BITS, -1, np.int32)
+        self.slot_weight = np.full(1 << SLOT_BITS, -np.inf)
+        self.probes = 1
+        for p, i in pieces.items():
+            h = self.hashed(p)
+            at, n = int(first_slot(np.array([h], U))[0]), 1
+            while self.slot_id[at] >= 0:
+                at, n = (at + 1) % (1 << SLOT_BITS), n + 1
+            self.slot_hash[at], self.slot_id[at], self.slot_weight[at] = h, i, self.weight[p]
+            self.probes = max(self.probes, n)
 
     @staticmethod
     def hashed(piece: str) -> int:
@@ -73,6 +87,20 @@ class Vocabulary:
             h = (h * 0x9E3779B97F4A7C15 + ord(c) + 1) % (1 << 64)
         return h
 
+    def look_up(self, h: np.ndarray) -> np.ndarray:
+        """The slot of each hash, or -1."""
+        shape, h = h.shape, np.ascontiguousarray(h).ravel()
+        slot = np.full(len(h), -1, np.int64)
+        left, at = np.arange(len(h)), first_slot(h)
+        for _ in range(self.probes):
+            hit = self.slot_hash[at] == h[left]
+            slot[left[hit]] = at[hit]
+            on = ~hit & (self.slot_id[at] >= 0)  # an empty slot ends the search
+            left, at = left[on], (at[on] + 1) % (1 << SLOT_BITS)
+            if not len(left):
+                break
+        return slot.reshape(shape)
+
     def decode(self, ids) -> bytes:
         return b"".join(map(self.raw.__getitem__, ids))
 
@@ -105,13 +133,13 @@ def lattice(v: Vocabulary, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
     h = np.zeros((k, m + 1), U)
     for length in range(1, wide + 1):  # of each start, one more character
         h = h[:, :-1] * U(0x9E3779B97F4A7C15) + code[:, length - 1 :] + U(1)
-        at = np.minimum(np.searchsorted(v.hash, h), len(v.hash) - 1)
-        known = v.hash[at] == h
-        weight[:, length:, length - 1] = np.where(known, v.hash_weight[at], v.unknown if length == 1 else -np.inf)
-        ids[:, length:, length - 1] = np.where(known, v.hash_id[at], -1)
+        slot = v.look_up(h)
+        known = slot >= 0
+        weight[:, length:, length - 1] = np.where(known, v.slot_weight[slot], v.unknown if length == 1 else -np.inf)
+        ids[:, length:, length - 1] = np.where(known, v.slot_id[slot], -1)
     forward = np.full((k, m + 1), -np.inf)
     forward[:, 0] = 0.0
-    cum = np.ones((k, m + 1, wide))
+    cum = np.ones((k, m + 1, wide), np.float32)
     for j in range(1, m + 1):
         n = min(wide, j)
         terms = forward[:, j - n : j][:, ::-1] + weight[:, j, :n]
