@@ -193,7 +193,8 @@ def encode_batch(v: Vocabulary, texts: list[str | None], keys: list[int]) -> lis
         counts.append(len(found))
     if not unit_of:
         return [None if t is None else np.zeros(0, np.int32) for t in texts]
-    of, count = np.array(unit_of), np.array(counts)
+    of, count = np.array(unit_of, np.int32), np.array(counts)
+    del unit_of
     row = np.repeat(np.array([int(k) & ((1 << 64) - 1) for k in keys], U), count)
     no = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
     units = list(index)
@@ -209,24 +210,24 @@ def encode_batch(v: Vocabulary, texts: list[str | None], keys: list[int]) -> lis
                 got.append((np.full(n, o), np.arange(n)[::-1], *np.array(picked, np.int64).T))
             continue
         distinct, inverse = np.unique(of[occ], return_inverse=True)
-        size = max(1, 4_000_000 // int((m + 1) * min(v.longest, m)))
+        size = max(1, 1_000_000 // int((m + 1) * min(v.longest, m)))
         for lo in range(0, len(distinct), size):
             cum, ids = lattice(v, [marked(units[i]) for i in distinct[lo : lo + size]])
             mine = (inverse >= lo) & (inverse < lo + size)
-            o, u = occ[mine], inverse[mine] - lo
-            at, step = np.full(len(o), m), 0
+            o, u = occ[mine].astype(np.int32), inverse[mine] - lo
+            at, step = np.full(len(o), m, np.int32), 0
             while len(o):
                 x = draws(row[o], no[o], np.full(len(o), step))
                 length = (x[:, None] >= cum[u, at]).sum(1)
-                piece = ids[u, at, length].astype(np.int64)
-                at = at - length - 1
-                got.append((o, np.full(len(o), step), piece, at))
+                piece = ids[u, at, length]
+                at = (at - length - 1).astype(np.int32)
+                got.append((o, np.full(len(o), step, np.int32), piece, at))
                 step += 1
                 taken[o] = step
                 on = at > 0
                 o, u, at = o[on], u[on], at[on]
     ends = np.cumsum(taken)
-    piece, at, occ = (np.empty(ends[-1], np.int64) for _ in range(3))
+    piece, at, occ = (np.empty(ends[-1], np.int32) for _ in range(3))
     for o, after, p, c in got:
         to = ends[o] - 1 - after
         piece[to], at[to], occ[to] = p, c, o
@@ -276,7 +277,7 @@ def encoder(model: str, seed: int, heat: float, digest: bool):
     return run
 
 
-def in_parts(b: pa.RecordBatch, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def in_parts(b: pa.RecordBatch, most: int = 3_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of about `most` bytes of text, of one row at least."""
     size = np.cumsum([len(t.as_py() or b"") for t in b.column("text").cast(pa.binary())])
     lo = 0
