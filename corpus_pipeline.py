@@ -12,7 +12,7 @@ from tidemark.llm.decontaminate import find_contamination
 from tidemark.llm.lines import drop_boilerplate
 from tidemark.llm.pieces import MODEL, encode
 from tidemark.llm.quality import keep_accepted, train
-from tidemark.llm.simhash import drop_near_duplicates
+from tidemark.llm.similar import drop_similar
 from tidemark.llm.stage import staged
 from tidemark.llm.text import read_table, row_key
 
@@ -31,8 +31,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near-duplicates, the one with the smallest doc_id."""
-    return drop_near_duplicates(docs)
+    """Keeps one document of each group linked by five-word shingle similarity of 0.8 or more, the one with the smallest doc_id."""
+    return drop_similar(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,18 +37,26 @@ BLOCK = 16
 SEED = 42
 
 
-def simhash(text: bytes | None, shingle: int = 4) -> int:
-    """64-bit fingerprint of lower-cased (A-Z) words in shingles."""
+def shingle_hashes(text: bytes | None, shingle: int) -> np.ndarray:
+    """Hashes of all shingles of lower-cased (A-Z) words; fewer words than a shingle are one, no words none."""
     words = (text or b"").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     n = max(1, len(words) - shingle + 1)
     starts = np.concatenate(([0], ends[: n - 1] + 1)).tolist()
     stops = ends[min(shingle, len(words)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops)), np.uint64, n)
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops)), np.uint64, n)
+
+
+def simhash(text: bytes | None, shingle: int = 4) -> int:
+    """64-bit fingerprint of the shingles; no words have fingerprint zero."""
+    h = shingle_hashes(text, shingle)
+    n = len(h)
+    if not n:
+        return 0
     ones = np.zeros(64, np.int64)
     for i in range(0, n, 1 << 16):
         ones += np.unpackbits(h[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
