@@ -45,17 +45,9 @@ def held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
 
 
-#: Blocks that give texts to the fold: in each partition the first and then every so many.
-FOLD_BLOCKS = 4
-
-
 def deleted(doc_id: int | None) -> bool:
-    """In a fold block, the training texts that the weights are learned on."""
-    return doc_id is not None and xxhash.xxh64_intdigest(str(doc_id), 7) % 4 == 0
-
-
-def gives_fold(block: str) -> bool:
-    return int(block.split("-")[1]) % FOLD_BLOCKS == 0
+    """The fold of the training texts that the weights are learned on."""
+    return doc_id is not None and xxhash.xxh64_intdigest(str(doc_id), 7) % 10 == 0
 
 
 def squeeze(x: np.ndarray) -> bytes:
@@ -114,7 +106,7 @@ def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Block:
     """A packed block spelled out: its distinct words and pairs, with their hashes and own counts."""
 
-    def __init__(self, name: str, ids: list, sizes: bytes, words: bytes, tokens: bytes):
+    def __init__(self, ids: list, sizes: bytes, words: bytes, tokens: bytes):
         self.ids = ids
         self.sizes = spread(sizes)
         text = zlib.decompress(words)
@@ -124,7 +116,7 @@ class Block:
         ends = np.cumsum(self.sizes)
         doc = np.repeat(np.arange(len(ids), dtype=np.int32), self.sizes)
         held = np.array([held_out(i) for i in ids])
-        fold = np.array([gives_fold(name) and deleted(i) for i in ids]) & ~held
+        fold = np.array([deleted(i) for i in ids]) & ~held
         self.train, self.fold = ~held[doc], fold[doc]
         # a text starts after its own end: its first context is the end token
         self.v = np.empty_like(self.w)
@@ -161,7 +153,7 @@ def rows_of(b: pa.RecordBatch) -> Iterator[dict]:
 
 def blocks_of(b: pa.RecordBatch) -> Iterator[tuple[str, Block]]:
     for r in rows_of(b):
-        yield r["block"], Block(r["block"], r["ids"], r["sizes"], r["words"], r["tokens"])
+        yield r["block"], Block(r["ids"], r["sizes"], r["words"], r["tokens"])
 
 
 def requests(buckets: int):
@@ -191,7 +183,10 @@ ANSWER = "block string, bucket bigint, rest binary, every binary, tokens bigint,
 
 
 def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each request's counts in its own order; rows come sorted by bucket. A row without block holds the bucket's sums."""
+    """Each request's counts in its own order; rows come sorted by bucket. A row without block holds the bucket's sums.
+
+    Counts without the fold are told of the keys in the block's own fold texts: no others are predicted with them.
+    """
 
     def settle(rows: list[dict]) -> Iterator[pa.RecordBatch]:
         bucket = rows[0]["bucket"]
@@ -215,9 +210,9 @@ def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, out = 0, []
         for r in rows:
             n = len(r["keys"]) // (16 if word else 8)
-            g = group[at : at + n]
+            g, mine = group[at : at + n], fold[at : at + n] > 0
             at += n
-            out.append((r["block"], bucket, squeeze(rest[g]), squeeze(every[g]), None, None))
+            out.append((r["block"], bucket, squeeze(rest[g[mine]]), squeeze(every[g]), None, None))
         if word:
             out.append((None, bucket, None, None, int(every.sum()), int((every > 0).sum())))
             out.append((None, -bucket - 1, None, None, int(rest.sum()), int((rest > 0).sum())))
@@ -238,10 +233,12 @@ def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def counts_of(block: Block, told: list[dict], buckets: int, which: str) -> tuple[np.ndarray, np.ndarray]:
-    """Corpus counts of the block's words and pairs from its answers."""
+    """Corpus counts of the block's words and pairs from its answers; of "rest", of those in its fold."""
     found = []
     for kind, n in ((WORD, len(block.words)), (PAIR, len(block.pairs))):
         order, _ = block.route(kind, buckets)
+        if which == "rest":
+            order = order[block.own(kind)[1][order] > 0]
         mine = sorted((a for a in told if a["bucket"] % 2 == kind), key=lambda a: a["bucket"])
         count = np.zeros(n, np.int64)
         count[order] = np.concatenate([spread(a[which]) for a in mine])
@@ -268,7 +265,7 @@ def fold_rows(buckets: int, n: int, types: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in rows_of(b):
-                block = Block(r["block"], r["ids"], r["sizes"], r["words"], r["tokens"])
+                block = Block(r["ids"], r["sizes"], r["words"], r["tokens"])
                 if not block.fold.any():
                     continue
                 word, pair = counts_of(block, r["told"], buckets, "rest")
@@ -315,7 +312,7 @@ def score_rows(buckets: int, n: int, types: int, mix: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in rows_of(b):
-                block = Block(r["block"], r["ids"], r["sizes"], r["words"], r["tokens"])
+                block = Block(r["ids"], r["sizes"], r["words"], r["tokens"])
                 word, pair = counts_of(block, r["told"], buckets, "every")
                 bucket, p = estimates(word, pair, block, n, types)
                 mixed = np.log10((mix[bucket] * p).sum(1))
@@ -353,14 +350,13 @@ def score_texts(docs: DataFrame, tokens_per_bucket: int = 1_000_000) -> DataFram
         r = told.where(f"block is null and {where}").agg(F.sum("tokens"), F.sum("types")).first()
         return r[0] or 0, r[1] or 0
 
-    def answered(which: str, some: F.Column) -> DataFrame:
-        mine = told.where(F.col("block").isNotNull() & some).groupBy("block").agg(F.collect_list(F.struct("bucket", which)).alias("told"))
-        return blocks.where(some).join(mine, "block").select("block", "ids", "sizes", "words", "tokens", "told")
+    def answered(which: str) -> DataFrame:
+        mine = told.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("bucket", which)).alias("told"))
+        return blocks.join(mine, "block").select("ids", "sizes", "words", "tokens", "told")
 
-    fold_blocks = F.split_part("block", F.lit("-"), F.lit(2)).cast("int") % FOLD_BLOCKS == 0
-    events = staged(answered("rest", fold_blocks).mapInArrow(fold_rows(buckets, *totals("bucket < 0")), "events binary"))
+    events = staged(answered("rest").mapInArrow(fold_rows(buckets, *totals("bucket < 0")), "events binary"))
     mix = learn(events)
-    return answered("every", F.lit(True)).mapInArrow(score_rows(buckets, *totals("bucket >= 0"), mix), SCORES)
+    return answered("every").mapInArrow(score_rows(buckets, *totals("bucket >= 0"), mix), SCORES)
 
 
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
