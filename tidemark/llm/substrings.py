@@ -20,7 +20,6 @@ get equal results; an empty table gives an empty result; extra columns are ignor
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -185,10 +184,11 @@ def run_rows(window: int, buckets: int):
     """Of each batch: the runs at repeated anchors, one of each content, packed by bucket of the content hash.
 
     Runs that repeat inside the batch are settled here; one row a batch carries them and the batch's keys.
+    A batch's name is its place: rows come sorted, so a task that is run again makes and names the same batches.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for no, b in enumerate(batches):
             parts = []
             keys = b.column("key").to_pylist()
             docs = np.zeros(len(keys), DOC)
@@ -209,7 +209,7 @@ def run_rows(window: int, buckets: int):
             if not len(x):
                 continue
             x, new, later = earliest(x, docs)
-            name = f"{TaskContext.get().partitionId()}-{uuid.uuid4().hex}"
+            name = f"{TaskContext.get().partitionId()}-{no}"
             rows = [(int(keys[0][:8], 16) % buckets, name, spots_of(x[later]), None, keys)]
             ahead = x[new]
             bucket = (ahead["a"] >> U(1)).astype(np.int64) % buckets
@@ -284,20 +284,29 @@ def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(keys, pa.string()), pa.array(starts, pa.binary())], ["key", "starts"])
 
 
-def repeats(docs: DataFrame, window: int = 20, runs_per_bucket: int = 500_000) -> DataFrame:
-    """key, starts: of each row (named by content) the starts of its later runs, packed as int32."""
-    rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("text").cast("string").alias("text"))
+def batch_runs(rows: DataFrame, met: DataFrame, window: int, buckets: int) -> DataFrame:
+    """RUNS of rows (doc_id, key, text) at the anchors met (key, at); equal keys are equal rows, so the order is fixed."""
+    return rows.join(met, "key").sortWithinPartitions("key").mapInArrow(run_rows(window, buckets), RUNS)
+
+
+def anchors_met(rows: DataFrame, window: int) -> DataFrame:
+    """key, at: of rows (key, text) the places of repeated seeds, each once however often the row is repeated."""
     seeds = rows.select("key", "text").mapInArrow(seed_rows(window), "route bigint, seed bigint, key string, at int, times tinyint")
-    met = (
+    return (
         seeds.repartition("route")
         .sortWithinPartitions("route", "seed")
         .mapInArrow(repeated_seeds, "key string, at int")
         .groupBy("key")
-        .agg(F.collect_list("at").alias("at"))
+        .agg(F.collect_set("at").alias("at"))
     )
-    met = staged(met)
+
+
+def repeats(docs: DataFrame, window: int = 20, runs_per_bucket: int = 500_000) -> DataFrame:
+    """key, starts: of each row (named by content) the starts of its later runs, packed as int32."""
+    rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("text").cast("string").alias("text"))
+    met = staged(anchors_met(rows, window))
     places = met.agg(F.sum(F.size("at"))).first()[0] or 0
-    runs = rows.join(met, "key").mapInArrow(run_rows(window, max(16, 8 * places // runs_per_bucket)), RUNS)
+    runs = batch_runs(rows, met, window, max(16, 8 * places // runs_per_bucket))
     later = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(later_runs, LATER)
     # a batch's answers meet again: as many documents as one Arrow batch holds
     whole = later.groupBy("batch").agg(F.collect_list("spots").alias("spots"), F.any_value("keys", True).alias("keys"))
