@@ -7,13 +7,13 @@ scaled to length one, and a linear hinge-loss model is fitted by dual coordinate
 logistic curve fitted on a fifth of the sample, which the model has not seen, turns its
 margins into probabilities.
 
-The model is fitted in one task on at most `sample` labelled rows (a documented bound; the
-rows with the least hash of doc_id); its weights (2**BITS floats) go with the scoring tasks,
+The model is fitted in one task on at most `sample` labelled documents (a documented bound; of
+each class those with the least hash of doc_id, a rare class with more than its share); its weights (2**BITS floats) go with the scoring tasks,
 which read every text whole and shuffle nothing.
 
 Defined results: a null or empty text is scored by its lack of features; rows with a null
 doc_id are scored and never learned from; of repeated labels of a doc_id the lowest counts;
-without rows of both classes every score is 0.5; an empty table gives an empty result.
+without two documents of both classes every score is 0.5 and the filter keeps all rows; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.stage import staged
 from tidemark.llm.text import read_table
 
 BITS = 18
@@ -101,11 +102,14 @@ def logistic_fit(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, bits: int, cost: float = 1.0, rounds: int = 12) -> tuple[np.ndarray, np.ndarray, float, float] | None:
-    """(ratios, weights, a, b) or None where a class is missing."""
+    """(ratios, weights, a, b) or None where a class has fewer than two rows. Every fifth row of a class calibrates, one at least."""
     size = 1 << bits
-    held = np.arange(len(rows)) % 5 == 4
-    if min(((y == k) & ~held).sum() for k in (1, -1)) == 0 or min(((y == k) & held).sum() for k in (1, -1)) == 0:
-        return None
+    held = np.zeros(len(rows), bool)
+    for k in (1, -1):
+        mine = np.flatnonzero(y == k)
+        if len(mine) < 2:
+            return None
+        held[mine[4::5] if len(mine) >= 5 else mine[-1:]] = True
     learn = [r for r, h in zip(rows, held) if not h]
     ratio = log_count_ratio(learn, y[~held], size)
     values = [ratio[r] / max(1e-12, np.sqrt((ratio[r] ** 2).sum())) for r in learn]
@@ -142,20 +146,38 @@ def _fit(bits: int):
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> tuple | None:
-    """The model of labels (doc_id, label) over docs (doc_id, text), from at most `sample` rows."""
-    chosen = (
+    """The model of labels (doc_id, label) over docs (doc_id, text), from at most `sample` documents.
+
+    The sample keeps the classes' shares, but of a rare class it takes up to an eighth of its places; the
+    calibration is then set back to the shares of all labels. A repeated doc_id counts once, with its least text.
+    """
+    known = staged(
         labels.where("doc_id is not null and label is not null")
         .groupBy("doc_id")
         .agg(F.min("label").cast("int").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample)
+        .join(docs.select("doc_id"), "doc_id", "left_semi")
+    )
+    good = F.col("label") == 1
+    n = known.agg(F.count(F.when(good, 1)), F.count(F.when(~good, 1))).first()
+    if min(n) < 2:
+        return None
+    places = [k if sum(n) <= sample else max(min(k, sample // 8), sample * k // sum(n)) for k in n]
+    if sum(places) > sample:
+        places[int(np.argmax(places))] -= sum(places) - sample
+    first = [known.where(of).orderBy(F.xxhash64("doc_id"), "doc_id").limit(k) for of, k in zip((good, ~good), places)]
+    chosen = first[0].union(first[1])
+    texts = (
+        docs.select("doc_id", F.col("text").cast("string").alias("text"))
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min("label").alias("label"), F.min("text").alias("text"))
     )
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     slots = texts.select("doc_id", "label", "text").mapInArrow(_rows(bits), "doc_id bigint, label int, slots binary")
     found = slots.repartition(1).mapInArrow(_fit(bits), "ratio binary, weights binary, a double, b double").first()
     if found is None:
         return None
-    return np.frombuffer(found["ratio"], np.float32), np.frombuffer(found["weights"], np.float32), found["a"], found["b"]
+    shift = float(np.log(n[0] / n[1]) - np.log(places[0] / places[1]))
+    return np.frombuffer(found["ratio"], np.float32), np.frombuffer(found["weights"], np.float32), found["a"], found["b"] + shift
 
 
 def scorer(model: tuple | None, bits: int = BITS):
@@ -184,7 +206,9 @@ def score(docs: DataFrame, model: tuple | None, bits: int = BITS) -> DataFrame:
 
 
 def keep_accepted(docs: DataFrame, model: tuple | None, threshold: float = THRESHOLD, bits: int = BITS) -> DataFrame:
-    """The rows of docs whose score is `threshold` or more; all columns stay and no row is moved."""
+    """The rows of docs whose score is `threshold` or more, all where there is no model; all columns stay and no row is moved."""
+    if model is None:
+        return docs
     of = scorer(model, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
