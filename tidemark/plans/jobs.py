@@ -320,7 +320,7 @@ def boosted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = staged(train.encoded(labelled(spark, sf_dir)))
     grid = features.month_grid(batches(spark)).where(F.add_months("scoring_date", 6) <= F.lit(CUTOFF))
     split = dataset.purged_split(rows, grid)
-    model = train.train(split, trees=20)
+    model = train.train(split)
     return train.score(model, split.where("part = 'test'")).select("usdot_number", "scoring_date", "label", "probability")
 
 
