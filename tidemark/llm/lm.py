@@ -3,18 +3,22 @@
 P(w | v) = l2 c(v w)/c(v) + l1 c(w)/N + l0 /(V+1): maximum-likelihood estimates of two orders
 and a uniform floor, mixed by weights that depend on how often the context v was seen (buckets
 of powers of two). The weights are learned by expectation-maximisation on held-out counts: a
-fold of the training texts is deleted from the counts and predicted from what is left.
-
-Counts live in a shuffle, not in the driver or a broadcast. Texts are packed into blocks (some
-thousand texts; each word once, tokens as numbers) and written to the shared folder. Each block
-asks for the counts of its distinct words and word pairs, once each: requests are packed by
-bucket of the key's hash, added up by bucket, and answered to the blocks that asked. A word in
-every text is one request a block; nothing gathers a word's occurrences. Words are keyed by 128
-bits, pairs by 64.
+fold of the training texts (a tenth, by doc_id hash) is deleted from the counts and predicted
+from what is left.
+
+Counts live in a shuffle, not in the driver or a broadcast. Texts are packed into blocks of some
+megabytes and written to the shared folder; the texts of the fold are packed once more into
+blocks of their own. Each block asks for the counts of its distinct words and word pairs, once
+each, and sends its own counts along: keys are cut into ranges of their hash, sorted and sent as
+differences. A range is added up in one task and answered to the blocks that asked: the counts
+of all training texts to the blocks of texts, those without the fold to the blocks of the fold.
+A word in every text is one request a block; nothing gathers a word's occurrences. Words are
+keyed by 80 bits, pairs by 56. Ranges grow in number with the input, not in size; a task holds
+one range or one block at a time, and the one text at hand whole.
 
 Defined results: a null or empty text is one end token; a null doc_id counts as training; repeated
 rows are counted and scored each time; where nothing is learned the model is the uniform floor;
-an empty table gives an empty result; extra columns are ignored.
+an empty table gives an empty result; extra columns are ignored. doc_id is an integer.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +43,9 @@ END = b"\n"
 BUCKETS = 24
 U = np.uint64
 WORD, PAIR = 0, 1
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 8_000_000
+KEYS_PER_RANGE = 500_000
+PAIR_BITS = 56
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -47,7 +54,7 @@ def held_out(doc_id: int | None) -> bool:
 
 def deleted(doc_id: int | None) -> bool:
     """The fold of the training texts that the weights are learned on."""
-    return doc_id is not None and xxhash.xxh64_intdigest(str(doc_id), 7) % 10 == 0
+    return doc_id is not None and not held_out(doc_id) and xxhash.xxh64_intdigest(str(doc_id), 7) % 10 == 0
 
 
 def squeeze(x: np.ndarray) -> bytes:
@@ -61,240 +68,273 @@ def spread(b: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(b[1:]), np.dtype(chr(b[0]))).astype(np.int64)
 
 
-BLOCK = "block string, ids array<bigint>, sizes binary, words binary, tokens binary"
+def differences(x: np.ndarray) -> bytes:
+    """Ascending uint64 numbers as the first one and the steps between them, in as few bytes each as the largest step takes."""
+    steps = np.diff(x)
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
+    return bytes([width]) + x[:1].tobytes() + steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of texts: ids, tokens a text, the distinct words in order of first use, word numbers of all tokens."""
-    part, no = TaskContext.get().partitionId(), 0
-    ids: list[int | None] = []
-    sizes: list[int] = []
-    tokens: list[int] = []
-    index: dict[bytes, int] = {END: 0}
-    volume = 0
-
-    def out() -> pa.RecordBatch:
-        # words hold no white space, so a line feed parts them
-        words = b"\n".join(list(index)[1:])
-        return pa.record_batch(
-            [
-                pa.array([f"{part}-{no}"]),
-                pa.array([ids], pa.list_(pa.int64())),
-                pa.array([squeeze(np.array(sizes, np.int64))], pa.binary()),
-                pa.array([zlib.compress(words, 1)], pa.binary()),
-                pa.array([squeeze(np.array(tokens, np.int64))], pa.binary()),
-            ],
-            ["block", "ids", "sizes", "words", "tokens"],
-        )
+def sums(b: bytes) -> np.ndarray:
+    width = b[0]
+    steps = np.frombuffer(b, np.uint8, offset=9).reshape(-1, width)
+    whole = np.zeros((len(steps) + 1, 8), np.uint8)
+    whole[0] = np.frombuffer(b, np.uint8, 8, 1)
+    whole[1:, :width] = steps
+    return np.cumsum(whole.view(U)[:, 0], dtype=U)
+
+
+BLOCK = "block string, n_tokens bigint, ids array<bigint>, texts binary"
+
+
+class Packer:
+    """Gathers texts until they fill a block."""
+
+    def __init__(self, name: str):
+        self.name, self.no = name, 0
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids: list[int | None] = []
+        self.texts: list[bytes] = []
+        self.volume = self.tokens = 0
+
+    def add(self, doc_id: int | None, words: list[bytes]) -> Iterator[pa.RecordBatch]:
+        self.ids.append(doc_id)
+        self.texts.append(b" ".join(words))
+        self.volume += len(self.texts[-1]) + 8
+        self.tokens += len(words) + 1
+        if self.volume >= BLOCK_BYTES:
+            yield from self.out()
+
+    def out(self) -> Iterator[pa.RecordBatch]:
+        if self.ids:
+            texts = zstandard.ZstdCompressor(level=3).compress(b"\n".join(self.texts))
+            columns = [pa.array([f"{self.name}-{self.no}"]), pa.array([self.tokens]), pa.array([self.ids], pa.list_(pa.int64())), pa.array([texts], pa.binary())]
+            yield pa.record_batch(columns, ["block", "n_tokens", "ids", "texts"])
+            self.no += 1
+            self.clear()
 
+
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of lower-cased texts (names a-...), and of the fold's texts once more (names f-...)."""
+    part = TaskContext.get().partitionId()
+    every, fold = Packer(f"a-{part}"), Packer(f"f-{part}")
     for b in batches:
-        for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary())):
-            raw = (t.as_py() or b"").lower()
-            found = [index.setdefault(w, len(index)) for w in raw.split()]
-            found.append(0)
-            tokens += found
-            ids.append(i)
-            sizes.append(len(found))
-            volume += len(raw)
-            if volume >= BLOCK_BYTES:
-                yield out()
-                no, ids, sizes, tokens, index, volume = no + 1, [], [], [], {END: 0}, 0
-    if ids:
-        yield out()
+        texts = b.column("text")
+        for at, i in enumerate(b.column("doc_id").to_pylist()):
+            words = (texts[at].as_py() or "").encode().lower().split()
+            yield from every.add(i, words)
+            if deleted(i):
+                yield from fold.add(i, words)
+    yield from every.out()
+    yield from fold.out()
 
 
 class Block:
-    """A packed block spelled out: its distinct words and pairs, with their hashes and own counts."""
-
-    def __init__(self, ids: list, sizes: bytes, words: bytes, tokens: bytes):
-        self.ids = ids
-        self.sizes = spread(sizes)
-        text = zlib.decompress(words)
-        self.words = [END, *(text.split(b"\n") if text else [])]
-        self.w = spread(tokens).astype(np.int32)
-        n = len(self.words)
+    """A block spelled out: its tokens, distinct words and distinct pairs, with their keys in ascending order."""
+
+    def __init__(self, name: str, ids: list, texts: bytes):
+        self.ids, self.is_fold = ids, name[0] == "f"
+        index: dict[bytes, int] = {END: 0}
+        found: list[np.ndarray] = []
+        for line in zstandard.ZstdDecompressor().decompress(texts).split(b"\n"):
+            words = line.split()
+            found.append(np.fromiter((index.setdefault(w, len(index)) for w in words), np.int32, len(words)))
+        self.sizes = np.array([len(x) + 1 for x in found], np.int64)
         ends = np.cumsum(self.sizes)
-        doc = np.repeat(np.arange(len(ids), dtype=np.int32), self.sizes)
-        held = np.array([held_out(i) for i in ids])
-        fold = np.array([deleted(i) for i in ids]) & ~held
-        self.train, self.fold = ~held[doc], fold[doc]
-        # a text starts after its own end: its first context is the end token
-        self.v = np.empty_like(self.w)
-        self.v[1:] = self.w[:-1]
-        self.v[ends - self.sizes] = 0
-        self.doc = doc
-        digest = [xxhash.xxh3_128_digest(x) for x in self.words]
-        both = np.frombuffer(b"".join(digest), U).reshape(n, 2)
-        self.hash = both
-        self.pairs, pair = np.unique(self.v.astype(np.int64) * n + self.w, return_inverse=True)
+        # each text ends with the end token and starts after its own end: its first context is the end token
+        self.w = np.zeros(int(ends[-1]), np.int32)
+        for x, end in zip(found, ends):
+            self.w[end - 1 - len(x) : end - 1] = x
+        v = np.empty_like(self.w)
+        v[1:] = self.w[:-1]
+        v[ends - self.sizes] = 0
+        self.doc = np.repeat(np.arange(len(ids), dtype=np.int32), self.sizes)
+        self.n = len(index)
+        digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x) for x in index), U).reshape(-1, 2)
+        self.pairs, pair = np.unique(v.astype(np.int64) * self.n + self.w, return_inverse=True)
         self.pair = pair.astype(np.int32)
-        a, b = both[self.pairs // n, 0], both[self.pairs % n, 0]
+        a, b = digest[self.pairs // self.n, 0], digest[self.pairs % self.n, 0]
         h = (a ^ (a >> U(29))) * U(0xBF58476D1CE4E5B9) + b
-        self.pair_hash = (h ^ (h >> U(32))) * U(0x94D049BB133111EB)
-
-    def own(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of the training texts without and within the fold, by word or pair."""
-        at, n = (self.w, len(self.words)) if kind == WORD else (self.pair, len(self.pairs))
-        return np.bincount(at[self.train & ~self.fold], minlength=n), np.bincount(at[self.fold], minlength=n)
-
-    def route(self, kind: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """Entries ordered by bucket and then by hash, and their buckets."""
-        h = self.hash[:, 1] if kind == WORD else self.pair_hash
-        bucket = ((h >> U(40)) % U(buckets)).astype(np.int64)
-        order = np.lexsort((h, bucket))
-        return order, bucket[order]
+        h = (h ^ (h >> U(32))) * U(0x94D049BB133111EB)
+        self.key = {WORD: digest[:, 0], PAIR: (h ^ (h >> U(29))) >> U(64 - PAIR_BITS)}
+        self.tail = {WORD: digest[:, 1].astype(np.uint16), PAIR: None}
+        self.order = {k: np.argsort(self.key[k], kind="stable") for k in (WORD, PAIR)}
+
+    def counts(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each word or pair: its count in the training texts without the fold, and in the fold. A block of the fold only asks."""
+        at, n = (self.w, self.n) if kind == WORD else (self.pair, len(self.pairs))
+        if self.is_fold:
+            return np.zeros(n, np.int64), np.zeros(n, np.int64)
+        fold = np.array([deleted(i) for i in self.ids])[self.doc]
+        held = np.array([held_out(i) for i in self.ids])[self.doc]
+        return np.bincount(at[~held & ~fold], minlength=n), np.bincount(at[fold], minlength=n)
+
+    def ranges(self, kind: int, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Ranges of the hash with the entries in them, both ascending."""
+        order = self.order[kind]
+        key = self.key[kind][order]
+        top = (key >> U(32 if kind == WORD else PAIR_BITS - 32)) * U(ranges) >> U(32)
+        cuts = np.flatnonzero(np.concatenate(([True], top[1:] != top[:-1], [True])))
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            yield int(top[lo]), order[lo:hi]
 
 
 def rows_of(b: pa.RecordBatch) -> Iterator[dict]:
     """Rows one by one: the packed columns of a whole batch would be held twice."""
     for i in range(b.num_rows):
-        yield b.slice(i, 1).to_pylist()[0]
+        yield {n: b.column(n)[i].as_py() for n in b.schema.names}
+
 
+def batch_of(rows: list[tuple], names: list[str], kinds: tuple) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([r[j] for r in rows], k) for j, k in enumerate(kinds)], names)
 
-def blocks_of(b: pa.RecordBatch) -> Iterator[tuple[str, Block]]:
-    for r in rows_of(b):
-        yield r["block"], Block(r["ids"], r["sizes"], r["words"], r["tokens"])
 
+ASKED = "part bigint, block string, keys binary, tails binary, rest binary, fold binary"
+
+
+def requests(ranges: int):
+    """Part 2 r + kind of the request goes to range r of the kind's hashes."""
+    names, kinds = ["part", "block", "keys", "tails", "rest", "fold"], (pa.int64(), pa.string(), *[pa.binary()] * 4)
 
-def requests(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for name, block in blocks_of(b):
-                rows = []
+            for r in rows_of(b):
+                block, rows = Block(r["block"], r["ids"], r["texts"]), []
                 for kind in (WORD, PAIR):
-                    rest, fold = block.own(kind)
-                    order, bucket = block.route(kind, buckets)
-                    keys = block.hash if kind == WORD else block.pair_hash
-                    cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
-                    for lo, hi in zip(cuts[:-1], cuts[1:]):
-                        at = order[lo:hi]
-                        rows.append((int(bucket[lo]) * 2 + kind, name, keys[at].tobytes(), squeeze(rest[at]), squeeze(fold[at])))
-                for i in range(0, len(rows), 500):
-                    part = rows[i : i + 500]
-                    yield pa.record_batch(
-                        [pa.array([r[j] for r in part], k) for j, k in enumerate((pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary()))],
-                        ["bucket", "block", "keys", "rest", "fold"],
-                    )
+                    rest, fold = block.counts(kind)
+                    for top, at in block.ranges(kind, ranges):
+                        tails = block.tail[kind][at].tobytes() if kind == WORD else None
+                        told = (None, None) if block.is_fold else (squeeze(rest[at]), squeeze(fold[at]))
+                        rows.append((2 * top + kind, r["block"], differences(block.key[kind][at]), tails, *told))
+                        if len(rows) == 200:
+                            yield batch_of(rows, names, kinds)
+                            rows = []
+                if rows:
+                    yield batch_of(rows, names, kinds)
 
     return run
 
 
-ANSWER = "block string, bucket bigint, rest binary, every binary, tokens bigint, types bigint"
+ANSWER = "block string, part bigint, counts binary, tokens bigint, types bigint"
 
 
 def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each request's counts in its own order; rows come sorted by bucket. A row without block holds the bucket's sums.
-
-    Counts without the fold are told of the keys in the block's own fold texts: no others are predicted with them.
-    """
-
-    def settle(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        bucket = rows[0]["bucket"]
-        word = bucket % 2 == WORD
-        rest = np.concatenate([spread(r["rest"]) for r in rows])
-        fold = np.concatenate([spread(r["fold"]) for r in rows])
-        if word:
-            pair = np.concatenate([np.frombuffer(r["keys"], U) for r in rows]).reshape(-1, 2)
-            order = np.lexsort((pair[:, 1], pair[:, 0]))
-            s = pair[order]
-            new = np.concatenate(([True], (s[1:] != s[:-1]).any(1)))
+    """Each request's counts in its own order; rows come sorted by part. A row without block holds the part's sums: of
+    all counts, and of those without the fold under the part's negative number."""
+    names, kinds = ["block", "part", "counts", "tokens", "types"], (pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+
+    def settle(part: int, rows: list[dict]) -> Iterator[pa.RecordBatch]:
+        key = [sums(r["keys"]) for r in rows]
+        size = np.array([len(x) for x in key])
+        key = np.concatenate(key)
+        if part % 2 == WORD:
+            tail = np.concatenate([np.frombuffer(r["tails"], np.uint16) for r in rows])
+            order = np.lexsort((tail, key))
+            new = np.concatenate(([True], (np.diff(key[order]) != 0) | (np.diff(tail[order].astype(np.int32)) != 0)))
         else:
-            key = np.concatenate([np.frombuffer(r["keys"], U) for r in rows])
             order = np.argsort(key, kind="stable")
-            s = key[order]
-            new = np.concatenate(([True], s[1:] != s[:-1]))
+            new = np.concatenate(([True], np.diff(key[order]) != 0))
         group = np.empty(len(order), np.int64)
         group[order] = np.cumsum(new) - 1
-        rest = np.bincount(group, rest).astype(np.int64)
-        every = rest + np.bincount(group, fold).astype(np.int64)
-        at, out = 0, []
-        for r in rows:
-            n = len(r["keys"]) // (16 if word else 8)
-            g, mine = group[at : at + n], fold[at : at + n] > 0
-            at += n
-            out.append((r["block"], bucket, squeeze(rest[g[mine]]), squeeze(every[g]), None, None))
-        if word:
-            out.append((None, bucket, None, None, int(every.sum()), int((every > 0).sum())))
-            out.append((None, -bucket - 1, None, None, int(rest.sum()), int((rest > 0).sum())))
-        for i in range(0, len(out), 500):
-            part = out[i : i + 500]
-            kinds = (pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-            yield pa.record_batch([pa.array([r[j] for r in part], k) for j, k in enumerate(kinds)], ["block", "bucket", "rest", "every", "tokens", "types"])
+        del key, order
+        n, at = int(new.sum()), np.concatenate(([0], np.cumsum(size)))
+        rest, every = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for r, lo, hi in zip(rows, at[:-1], at[1:]):
+            if r["rest"] is not None:
+                # a request names each key once
+                x = spread(r["rest"])
+                rest[group[lo:hi]] += x
+                every[group[lo:hi]] += x + spread(r["fold"])
+        out = []
+        if part % 2 == WORD:
+            out += [(None, part, None, int(every.sum()), int((every > 0).sum())), (None, -part - 1, None, int(rest.sum()), int((rest > 0).sum()))]
+        for r, lo, hi in zip(rows, at[:-1], at[1:]):
+            told = rest if r["rest"] is None else every
+            out.append((r["block"], part, squeeze(told[group[lo:hi]]), None, None))
+        for i in range(0, len(out), 200):
+            yield batch_of(out[i : i + 200], names, kinds)
 
     held: list[dict] = []
     for b in batches:
         for r in rows_of(b):
-            if held and held[-1]["bucket"] != r["bucket"]:
-                yield from settle(held)
+            if held and held[-1]["part"] != r["part"]:
+                yield from settle(held[-1]["part"], held)
                 held = []
             held.append(r)
     if held:
-        yield from settle(held)
+        yield from settle(held[-1]["part"], held)
 
 
-def counts_of(block: Block, told: list[dict], buckets: int, which: str) -> tuple[np.ndarray, np.ndarray]:
-    """Corpus counts of the block's words and pairs from its answers; of "rest", of those in its fold."""
-    found = []
-    for kind, n in ((WORD, len(block.words)), (PAIR, len(block.pairs))):
-        order, _ = block.route(kind, buckets)
-        if which == "rest":
-            order = order[block.own(kind)[1][order] > 0]
-        mine = sorted((a for a in told if a["bucket"] % 2 == kind), key=lambda a: a["bucket"])
-        count = np.zeros(n, np.int64)
-        count[order] = np.concatenate([spread(a[which]) for a in mine])
-        found.append(count)
-    return found[0], found[1]
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, np.ndarray, np.ndarray]]:
+    """Each block with the counts of its words and pairs; rows come sorted by block and part, the block itself first."""
+
+    def out(rows: list[dict]) -> tuple[Block, np.ndarray, np.ndarray]:
+        block = Block(rows[0]["block"], rows[0]["ids"], rows[0]["data"])
+        found = []
+        for kind, n in ((WORD, block.n), (PAIR, len(block.pairs))):
+            count = np.zeros(n, np.int64)
+            count[block.order[kind]] = np.concatenate([spread(r["data"]) for r in rows[1:] if r["part"] % 2 == kind])
+            found.append(count)
+        return block, *found
+
+    held: list[dict] = []
+    for b in batches:
+        for r in rows_of(b):
+            if held and held[-1]["block"] != r["block"]:
+                yield out(held)
+                held = []
+            held.append(r)
+    if held:
+        yield out(held)
 
 
 def context_bucket(c: np.ndarray) -> np.ndarray:
     return np.minimum(np.ceil(np.log2(c + 1.0)), BUCKETS - 1).astype(np.int64)
 
 
-def estimates(word: np.ndarray, pair: np.ndarray, block: Block, n: int, types: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, P2 P1 P0) of each distinct pair of the block. Each token is a context once: also the end, of a text's first word."""
-    size = len(block.words)
-    v, w = block.pairs // size, block.pairs % size
+def estimates(block: Block, word: np.ndarray, pair: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket, P2 and P1 of each distinct pair of the block. Each token is a context once: also the end, of a text's first word."""
+    v, w = block.pairs // block.n, block.pairs % block.n
     seen = word[v]
-    p = np.stack([pair / np.maximum(seen, 1), word[w] / max(n, 1), np.full(len(v), 1.0 / (types + 1))], 1)
-    return context_bucket(seen), p
+    return context_bucket(seen), pair / np.maximum(seen, 1), word[w] / max(n, 1)
+
+
+EVENTS = "bucket binary, p2 binary, p1 binary, times binary"
 
 
-def fold_rows(buckets: int, n: int, types: int):
-    """Held-out events of each block: bucket, the three estimates and how often they occur, packed."""
+def fold_events(n: int):
+    """Held-out events of each block of the fold: bucket, the estimates and how often they occur, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in rows_of(b):
-                block = Block(r["ids"], r["sizes"], r["words"], r["tokens"])
-                if not block.fold.any():
-                    continue
-                word, pair = counts_of(block, r["told"], buckets, "rest")
-                bucket, p = estimates(word, pair, block, n, types)
-                times = np.bincount(block.pair[block.fold], minlength=len(block.pairs))
-                some = times > 0
-                events = np.concatenate([bucket[some, None], p[some], times[some, None]], 1)
-                yield pa.record_batch([pa.array([events.tobytes()], pa.binary())], ["events"])
+        for block, word, pair in counted(batches):
+            bucket, p2, p1 = estimates(block, word, pair, n)
+            packed = (squeeze(bucket), p2.astype(np.float32).tobytes(), p1.astype(np.float32).tobytes(), squeeze(np.bincount(block.pair)))
+            yield batch_of([packed], ["bucket", "p2", "p1", "times"], (pa.binary(),) * 4)
 
     return run
 
 
-def learn(events: DataFrame, rounds: int = 12) -> np.ndarray:
+def learn(events: DataFrame, types: int, rounds: int = 12) -> np.ndarray:
     """Weights (BUCKETS, 3) by expectation-maximisation; each round is one aggregation of BUCKETS x 3 sums."""
     mix = np.tile([0.3, 0.6, 0.1], (BUCKETS, 1))
     for _ in range(rounds):
         now = mix
 
         def expect(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros((BUCKETS, 3))
+            total = np.zeros((BUCKETS, 3))
             for b in batches:
-                for e in b.column("events"):
-                    x = np.frombuffer(e.as_py(), np.float64).reshape(-1, 5)
-                    bucket = x[:, 0].astype(np.int64)
-                    share = now[bucket] * x[:, 1:4]
-                    share *= (x[:, 4] / share.sum(1))[:, None]
+                for e in rows_of(b):
+                    bucket = spread(e["bucket"])
+                    share = now[bucket]
+                    share[:, 0] *= np.frombuffer(e["p2"], np.float32)
+                    share[:, 1] *= np.frombuffer(e["p1"], np.float32)
+                    share[:, 2] /= types + 1
+                    share *= (spread(e["times"]) / share.sum(1))[:, None]
                     for k in range(3):
-                        sums[:, k] += np.bincount(bucket, share[:, k], BUCKETS)
-            yield pa.record_batch([pa.array(np.arange(BUCKETS)), *(pa.array(sums[:, k]) for k in range(3))], ["bucket", "s2", "s1", "s0"])
+                        total[:, k] += np.bincount(bucket, share[:, k], BUCKETS)
+            yield pa.record_batch([pa.array(np.arange(BUCKETS)), *(pa.array(total[:, k]) for k in range(3))], ["bucket", "s2", "s1", "s0"])
 
         got = events.mapInArrow(expect, "bucket bigint, s2 double, s1 double, s0 double").groupBy("bucket").agg(*[F.sum(c).alias(c) for c in ("s2", "s1", "s0")])
         new = mix.copy()
@@ -308,55 +348,56 @@ def learn(events: DataFrame, rounds: int = 12) -> np.ndarray:
     return mix
 
 
-def score_rows(buckets: int, n: int, types: int, mix: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in rows_of(b):
-                block = Block(r["ids"], r["sizes"], r["words"], r["tokens"])
-                word, pair = counts_of(block, r["told"], buckets, "every")
-                bucket, p = estimates(word, pair, block, n, types)
-                mixed = np.log10((mix[bucket] * p).sum(1))
-                base = np.log10((word + 1.0) / (n + types + 1.0))
-                docs = len(block.ids)
-                yield pa.record_batch(
-                    [
-                        pa.array(block.ids, pa.int64()),
-                        pa.array([held_out(i) for i in block.ids]),
-                        pa.array(block.sizes),
-                        pa.array(np.bincount(block.doc, word[block.w] > 0, docs).astype(np.int64)),
-                        pa.array(np.full(docs, n)),
-                        pa.array(np.bincount(block.doc, base[block.w], docs)),
-                        pa.array(np.bincount(block.doc, mixed[block.pair], docs)),
-                    ],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
-    return run
 
+def score_rows(n: int, types: int, mix: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, word, pair in counted(batches):
+            bucket, p2, p1 = estimates(block, word, pair, n)
+            m = mix[bucket]
+            mixed = np.log10(m[:, 0] * p2 + m[:, 1] * p1 + m[:, 2] / (types + 1))
+            base = np.log10((word + 1.0) / (n + types + 1.0))
+            docs = len(block.ids)
+            yield pa.record_batch(
+                [
+                    pa.array(block.ids, pa.int64()),
+                    pa.array([held_out(i) for i in block.ids]),
+                    pa.array(block.sizes),
+                    pa.array(np.bincount(block.doc, word[block.w] > 0, docs).astype(np.int64)),
+                    pa.array(np.full(docs, n)),
+                    pa.array(np.bincount(block.doc, base[block.w], docs)),
+                    pa.array(np.bincount(block.doc, mixed[block.pair], docs)),
+                ],
+                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
-SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    return run
 
 
-def score_texts(docs: DataFrame, tokens_per_bucket: int = 1_000_000) -> DataFrame:
+def score_texts(docs: DataFrame, keys_per_range: int = KEYS_PER_RANGE) -> DataFrame:
     """SCORES of every row of docs (doc_id, text)."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = staged(rows.mapInArrow(pack, BLOCK))
-    volume = blocks.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
-    buckets = max(16, volume // tokens_per_bucket)
-    asked = blocks.mapInArrow(requests(buckets), "bucket bigint, block string, keys binary, rest binary, fold binary")
-    told = staged(asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(answers, ANSWER))
+    count, volume = blocks.agg(F.count("*"), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+    ranges = max(4, volume // keys_per_range)
+    asked = blocks.mapInArrow(requests(ranges), ASKED)
+    told = staged(asked.repartition(max(8, ranges // 4), "part").sortWithinPartitions("part").mapInArrow(answers, ANSWER))
 
     def totals(where: str) -> tuple[int, int]:
         r = told.where(f"block is null and {where}").agg(F.sum("tokens"), F.sum("types")).first()
         return r[0] or 0, r[1] or 0
 
     def answered(which: str) -> DataFrame:
-        mine = told.where("block is not null").groupBy("block").agg(F.collect_list(F.struct("bucket", which)).alias("told"))
-        return blocks.join(mine, "block").select("ids", "sizes", "words", "tokens", "told")
-
-    events = staged(answered("rest").mapInArrow(fold_rows(buckets, *totals("bucket < 0")), "events binary"))
-    mix = learn(events)
-    return answered("every").mapInArrow(score_rows(buckets, *totals("bucket >= 0"), mix), SCORES)
+        """Blocks, each followed by its answers."""
+        mine = F.col("block").startswith(which)
+        whole = blocks.where(mine).select("block", F.lit(-1).cast("bigint").alias("part"), "ids", F.col("texts").alias("data"))
+        said = told.where(mine).select("block", "part", F.lit(None).cast("array<bigint>").alias("ids"), F.col("counts").alias("data"))
+        return whole.union(said).repartition(max(8, count // 4), "block").sortWithinPartitions("block", "part")
+
+    n, types = totals("part < 0")
+    mix = learn(staged(answered("f").mapInArrow(fold_events(n), EVENTS)), types)
+    return answered("a").mapInArrow(score_rows(*totals("part >= 0"), mix), SCORES)
 
 
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
