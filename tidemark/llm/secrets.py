@@ -1,16 +1,21 @@
 """Secret scan by multipart credential linking, in SQL functions only.
 
-Strong patterns (assignments, access ids, long hex) are reported on their own. Weak
-parts - short access ids, login names, dense tokens, endpoints - are reported only
-where complementary parts stand within `scope` code points of each other in the same
-document. The link is an interval join: parts are binned by offset, each bin keeps
-the least and greatest offset of each class, and a weak part looks into its own bin
-and the two beside it. Three bins hold every partner within one bin width, and a bin
-gives one row however many parts it holds, so no pairs are enumerated.
-
-Defined results: null or empty text finds nothing; a null doc_id is kept as null;
-repeated rows each get their result; an empty table gives an empty result; extra
-columns of the input are ignored, whatever their names.
+Strong patterns (assignments, access ids, long hex) are reported on their own. Weak parts - short
+access ids, login names, dense tokens - are reported only where a complementary part stands within
+`scope` code points (of the gap between the two) in the same document: an id needs a secret, a secret
+needs an id or an endpoint. Partners never overlap. A weak part that touches a base span is reported
+already and is no part; a token that touches an id is that id's value and no secret; a token within an
+endpoint is a part of its address, so it needs an id.
+
+The link is an interval join. Each part is a point where it starts, for partners before it, and a point
+where it ends, for partners behind it; points are binned by offset and each bin keeps its least and
+greatest point of each class. Of the bin that a part's edge lies in and the bin beyond, the extremes
+decide exactly whether a point is in scope. A bin gives one row however many parts it holds, so no
+pairs are enumerated.
+
+Defined results: null or empty text finds nothing; a null doc_id is kept as null; repeated rows each
+get their result; an empty table gives an empty result; extra columns of the input are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -25,10 +30,11 @@ KEYWORDS = "(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee
 ASSIGN = KEYWORDS + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = "AKIA[A-Z0-9]{16,}"
 HEX = "[0-9a-f]{24,}"
-#: Weak parts. A weak match that touches a base span is already reported and is left out.
-WEAK_ID = r"AKIA[A-Z0-9]{8,15}(?![A-Z0-9])|(?:user|username|login|account|client_id)\x20?[:=]\x20?[A-Za-z0-9_.@-]{3,64}"
-WEAK_SECRET = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]{0,63}[0-9])(?=[A-Za-z0-9+/_-]{0,63}[A-Z])(?=[A-Za-z0-9+/_-]{0,63}[a-z])[A-Za-z0-9+/_-]{20,}"
-ENDPOINT = r"(?:https?|jdbc:[a-z]{2,12}|mongodb|postgres|redis|amqp|s3)://[^\x00-\x20\"'<>]{3,200}"
+_TOKEN = "A-Za-z0-9+/_-"
+WEAK_ID = r"AKIA[A-Z0-9]{8,15}(?![A-Z0-9])|(?:user|username|login|account|client_id)\x20?[:=]\x20?[A-Za-z0-9_.@-]{3,}+"
+#: A run of 20 or more with a digit and letters of both cases; runs are entered at their start only.
+WEAK_SECRET = rf"(?<![{_TOKEN}])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])[{_TOKEN}]{{20,}}+"
+ENDPOINT = r"(?:https?|jdbc:[a-z]{2,12}|mongodb|postgres|redis|amqp|s3)://[^\x00-\x20\"'<>]{3,}+"
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -40,42 +46,64 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
+def _apart(spans: Column, others: Column) -> Column:
+    """The spans that touch none of the others."""
+    return F.filter(spans, lambda s: ~F.exists(others, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])))
+
+
 def _parts(docs: DataFrame) -> DataFrame:
-    """One row per part: key, class (id, secret, endpoint), weak, rank, start, end, kind."""
+    """One row per part of docs (key, t): key, kind (id, secret, endpoint), weak, inside (an endpoint), rank, start, end."""
     t = F.col("t")
-    base = base_spans(t)
-    listed = [
-        (tagged(base["access"], "id", 1), False),
-        (tagged(F.concat(base["assign"], base["hex"]), "secret", 0), False),
-        (tagged(find_spans(t, WEAK_ID), "id", 3), True),
-        (tagged(find_spans(t, WEAK_SECRET), "secret", 4), True),
-        (tagged(find_spans(t, ENDPOINT), "endpoint", 5), True),
-    ]
     # only texts with a weak part that could be reported need linking
-    hinted = docs.where(t.rlike(WEAK_ID) | t.rlike(WEAK_SECRET))
+    rows = docs.where(t.rlike(WEAK_ID) | t.rlike(WEAK_SECRET))
+    base = base_spans(t)
+    rows = rows.select(
+        "key",
+        tagged(base["access"], "id", 1).alias("ids"),
+        tagged(F.concat(base["assign"], base["hex"]), "secret", 0).alias("secrets"),
+        tagged(find_spans(t, WEAK_ID), "id", 3).alias("weak_ids"),
+        tagged(find_spans(t, WEAK_SECRET), "secret", 4).alias("weak_secrets"),
+        tagged(find_spans(t, ENDPOINT), "endpoint", 5).alias("endpoints"),
+    )
+    rows = rows.withColumn("weak_ids", _apart("weak_ids", F.concat("ids", "secrets")))
+    rows = rows.withColumn("weak_secrets", _apart("weak_secrets", F.concat("ids", "secrets", "weak_ids")))
+    free = _apart("weak_secrets", F.col("endpoints"))
+    rows = rows.withColumn("free", F.transform(free, lambda s: s["start"]))
+
+    def marked(spans: str, weak: bool, inside=lambda s: F.lit(False)) -> Column:
+        more = F.transform(spans, lambda s: s.withField("weak", F.lit(weak)).withField("inside", inside(s)))
+        return more.cast(f"{TAGGED[:-2]},weak:boolean,inside:boolean>>")
+
     every = F.concat(
-        *[F.transform(c, lambda s: s.withField("weak", F.lit(w))).cast(f"{TAGGED[:-2]},weak:boolean>>") for c, w in listed]
+        *[marked(c, False) for c in ("ids", "secrets", "endpoints")],
+        marked("weak_ids", True),
+        marked("weak_secrets", True, lambda s: ~F.array_contains("free", s["start"])),
     )
-    return hinted.select("key", F.inline(every))
+    return rows.select("key", F.inline(every))
 
 
 def linked_parts(docs: DataFrame, scope: int) -> DataFrame:
-    """Weak parts with a complementary part in scope: key, linked (array of tagged spans).
-
-    docs: key, t. A weak secret needs an id or an endpoint, a weak id needs a secret.
-    """
-    parts = _parts(docs).distinct().withColumn("bin", F.floor(F.col("start") / scope))
-    bins = parts.groupBy("key", "bin", F.col("kind").alias("partner")).agg(
-        F.min("start").alias("least"), F.max("start").alias("greatest")
-    )
-    weak = parts.where(F.col("weak") & (F.col("kind") != "endpoint"))
-    near = weak.withColumn("bin", F.explode(F.array(*[F.col("bin") + d for d in (-1, 0, 1)])))
-    low, high = F.col("start") - scope, F.col("start") + scope
-    complementary = ((F.col("kind") == "secret") & F.col("partner").isin("id", "endpoint")) | (
-        (F.col("kind") == "id") & (F.col("partner") == "secret")
+    """Weak parts with a complementary part in scope: key, linked (array of tagged spans). docs: key, t."""
+    parts = _parts(docs).distinct()
+    edges = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.col(at).alias("pos")) for side, at in (("behind", "start"), ("before", "end"))]))
+    points = parts.select("key", F.col("kind").alias("partner"), edges.alias("e")).select("key", "partner", "e.side", "e.pos")
+    bins = points.groupBy("key", "side", "partner", F.floor(F.col("pos") / scope).alias("bin")).agg(
+        F.min("pos").alias("least"), F.max("pos").alias("greatest")
     )
-    inside = F.col("least").between(low, high) | F.col("greatest").between(low, high)
-    hit = near.join(bins, ["key", "bin"]).where(complementary & inside)
+    look = [
+        F.struct(
+            F.lit(side).alias("side"), (F.floor(edge / scope) + step).alias("bin"),
+            (edge - (scope if side == "before" else 0)).alias("low"), (edge + (scope if side == "behind" else 0)).alias("high"),
+        )
+        for side, edge, steps in (("behind", F.col("end"), (0, 1)), ("before", F.col("start"), (0, -1)))
+        for step in steps
+    ]
+    near = parts.where("weak").withColumn("at", F.explode(F.array(*look))).select("*", "at.*")
+    complementary = ((F.col("kind") == "secret") & (F.col("partner") == "id")) | (
+        (F.col("kind") == "secret") & ~F.col("inside") & (F.col("partner") == "endpoint")
+    ) | ((F.col("kind") == "id") & (F.col("partner") == "secret"))
+    in_scope = F.col("least").between(F.col("low"), F.col("high")) | F.col("greatest").between(F.col("low"), F.col("high"))
+    hit = near.join(bins, ["key", "side", "bin"]).where(complementary & in_scope)
     span = F.struct("start", "rank", "end", F.concat(F.lit("linked_"), F.col("kind")).alias("kind"))
     return hit.groupBy("key").agg(F.collect_set(span).alias("linked"))
 
@@ -87,11 +115,7 @@ def scan_secrets(docs: DataFrame, scope: int = 200) -> DataFrame:
     counted = rows.select("doc_id", "key", *[tagged(base[k], k, i).cast(TAGGED).alias(k) for i, k in enumerate(KINDS)])
     links = linked_parts(rows.select("key", "t"), scope)
     own = F.array_sort(F.concat(*KINDS))
-    # a weak part that overlaps a base span says nothing new
-    extra = F.filter(
-        F.coalesce(F.col("linked"), F.array().cast(TAGGED)),
-        lambda w: ~F.exists(F.col("own"), lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])),
-    )
+    extra = F.coalesce(F.col("linked"), F.array().cast(TAGGED))
     return (
         counted.join(links, "key", "left")
         .withColumn("own", own)
