@@ -1,22 +1,29 @@
-"""Personal data: candidate generators, gradient-boosted trees and a calibrated threshold.
+"""Personal data: candidate generators, gradient-boosted trees and calibrated thresholds.
 
 Base spans (email, ip, card, phone) come from fixed rules. Beside them, high-recall generators
-propose overlapping candidates (spaced or bracketed addresses, any run of grouped digits). Each
-candidate is described by its format (digits, groups, separators, checksums) and its context
-(words before it, characters around it). Boosted trees learn, from a bounded sample of the
-corpus' own candidates, which descriptions go with base spans; the threshold is the least score
-at which nine in ten held-back candidates of the sample agree with the rules. Candidates beyond
-it that touch no base span and no better candidate are added.
+propose overlapping candidates (spaced or bracketed addresses, any run of grouped digits). A
+candidate has a format and a context (length, groups, separators, words before it, characters
+around it), which the trees see, and evidence, which is withheld from them: a domain ending, octets,
+a check digit, a dialling plan. Boosted trees learn, from a bounded sample of the corpus' own
+candidates of all forms, how likely a candidate of such a format and context is to hold its evidence.
+Numbers that pass a check by chance stand among others that fail it and score low; real ones do not.
+
+The threshold of each kind is calibrated on a fold that the trees have not seen, over all its
+candidates in the corpus: the least score at which nine in ten hold their evidence. Candidates beyond
+it that hold their evidence and touch no base span and no better candidate are added.
 
 SQL functions and Spark ML only. Texts are read once; spans and features go to a narrow table in
 the shared folder, and texts are never shuffled.
 
 Defined results: null and empty texts hold nothing; null doc_ids stay null; repeated rows get
-equal results; where the sample has one class only (or is empty) no spans are added.
+equal results; where the sample has one class only (or is empty), or no score of a kind is good
+enough, no spans (of that kind) are added.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -34,16 +41,18 @@ EMAIL = rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Generators: candidates of a kind, far more than are personal data.
+#: Generators: candidates of a kind, far more than are personal data. What joins their parts may be spaced on both sides.
+_AT = r"(?:@|\x20@\x20|\x20?(?:\(at\)|\[at\])\x20?)"
+_DOT = r"(?:\.|\x20\.\x20|\x20?(?:\(dot\)|\[dot\])\x20?)"
 GENERATORS = {
-    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{{1,63}}+(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{{1,63}}+){{1,6}}",
-    "ip": r"(?<![0-9])[0-9]{1,3}+(?:\x20?[.,:]\x20?[0-9]{1,3}+){3}",
-    "card": r"(?<![0-9])[0-9]{4}(?:[\x20./-]?[0-9]{3,6}){2,4}",
-    "phone": r"[+(]?[0-9](?:[\x20()./-]{0,2}[0-9]){7,16}",
+    "email": rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+{_AT}[A-Za-z0-9-]{{1,63}}+(?:{_DOT}[A-Za-z0-9-]{{1,63}}+){{1,6}}",
+    "ip": r"(?<![0-9])[0-9]{1,3}+(?:\x20?[.,:]\x20?[0-9]{1,3}+){3}(?![0-9])",
+    "card": r"(?<![0-9])[0-9]{4}(?:[\x20./-]?[0-9]{3,6}){2,4}(?![0-9])",
+    "phone": r"[+(]?(?<![0-9])[0-9](?:[\x20()./-]{0,2}[0-9]){7,16}(?![0-9])",
 }
 SAMPLE = 20_000
 FEATURES = (
-    "rank", "n_chars", "n_digits", "n_groups", "n_seps", "n_letters", "plus", "paren", "luhn", "octets", "tld",
+    "rank", "n_chars", "n_digits", "n_groups", "longest", "n_seps", "n_letters", "n_spaces", "paren",
     "glued", "said_mail", "said_phone", "said_card", "said_host",
 )
 ROW = "struct<rank:int,start:bigint,end:bigint,kind:string>"
@@ -100,26 +109,40 @@ def _said(before: Column, words: str) -> Column:
     return before.rlike(f"(?i)(?:{words})").cast("double")
 
 
+def evidence(value: Column, kind: str) -> Column:
+    """Whether a candidate holds what its format alone does not show."""
+    if kind == "email":
+        return value.rlike(rf"{_DOT}[A-Za-z]{{2,6}}$")
+    if kind == "ip":
+        return octets(value)
+    if kind == "card":
+        return let(digits_of(value), lambda d: F.length(d).between(13, 19) & luhn(d))
+    # an international prefix, or the North American plan: neither area nor exchange starts with 0 or 1
+    plan = r"^1?[2-9][0-9]{2}[2-9][0-9]{6}$"
+    return let(digits_of(value), lambda d: (value.startswith("+") & F.length(d).between(9, 15)) | d.rlike(plan))
+
+
 def described(text: Column, kind: str, rank: int) -> Column:
-    """Candidates of a generator: array of structs (rank, start, end, kind, FEATURES)."""
+    """Candidates of a generator: array of structs (rank, start, end, kind, holds, FEATURES)."""
 
     def one(s: Column) -> Column:
         value, start = s["value"], s["start"].cast("int")
+        shown = F.regexp_replace(value, r"^\+", "")
         before = F.substring(text, F.greatest(start - 23, F.lit(1)), F.least(start, F.lit(24)))
         around = F.concat(F.substring(text, F.greatest(start, F.lit(1)), F.least(start, F.lit(1))), F.substring(text, s["end"].cast("int") + 1, F.lit(1)))
-        count = lambda p: F.length(F.regexp_replace(value, p, "")).cast("double")
+        count = lambda p: F.length(F.regexp_replace(shown, p, "")).cast("double")
+        groups = F.regexp_extract_all(shown, F.lit("[0-9]+"), F.lit(0))
         return F.struct(
             F.lit(rank).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind"),
-            F.length(value).cast("double").alias("n_chars"),
+            evidence(value, kind).alias("holds"),
+            F.length(shown).cast("double").alias("n_chars"),
             count("[^0-9]").alias("n_digits"),
-            F.size(F.regexp_extract_all(value, F.lit("[0-9]+"), F.lit(0))).cast("double").alias("n_groups"),
-            count(r"[A-Za-z0-9]").alias("n_seps"),
+            F.size(groups).cast("double").alias("n_groups"),
+            F.coalesce(F.array_max(F.transform(groups, lambda g: F.length(g))), F.lit(0)).cast("double").alias("longest"),
+            count("[A-Za-z0-9]").alias("n_seps"),
             count("[^A-Za-z]").alias("n_letters"),
-            value.startswith("+").cast("double").alias("plus"),
+            count("[^ ]").alias("n_spaces"),
             value.contains("(").cast("double").alias("paren"),
-            luhn(digits_of(value)).cast("double").alias("luhn"),
-            octets(value).cast("double").alias("octets"),
-            value.rlike(r"\.[A-Za-z]{2,6}$").cast("double").alias("tld"),
             around.rlike("[A-Za-z0-9]").cast("double").alias("glued"),
             _said(before, "mail|contact|write").alias("said_mail"),
             _said(before, "phone|tel|call|fax|mobil").alias("said_phone"),
@@ -134,26 +157,36 @@ def _vectors(candidates: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(candidates)
 
 
-def learn(candidates: DataFrame, sample: int, precision: float):
-    """(model, threshold) from at most `sample` candidates, or None. candidates: key, start, like, FEATURES."""
-    chosen = staged(
-        candidates.orderBy(F.xxhash64("key", "start", "rank"), "key", "start", "rank").limit(sample)
-        .withColumn("fold", F.pmod(F.xxhash64("key"), F.lit(4)) == 0)
-    )
-    sides = {(r["fold"], r["like"]) for r in chosen.groupBy("fold", "like").count().collect()}
-    if len(sides) < 4:
+def held_back() -> Column:
+    return F.pmod(F.xxhash64("key"), F.lit(4)) == 0
+
+
+def fitted(candidates: DataFrame, sample: int):
+    """Trees fitted on at most `sample` candidates (key, start, rank, holds, FEATURES) outside the held-back fold, an equal
+    share of each kind at most; None where they are all alike."""
+    order = (F.xxhash64("key", "start", "rank"), "key", "start")
+    seen = candidates.where(~held_back())
+    parts = [seen.where(F.col("rank") == i).orderBy(*order).limit(sample // len(KINDS)) for i in range(len(KINDS))]
+    chosen = staged(functools.reduce(DataFrame.unionByName, parts).withColumn("label", F.col("holds").cast("double")))
+    if chosen.select("label").distinct().count() < 2:
         return None
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=8, maxDepth=3, stepSize=0.3, seed=7, maxBins=32)
-    model = gbt.fit(_vectors(chosen.where("not fold").withColumn("label", F.col("like").cast("double"))))
-    judged = scored(chosen.where("fold"), model)
-    # counts at each of fifty thresholds, in one aggregation
-    steps = [i / 100 for i in range(50, 100)]
-    sums = judged.agg(
-        *[F.count_if(F.col("p") >= t).alias(f"n{i}") for i, t in enumerate(steps)],
-        *[F.count_if((F.col("p") >= t) & F.col("like")).alias(f"y{i}") for i, t in enumerate(steps)],
-    ).first()
-    good = [t for i, t in enumerate(steps) if sums[f"n{i}"] and sums[f"y{i}"] >= precision * sums[f"n{i}"]]
-    return (model, good[0]) if good else None
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=8, maxDepth=4, stepSize=0.3, seed=7, maxBins=32)
+    return gbt.fit(_vectors(chosen))
+
+
+def thresholds(judged: DataFrame, precision: float) -> dict[int, float]:
+    """Of each kind (rank) that has one: the least score in hundredths at which `precision` of the candidates hold their evidence.
+
+    One aggregation over all candidates of the held-back fold; a hundred rows a kind come back.
+    """
+    sums = judged.groupBy("rank", F.floor(F.col("p") * 100).cast("int").alias("at")).agg(F.count("*").alias("n"), F.count_if("holds").alias("y"))
+    found, total = {}, {}
+    for r in sorted(sums.collect(), key=lambda r: -r["at"]):
+        n, y = total.get(r["rank"], (0, 0))
+        total[r["rank"]] = n, y = n + r["n"], y + r["y"]
+        if y >= precision * n:
+            found[r["rank"]] = r["at"] / 100
+    return found
 
 
 def scored(candidates: DataFrame, model) -> DataFrame:
@@ -165,27 +198,21 @@ def find_pii(docs: DataFrame, sample: int = SAMPLE, precision: float = 0.9) -> D
     rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), text_of(F.col("text")).alias("t"))
     base = base_spans(F.col("t"))
     plain = [ranked(base[k], i, k).alias(k) for i, k in enumerate(KINDS)]
-    shape = f"array<{ROW[:-1]},{','.join(f'{f}:double' for f in FEATURES[1:])}>>"
+    shape = f"array<{ROW[:-1]},holds:boolean,{','.join(f'{f}:double' for f in FEATURES[1:])}>>"
     listed = F.concat(*[described(F.col("t"), k, i).cast(shape) for i, k in enumerate(KINDS)])
     found = staged(rows.select("doc_id", "key", *plain, listed.alias("candidates")))
     own = F.concat(*KINDS)
     touches = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    each = (
-        found.where(F.size("candidates") > 0)
-        .select("key", own.alias("own"), F.explode("candidates").alias("c"))
-        .select(
-            "key",
-            "c.*",
-            F.exists("own", lambda b: (b["start"] == F.col("c.start")) & (b["end"] == F.col("c.end"))).alias("like"),
-            F.exists("own", lambda b: touches(b, F.col("c"))).alias("taken"),
-        )
-    )
-    model = learn(each, sample, precision)
+    each = found.where(F.size("candidates") > 0).select("key", own.alias("own"), F.explode("candidates").alias("c"))
+    each = each.select("key", "c.*", F.exists("own", lambda b: touches(b, F.col("c"))).alias("taken"))
+    model = fitted(each, sample)
     done = found.select("doc_id", "key", *KINDS)
-    if model is None:
+    least = thresholds(scored(each.where(held_back()), model), precision) if model else {}
+    if not least:
         done = done.withColumn("added", F.array().cast(f"array<{ROW}>"))
     else:
-        chosen = scored(each.where(~F.col("taken")), model[0]).where(F.col("p") >= model[1])
+        good = functools.reduce(lambda a, b: a | b, [(F.col("rank") == k) & (F.col("p") >= t) for k, t in least.items()])
+        chosen = scored(each.where(F.col("holds") & ~F.col("taken")), model).where(good)
         chosen = chosen.groupBy("key").agg(F.collect_set(F.struct((-F.col("p")).alias("q"), "rank", "start", "end", "kind")).alias("c"))
         # of candidates that touch, the one with the better score stays
         best = let(F.array_sort("c"), lambda c: F.filter(c, lambda x, i: ~F.exists(F.slice(c, F.lit(1), i), lambda y: touches(x, y))))
