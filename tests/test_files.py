@@ -1,5 +1,8 @@
+import csv
 import gzip
+import io
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,17 +12,23 @@ from tidemark.streaming import arrivals
 
 
 def test_csv_round_trip(spark, tmp_path):
-    columns = ["a", "b", "c"]
-    text = '﻿a,b,c\n00017,,"comma, and ""quote"""\ncafé,literal\\path,"line\nbreak"\n'
+    """Random cells of awkward characters through the CSV writer of the standard library, behind a byte-order mark."""
+    dice = random.Random(12)
+    columns = ["k", "x y", "z"]
+    cells = [[dice.choice(["", "0", "007"]), "".join(dice.choice('aß,"\n\\ \'') for _ in range(dice.randrange(6))), str(n)] for n in range(300)]
+    buffer = io.StringIO()
+    writer = csv.writer(buffer, lineterminator="\n")
+    writer.writerows([columns, *cells])
     src = tmp_path / "snapshot.csv.gz"
-    src.write_bytes(gzip.compress(text.encode()))
+    src.write_bytes(gzip.compress(b"\xef\xbb\xbf" + buffer.getvalue().encode()))
     rows = files.read_contract_csv(spark, str(src), columns, empty_as_null=False).orderBy("source_row_number").collect()
-    assert [tuple(r) for r in rows] == [(1, "00017", "", 'comma, and "quote"'), (2, "café", "literal\\path", "line\nbreak")]
-    assert files.read_contract_csv(spark, str(src), columns, empty_as_null=True).where("b is null").count() == 1
+    assert [list(r) for r in rows] == [[i, *c] for i, c in enumerate(cells, 1)]
+    empty = sum(c[0] == "" for c in cells)
+    assert files.read_contract_csv(spark, str(src), columns, empty_as_null=True).where("k is null").count() == empty > 0
     done = files.derive_parquet(spark, str(src), str(tmp_path / "out"), columns).first()
-    assert done["equal"] and done["source_rows"] == done["derived_rows"] == 2 and done["nulls"] == 0
+    assert done["equal"] and done["source_rows"] == done["derived_rows"] == 300 and done["nulls"] == 0
     with pytest.raises(ValueError, match="header"):
-        files.read_contract_csv(spark, str(src), ["a", "c", "b"], True)
+        files.read_contract_csv(spark, str(src), columns[::-1], True)
 
 
 def test_csv_audit(spark):

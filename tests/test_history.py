@@ -64,27 +64,48 @@ def test_rebuild_equals_fold(spark):
     assert all(found[r] == 0 for r in ("not_null", "no_overlap", "single_current", "predecessor_link", "successor_link", "batch_lineage", "unique_version_key", "unique_expiry", "expiry_is_due")), found
 
 
-def test_deletion_expiry_and_revival(spark):
-    a, c = datetime(2026, 4, 1, 12), datetime(2026, 5, 1, 12)
-    rows = [
-        candidate("a", a, "inspections", "1001", "v2", event=date(2025, 12, 1)),
-        candidate("a", a, "inspections", "1004", "x", event=date(2026, 1, 15)),
-        candidate("a", a, "inspections", "1005", "x", event=date(2025, 11, 1)),
-        candidate("c", c, "inspections", "1001", "v3", event=date(2025, 12, 1)),
-    ]
-    candidates = spark.createDataFrame(rows, SCHEMA)
-    batches = spark.createDataFrame([("a", "inspections", a), ("c", "inspections", c)], "batch_id string, feed_name string, observed_at timestamp")
-    v, e = history.rebuild(candidates, batches)
-    got = {(r["source_record_key"], r["record_hash"], r["is_deleted"], r["is_current"]) for r in v.collect()}
-    assert got == {("1001", "v2", False, False), ("1001", "v3", False, True), ("1004", "x", False, False), ("1004", "x", True, True), ("1005", "x", False, True)}
-    assert [(r["source_record_key"], r["batch_id"], r["retention_cutoff"]) for r in e.collect()] == [("1005", "c", date(2025, 12, 1))]
+def told_by_rule(stories, dates, feed):
+    """Versions of each record as letters (x: deleted) and expiries (record, batch), batch by batch over plain dictionaries."""
+    versions, expired = {}, set()
+    for i in range(len(next(iter(stories.values())))):
+        held = {k: s[i] for k, s in stories.items() if s[i] != "-"}
+        oldest = min((dates[k] for k in held), default=None)
+        for k in stories:
+            known = versions.get(k, "")
+            if k in held:
+                versions[k] = known if known[-1:] == held[k] else known + held[k]
+            elif known and known[-1] != "x":
+                if feed == "crashes" or (oldest and dates[k] >= oldest):
+                    versions[k] = known + "x"
+                elif oldest:
+                    expired.add((k, i))
+    return versions, expired
+
+
+def test_absence_deletes_inside_the_window_and_expires_outside(spark):
+    dice = random.Random(11)
+    days = [datetime(2030, 7, 10, 9) + timedelta(i) for i in range(6)]
+    batches = spark.createDataFrame([(f"{f}{i}", f, d) for f in ("inspections", "crashes") for i, d in enumerate(days)], "batch_id string, feed_name string, observed_at timestamp")
+    stories = {f"r{n}": "".join(dice.choice("aab---") for _ in days) for n in range(80)} | {"always": "aaaaaa", "never": "------"}
+    stories |= {f"old{n}": "a" * (n % 3 + 1) + "-" * (5 - n % 3) for n in range(9)}
+    dates = {k: date(2029 if "old" in k else 2030, 6, 1) + timedelta(dice.randrange(30)) for k in stories}
+    rows = [candidate(f"{f}{i}", d, f, k, s[i], event=dates[k]) for f in ("inspections", "crashes") for k, s in stories.items() for i, d in enumerate(days) if s[i] != "-"]
+    v, e = history.rebuild(spark.createDataFrame(rows, SCHEMA), batches)
+    got = {"inspections": {}, "crashes": {}}
+    for r in sorted(v.collect(), key=lambda r: r["first_observed_at"]):
+        mine = got[r["feed_name"]]
+        mine[r["source_record_key"]] = mine.get(r["source_record_key"], "") + ("x" if r["is_deleted"] else r["record_hash"])
+    want = {f: told_by_rule(stories, dates, f) for f in got}
+    assert got == {f: w[0] for f, w in want.items()}
+    assert {(r["source_record_key"], int(r["batch_id"][-1])) for r in e.collect()} == want["inspections"][1]
+    assert len(want["inspections"][1]) > 10 and any("x" in x for x in got["inspections"].values())
 
 
 def test_guards(spark):
     schema = "batch_id string, feed_name string, observed_at timestamp"
     applied = spark.createDataFrame([("c", "crashes", datetime(2026, 5, 1))], schema)
     assert history.pending(applied, applied).count() == 0
-    with pytest.raises(ValueError, match="controlled rebuild"):
+    with pytest.raises(ValueError, match="made anew"):
         history.pending(spark.createDataFrame([("e", "crashes", datetime(2026, 4, 15))], schema), applied)
     with pytest.raises(ValueError, match="changed"):
         history.pending(spark.createDataFrame([("c", "crashes", datetime(2026, 4, 15))], schema), applied)

@@ -8,7 +8,6 @@ rewritten: an event can serve only the few month starts after it, so it is explo
 
 from __future__ import annotations
 
-import re
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,13 +23,20 @@ def month_grid(batches: DataFrame) -> DataFrame:
     return ends.where("a is not null").select(F.explode(F.sequence("a", "b", F.expr("interval 1 month"))).alias("scoring_date"))
 
 
+def _is_month_start(d: object) -> bool:
+    try:
+        return isinstance(d, str) and date.fromisoformat(d).replace(day=1).isoformat() == d
+    except ValueError:
+        return False
+
+
 def explicit_grid(spark: SparkSession, dates: list[str]) -> DataFrame:
-    """scoring_date of a non-empty list of ISO month starts."""
+    """scoring_date of a list of month starts as text (YYYY-MM-01), one at least."""
     if not isinstance(dates, (list, tuple)) or not dates:
-        raise ValueError("scoring_dates must be a nonempty list of ISO month-start dates")
+        raise ValueError("a grid takes a list with one month start or more")
     for d in dates:
-        if not isinstance(d, str) or not re.fullmatch(r"(?!0000)[0-9]{4}-(0[1-9]|1[0-2])-01", d):
-            raise ValueError("scoring_dates must contain only ISO month-start dates")
+        if not _is_month_start(d):
+            raise ValueError(f"{d!r} is no month start in the form YYYY-MM-01")
     return spark.createDataFrame([(date.fromisoformat(d),) for d in sorted(set(dates))], "scoring_date date")
 
 

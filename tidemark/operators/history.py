@@ -150,7 +150,7 @@ def pending(batches: DataFrame, applied: DataFrame) -> DataFrame:
     fresh = batches.join(F.broadcast(applied.select("batch_id")), "batch_id", "left_anti")
     newest = applied.groupBy(F.col("feed_name").alias("f")).agg(F.max("observed_at").alias("newest"))
     if fresh.join(F.broadcast(newest), (F.col("f") == F.col("feed_name")) & (F.col("observed_at") < F.col("newest"))).limit(1).count():
-        raise ValueError("a batch is older than the applied history of its feed: run the controlled rebuild")
+        raise ValueError("a batch of this feed that was observed later is applied already; its history has to be made anew")
     return fresh
 
 

@@ -33,7 +33,7 @@ def first_incidents(versions: DataFrame, data_as_of: date) -> DataFrame:
     own = known.join(first, "source_record_key").where("knowledge_valid_from = first_known")
     ties = own.groupBy("source_record_key").agg(F.countDistinct(content).alias("n")).where("n > 1")
     if ties.limit(1).count():
-        raise ValueError("conflicting versions share a source key and knowledge time")
+        raise ValueError("two first versions of a source key differ")
     own = own.dropDuplicates(["source_record_key"]).where(F.col("usdot_number").isNotNull())
     rank = F.when(F.col("federal_recordable") & ~F.col("is_deleted"), 0).when(~F.col("is_deleted"), 1).otherwise(2)
     order = W.partitionBy(*INCIDENT).orderBy("knowledge_valid_from", rank, "reported_date", "source_record_key")
@@ -47,7 +47,7 @@ def cohort_lags(incidents: DataFrame, data_as_of: date) -> DataFrame:
         F.trunc("event_date", "MM").alias("event_month"), F.datediff("reported_date", "event_date").alias("lag_days")
     )
     if rows.where("lag_days < 0").limit(1).count():
-        raise ValueError("a negative first-report lag must be quarantined")
+        raise ValueError("a report is dated before its event")
     return rows.join(F.broadcast(months), "event_month").groupBy("event_month", "lag_days").agg(F.count("*").alias("n"))
 
 
