@@ -1,20 +1,30 @@
-"""Tables written between the steps of a job, in the folder that all executors share."""
+"""Tables written between the steps of a job, in the folder that all executors share.
+
+A written table cuts lineage and survives lost executors: its readers never recompute what stands before it.
+"""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """df written as Parquet below spark.checkpoint.dir (set here only where it is unset) and read again."""
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir of the session. Where it is unset, a new local folder on a local master, and else an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/table-{uuid.uuid4().hex}"
+    return folder.rstrip("/")
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """df written as Parquet below the shared folder and read again."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
