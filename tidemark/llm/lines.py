@@ -7,12 +7,14 @@ be its own boilerplate.
 
 Only hashes of lines are shuffled (96 bits each), combined before they are sent, so neither a
 host nor a line with a third of all rows is gathered. A host's boilerplate has at most
-(lines a page) / ratio entries; the list goes back to the pages by a broadcast where it is
-small enough (counted) and by a join on the host otherwise.
+(lines a page) / ratio entries. Where all lists are small enough (counted) they go to the pages by a
+broadcast. Beyond that the hashes of each page's lines look for their entry by a salted join, so that
+a line of a third of all pages is dealt to many tasks, and the page gets back those of its own.
 
 Defined results: null texts stay null; blank lines are no lines and always stay; lines are
 compared without the spaces, tabs and returns around them; a null host is a host of its own;
-repeated rows are copies; an empty table gives an empty result.
+repeated rows are copies; an empty table gives an empty result; other columns pass through, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.stage import broadcast_within, staged
 from tidemark.llm.text import let, read_table, text_of
+from tidemark.sources.staging import staged
 
 MAX_RATIO, MIN_PAGES = 0.05, 3
 
@@ -34,14 +36,17 @@ def digest(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("h"), F.hash(line).alias("g"))
 
 
+def digests(text: Column) -> Column:
+    """The distinct digests of a text's lines that are not blank."""
+    lines = F.filter(F.transform(F.split(text_of(text), "\n", -1), line_of), lambda x: x != "")
+    return F.array_distinct(F.transform(lines, digest))
+
+
 def boilerplate(docs: DataFrame, host: str, max_ratio: float, min_pages: int) -> DataFrame:
-    """site, lines: for each host that has any, the digests of its boilerplate lines."""
+    """site, h, g: the digests of each host's boilerplate lines."""
     t = text_of(F.col("text"))
-    held = F.array_distinct(
-        F.transform(F.filter(F.transform(F.split(t, "\n", -1), line_of), lambda x: x != ""), digest)
-    )
     pages = (
-        docs.select(F.col(host).cast("string").alias("site"), F.xxhash64(t).alias("t1"), F.hash(t).alias("t2"), held.alias("held"))
+        docs.select(F.col(host).cast("string").alias("site"), F.xxhash64(t).alias("t1"), F.hash(t).alias("t2"), digests(F.col("text")).alias("held"))
         .groupBy("site", "t1", "t2")
         .agg(F.any_value("held").alias("held"))
     )
@@ -54,47 +59,70 @@ def boilerplate(docs: DataFrame, host: str, max_ratio: float, min_pages: int) ->
         .where(F.col("n") >= min_pages)
     )
     often = counts.join(totals, F.col("site").eqNullSafe(F.col("of"))).where(F.col("n") > max_ratio * F.col("pages"))
-    return often.groupBy("site").agg(F.collect_set(F.struct("h", "g")).alias("lines"))
+    return often.select("site", "h", "g")
 
 
-def drop_boilerplate(
+def with_lines(rows: DataFrame, found: DataFrame, few: bool, salts: int = 32) -> DataFrame:
+    """rows (site, row) with gone: digests of boilerplate lines, of the host or of those in the text."""
+    named = found.withColumnRenamed("site", "of")
+    if few:
+        lists = named.groupBy("of").agg(F.collect_set(F.struct("h", "g")).alias("gone"))
+        return rows.join(F.broadcast(lists), F.col("site").eqNullSafe(F.col("of")), "left").drop("of")
+    text = F.col("row.text")
+    keyed = rows.withColumn("key", F.xxhash64("site", F.lit("\n"), text)).withColumn("key2", F.hash(text))
+    asked = keyed.select("key", "key2", "site", F.pmod(F.col("key"), F.lit(salts)).cast("int").alias("salt"), F.inline(digests(text))).distinct()
+    dealt = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hits = asked.join(dealt, ["h", "g", "salt"]).where(F.col("site").eqNullSafe(F.col("of")))
+    lists = hits.groupBy("key", "key2").agg(F.collect_set(F.struct("h", "g")).alias("gone"))
+    return keyed.join(lists, ["key", "key2"], "left").drop("key", "key2")
+
+
+def cut_boilerplate(
     docs: DataFrame, host: str = "source", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, broadcast_lines: int = 500_000
 ) -> DataFrame:
-    """docs with boilerplate lines cut from text, and _n_lines, _n_dropped appended."""
+    """row (a struct of the columns of docs), text, n_lines, n_dropped of every row of docs."""
     found = staged(boilerplate(docs, host, max_ratio, min_pages))
-    size = found.agg(F.sum(F.size("lines"))).first()[0] or 0
-    found = broadcast_within(found.toDF("_site", "_lines"), size, broadcast_lines)
-    joined = docs.join(found, F.col(host).cast("string").eqNullSafe(F.col("_site")), "left")
+    rows = docs.select(F.col(host).cast("string").alias("site"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = with_lines(rows, found, found.count() <= broadcast_lines)
     none = F.array().cast("array<struct<h:bigint,g:int>>")
 
     def cut(lines: Column) -> Column:
         kept = F.filter(
             lines,
-            lambda x: let(line_of(x), lambda y: (y == "") | ~F.array_contains(F.coalesce(F.col("_lines"), none), digest(y))),
+            lambda x: let(line_of(x), lambda y: (y == "") | ~F.array_contains(F.coalesce(F.col("gone"), none), digest(y))),
         )
         return let(
             kept,
             lambda k: F.struct(
                 F.array_join(k, "\n").alias("text"),
-                F.size(lines).cast("bigint").alias("n"),
-                (F.size(lines) - F.size(k)).cast("bigint").alias("dropped"),
+                F.size(lines).cast("bigint").alias("n_lines"),
+                (F.size(lines) - F.size(k)).cast("bigint").alias("n_dropped"),
             ),
         )
 
-    cut_text = let(F.split(text_of(F.col("text")), "\n", -1), cut)
-    joined = joined.withColumn("_cut", cut_text)
-    columns = [F.when(F.col("text").isNotNull(), F.col("_cut.text")).alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return joined.select(*columns, F.col("_cut.n").alias("_n_lines"), F.col("_cut.dropped").alias("_n_dropped"))
+    cuts = let(F.split(text_of(F.col("row.text")), "\n", -1), cut)
+    return rows.select("row", F.col("row.text").isNull().alias("none"), cuts.alias("cut")).select(
+        "row", F.when(~F.col("none"), F.col("cut.text")).alias("text"), "cut.n_lines", "cut.n_dropped"
+    )
+
+
+def drop_boilerplate(docs: DataFrame, length: str | None = None, **how) -> DataFrame:
+    """docs with boilerplate lines cut from text; a column of lengths, if named, follows the texts that were cut."""
+    cut = cut_boilerplate(docs, **how)
+    kinds = dict(docs.dtypes)
+
+    def column(c: str) -> Column:
+        if c == "text":
+            return F.col("text").cast(kinds[c])
+        kept = F.col("row").getField(c)
+        return F.when(F.col("n_dropped") > 0, F.length("text").cast(kinds[c])).otherwise(kept) if c == length else kept
+
+    return cut.select(*[column(c).alias(c) for c in docs.columns])
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = drop_boilerplate(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    return cut.select(
-        "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_dropped").alias("n_dropped"),
-        F.sha2(text_of(F.col("text")), 256).alias("kept_sha256"),
-    )
+    cut = cut_boilerplate(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return cut.select("row.doc_id", "n_lines", "n_dropped", F.sha2(text_of(F.col("text")), 256).alias("kept_sha256"))
 
 
 OP4_SQL = f"""
