@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.lines import drop_boilerplate
+from tidemark.llm.lines import cut_boilerplate, drop_boilerplate
 from tidemark.llm.simhash import drop_near_duplicates, links, near_duplicates
 from tidemark.llm.substrings import dedup_substrings
 
@@ -110,6 +110,11 @@ def test_lines(docs, rows, no_docs):
         return (r[0], None if r[1] is None else "\n".join(left), len(lines), len(lines) - len(left))
 
     for most in (500_000, 0):  # broadcast, and by a join
-        got = drop_boilerplate(docs, max_ratio=0.3, broadcast_lines=most).collect()
-        assert Counter((r["doc_id"], r["text"], r["_n_lines"], r["_n_dropped"]) for r in got) == Counter(map(cut, rows))
+        got = cut_boilerplate(docs, max_ratio=0.3, broadcast_lines=most).collect()
+        assert Counter((r["row"]["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in got) == Counter(map(cut, rows))
+    named = docs.withColumnsRenamed({"key": "gone", "t": "row", "score": "site"})
+    got = drop_boilerplate(named, "n_chars", max_ratio=0.3)
+    assert got.columns == named.columns and got.dtypes == named.dtypes
+    want = Counter((d, t, len(t) if dropped else r[4], *r[5:]) for r in rows for d, t, _, dropped in [cut(r)])
+    assert Counter((r["doc_id"], r["text"], r["n_chars"], r["gone"], r["row"], r["site"]) for r in got.collect()) == want
     assert drop_boilerplate(no_docs).count() == 0

@@ -51,6 +51,15 @@ def near_copies():
         for at in dice.sample(range(len(copy)), 4):
             copy[at] = f"x{dice.randrange(9999)}"
         crowd.append(copy)
+    # members that share most of their edits are similar to each other and not to the middle of the crowd
+    for _ in range(4):
+        far = list(base)
+        for at in dice.sample(range(len(far)), 8):
+            far[at] = f"y{dice.randrange(9999)}"
+        for _ in range(6):
+            copy = list(far)
+            copy[dice.randrange(len(copy))] = f"z{dice.randrange(9999)}"
+            crowd.append(copy)
     texts += crowd[1:] + crowd[:1]
     return [(i, " ".join(t), "en", "s", 1, None, None, 1) for i, t in enumerate(texts)]
 

@@ -66,7 +66,7 @@ def test_decontamination(spark, docs, rows, no_docs, few):
         return (r[0], len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest(), bool(hit))
 
     benchmark = spark.createDataFrame([(*i, "x") for i in items], "item_id bigint, text string, key string")
-    got = find_contamination(docs, benchmark, broadcast_windows=200_000 if few else 0)
+    got = find_contamination(docs, benchmark, broadcast_windows=200_000 if few else 2, broadcast_shingles=1_000_000 if few else 0)
     names = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     assert Counter(tuple(r[n] for n in names) for r in got.collect()) == Counter(map(judge, rows))
     assert find_contamination(no_docs, benchmark).count() == 0

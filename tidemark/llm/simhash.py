@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.stage import staged
-from tidemark.llm.text import read_table, row_key
+from tidemark.llm.text import one_of_each, read_table, row_key
+from tidemark.sources.staging import staged
 
 HALF = 2
 BLOCK = 16
@@ -53,7 +53,11 @@ def shingle_hashes(text: bytes | None, shingle: int) -> np.ndarray:
 
 def simhash(text: bytes | None, shingle: int = 4) -> int:
     """64-bit fingerprint of the shingles; no words have fingerprint zero."""
-    h = shingle_hashes(text, shingle)
+    return fingerprint(shingle_hashes(text, shingle))
+
+
+def fingerprint(h: np.ndarray) -> int:
+    """The bits set in over half the hashes."""
     n = len(h)
     if not n:
         return 0
@@ -244,10 +248,8 @@ def near_duplicates(docs: DataFrame, crowd: int = 20_000_000) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of docs, one of each group of near-duplicates; all columns stay."""
-    keep = near_duplicates(docs).where("kept").select(F.col("key").alias("_row_key"))
-    keyed = docs.withColumn("_row_key", row_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(keep, "_row_key", "left_semi").dropDuplicates(["_row_key"]).drop("_row_key")
+    """The rows of docs, one of each group of near-duplicates; all columns stay, whatever their names."""
+    return one_of_each(docs, near_duplicates(docs).where("kept").select("key"))
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

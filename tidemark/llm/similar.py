@@ -1,16 +1,23 @@
 """Near-duplicates by similarity: texts whose five-word shingle sets have a Jaccard similarity of 0.8 or more.
 
-Candidates come from MinHash: 50 bands of 6 minima each. Two texts of similarity s meet in a band with
-probability s^6, so at 0.8 a pair is missed with probability (1 - 0.8^6)^50, some 3 in 10 million, and more
-rarely above. Every link is verified on the shingle sets themselves; nothing is linked by the sketch.
-
-Each band first links its members to its least one; then members of a band that still stand in different
-groups are compared pair by pair, so a chain is never cut because a band's least member is too far off.
-Texts with equal sets are one node from the start: a crowd of copies costs one row.
+Candidates come from the SimHash balls of `simhash` over five-word shingles, and, since a pair at 0.8 differs in
+some ten of 64 bits and a ball reaches four, from MinHash: 50 bands of 6 minima each. Two texts of similarity s
+meet in a band with probability s^6, so at 0.8 a pair is missed with probability (1 - 0.8^6)^50, some 3 in 10
+million, and more rarely above. Every link is verified on the shingle sets; nothing is linked by a sketch.
+
+Each band is compared with one of its members, its head: the one that meets most others, which is the middle of
+a group of near copies. That links the bulk of a group in one row a member. Pairs of a band that are still in
+different groups are found by what sets them apart from their head. With D the symmetric difference to the head
+h, two texts are similar just if |Dx ^ Dy| is at most (|x| + |y|) / 9. Of two members in different groups at
+least one, x, is not similar to h, so |Dx| is over (|x| + |h|) / 9, and they must share over
+(9 |Dy| + |h| - |y|) / 18 entries of Dy. The entries are joined by prefixes in order of rarity, those
+that only one member has left out, so members whose edits are their own meet nobody: a crowd of near copies is
+never compared pair by pair. Texts with equal sets are one node from the start.
 
 Defined results: fewer than five words are one shingle; null and empty texts have the empty set and are copies
 of each other; sets are of 64-bit hashes of lower-cased (A-Z) words; a group keeps its smallest doc_id (rows
-without one come last, by key); an empty table gives an empty result.
+without one come last, by key; of rows equal in doc_id and text one whose other columns are least); an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,13 +27,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.simhash import shingle_hashes
-from tidemark.llm.stage import staged
-from tidemark.llm.text import row_key
+from tidemark.llm.simhash import fingerprint, links, shingle_hashes
+from tidemark.llm.text import one_of_each, row_key
+from tidemark.sources.staging import staged
 
 WORDS = 5
 BANDS, DEPTH = 50, 6
@@ -59,11 +66,19 @@ def bands(shingles: np.ndarray) -> np.ndarray:
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sets = [shingle_set(t.as_py()) for t in b.column("text").cast(pa.binary())]
-        node = np.fromiter((xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets), U, len(sets))
-        size = pa.array([len(s) for s in sets], pa.int32())
-        sketch = pa.array([bands(s).tobytes() for s in sets], pa.binary())
-        yield pa.record_batch([b.column("doc_id"), b.column("key"), pa.array(node.view(np.int64)), size, sketch], ["doc_id", "key", "node", "size", "sketch"])
+        nodes, sizes, fps, sketches = [], [], [], []
+        for t in b.column("text").cast(pa.binary()):
+            hashes = shingle_hashes(t.as_py(), WORDS)
+            shingles = np.unique(hashes)
+            nodes.append(xxhash.xxh3_64_intdigest(shingles.tobytes()))
+            sizes.append(len(shingles))
+            fps.append(fingerprint(hashes))
+            sketches.append(bands(shingles).tobytes())
+        signed = lambda x: pa.array(np.array(x, U).view(np.int64))
+        yield pa.record_batch(
+            [b.column("doc_id"), b.column("key"), signed(nodes), pa.array(sizes, pa.int32()), signed(fps), pa.array(sketches, pa.binary())],
+            ["doc_id", "key", "node", "size", "fp", "sketch"],
+        )
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,18 +93,17 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by band and node: those of bands with several nodes, with the band's least node."""
+    """Of rows sorted by band: those of bands with several nodes, and how many these are."""
     held: list[np.ndarray] = []
 
     def out(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         x = np.concatenate(parts, 1)
-        first = np.concatenate(([True], x[0, 1:] != x[0, :-1]))
-        group = np.cumsum(first) - 1
-        several = np.bincount(group)[group] > 1
-        head = x[1:, np.flatnonzero(first)][:, group]
-        columns = [x[0], x[1], x[2].astype(np.int32), head[0], head[1].astype(np.int32)]
+        group = np.cumsum(np.concatenate(([True], x[0, 1:] != x[0, :-1]))) - 1
+        met = np.bincount(group)[group]
+        several = met > 1
         if several.any():
-            yield pa.record_batch([pa.array(c[several]) for c in columns], ["band", "node", "size", "head", "head_size"])
+            columns = [x[0], x[1], x[2].astype(np.int32), met]
+            yield pa.record_batch([pa.array(c[several]) for c in columns], ["band", "node", "size", "met"])
 
     for b in batches:
         if not b.num_rows:
@@ -114,62 +128,96 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([part.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of pairs (a, b) those with a similarity of 0.8 or more: 9 times the common shingles reach 4 times both sizes."""
+def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (a, b, ...) with their shingles of_a and of_b."""
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
+    return pairs.join(a, "a").join(b, "b")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of pairs (a, b) those with a similarity of 0.8 or more: 9 times the common shingles reach 4 times both sizes."""
     alike = 9 * F.size(F.array_intersect("of_a", "of_b")) >= 4 * (F.size("of_a") + F.size("of_b"))
-    return pairs.join(a, "a").join(b, "b").where(alike).select("a", "b")
+    return with_sets(pairs, sets).where(alike).select("a", "b")
 
 
-def sizes_fit(a: str, b: str):
+def sizes_fit(a: str, b: str) -> Column:
     return 5 * F.least(a, b) >= 4 * F.greatest(a, b)
 
 
+def ball_pairs(nodes: DataFrame) -> DataFrame:
+    """a, b: nodes (node, fp) of one fingerprint or of linked ones, as many as connect them all."""
+    first = nodes.groupBy("fp").agg(F.min("node").alias("first"))
+    same = nodes.join(first, "fp").where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    near = links(first.select("fp"))
+    a, b = (first.select(F.col("fp").alias(c), F.col("first").alias(f"{c}_node")) for c in "ab")
+    return same.union(near.join(a, "a").join(b, "b").select("a_node", "b_node"))
+
+
+def headed(met: DataFrame) -> DataFrame:
+    """a, b, size_a, size_b: each member b of a band (band, node, size, met) with the band's head a, once each."""
+    known = met.groupBy("node").agg(F.sum("met").alias("known"))
+    heads = met.join(known, "node").groupBy("band").agg(F.max(F.struct("known", "node", "size")).alias("head"))
+    pairs = met.join(heads, "band").where(F.col("node") != F.col("head.node"))
+    return pairs.select(F.col("head.node").alias("a"), F.col("node").alias("b"), F.col("head.size").alias("size_a"), F.col("size").alias("size_b")).distinct()
+
+
+def strays(members: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: pairs in different groups under one head that could be similar. members: of headed; roots: node, root."""
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    rows = members.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    rows = rows.select("a", "b", "size_a", "size_b", F.coalesce("root_b", "b").alias("root"), (F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).alias("stray"))
+    rows = staged(rows)
+    mixed = rows.where("stray").select("a").distinct()
+    apart = with_sets(rows.join(mixed, "a", "left_semi"), sets)
+    apart = staged(apart.select("a", "b", "size_a", "size_b", "root", "stray", F.array_union(F.array_except("of_a", "of_b"), F.array_except("of_b", "of_a")).alias("d")))
+    entries = apart.select("a", "b", F.explode("d").alias("x"))
+    often = entries.groupBy("a", "x").agg(F.count("*").alias("held")).where("held > 1")
+    shared = entries.join(often, ["a", "x"]).groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct("held", "x"))).alias("x"))
+    need = F.floor((9 * F.col("n") + F.col("size_a") - F.col("size_b")) / 18) + 1
+    of_member = apart.select("a", "b", "size_a", "size_b", "root", "stray", F.size("d").alias("n")).join(shared, ["a", "b"])
+    of_member = staged(of_member.select("a", "b", "size_b", "root", "stray", "n", F.size("x").alias("m"), need.alias("need"), F.posexplode("x").alias("at", "e")))
+    one = of_member.where("at <= m - need").select("a", "e.x", *[F.col(c).alias(f"{c}_1") for c in ("b", "size_b", "root", "n", "m", "at")])
+    two = of_member.where("stray").select("a", "e.x", *[F.col(c).alias(f"{c}_2") for c in ("b", "size_b", "root", "n", "m", "at")])
+    # what they can still share from here on
+    most = F.least(F.col("m_1") - F.col("at_1"), F.col("m_2") - F.col("at_2"))
+    enough = 18 * most >= 9 * (F.col("n_1") + F.col("n_2")) - (F.col("size_b_1") + F.col("size_b_2"))
+    found = one.join(two, ["a", "x"]).where((F.col("root_1") != F.col("root_2")) & sizes_fit("size_b_1", "size_b_2") & enough)
+    return found.select(F.least("b_1", "b_2").alias("a"), F.greatest("b_1", "b_2").alias("b")).distinct()
+
+
 def similar_groups(docs: DataFrame) -> DataFrame:
     """root, lead: each group of similar rows of docs (doc_id, text) with its first row (last, doc_id, key)."""
     keyed = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("text").cast("string").alias("text"))
     kind = dict(keyed.dtypes)["doc_id"]
-    marks = staged(keyed.mapInArrow(_marks, f"doc_id {kind}, key string, node bigint, size int, sketch binary"))
+    marks = staged(keyed.mapInArrow(_marks, f"doc_id {kind}, key string, node bigint, size int, fp bigint, sketch binary"))
     lead = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
-    nodes = staged(marks.groupBy("node").agg(F.min(lead).alias("lead"), F.first("size").alias("size"), F.first("sketch").alias("sketch")))
+    firsts = [F.min(lead).alias("lead"), F.min("fp").alias("fp"), F.first("size").alias("size"), F.first("sketch").alias("sketch")]
+    nodes = staged(marks.groupBy("node").agg(*firsts))
 
     spread = nodes.select("node", "size", "sketch").mapInArrow(_spread, "band bigint, node bigint, size int")
-    met = staged(
-        spread.repartition("band").sortWithinPartitions("band", "node")
-        .mapInArrow(_met, "band bigint, node bigint, size int, head bigint, head_size int")
-    )
-    wanted = nodes.join(met.select("node").distinct(), "node", "left_semi").select("node", F.col("lead.key").alias("key"))
+    met = spread.repartition("band").sortWithinPartitions("band").mapInArrow(_met, "band bigint, node bigint, size int, met bigint")
+    members = staged(headed(staged(met)))
+    sizes = lambda c: nodes.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"))
+    balls = ball_pairs(nodes.select("node", "fp")).join(sizes("a"), "a").join(sizes("b"), "b").select(*members.columns)
+    tried = staged(members.union(balls).where(sizes_fit("size_a", "size_b")).select("a", "b").distinct())
+
+    wanted = members.select("a").union(members.select("b")).union(tried.select("a")).union(tried.select("b")).distinct().toDF("node")
+    texts = nodes.join(wanted, "node", "left_semi").select("node", F.col("lead.key").alias("key"))
     sets = staged(
-        keyed.select("key", "text").join(wanted, "key").dropDuplicates(["key"]).select("node", "text")
+        keyed.select("key", "text").join(texts, "key").dropDuplicates(["key"]).select("node", "text")
         .mapInArrow(_sets, "node bigint, shingles array<bigint>")
     )
-
-    tried = met.where((F.col("node") != F.col("head")) & sizes_fit("size", "head_size"))
-    tried = staged(tried.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct())
-    links = staged(verified(tried, sets))
-    roots = staged(connected_components(links))
-
-    # whatever a band holds of other groups is compared pair by pair
-    apart = met.join(roots, "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("root"))
-    mixed = apart.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("band")
-    apart = staged(apart.join(mixed, "band", "left_semi"))
-    x, y = (apart.select("band", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "size", "root")]) for s in "ab")
-    pairs = (
-        x.join(y, "band")
-        .where((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b")) & sizes_fit("size_a", "size_b"))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
-    links = links.union(staged(verified(staged(pairs), sets)))
-    roots = staged(connected_components(links))
+    linked = staged(verified(tried, sets))
+    roots = staged(connected_components(linked))
+    more = staged(strays(members, roots, sets))
+    linked = linked.union(staged(verified(more, sets)))
+    roots = staged(connected_components(linked))
     groups = nodes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "lead")
     return groups.groupBy("root").agg(F.min("lead").alias("lead"))
 
 
 def drop_similar(docs: DataFrame) -> DataFrame:
-    """The rows of docs, one of each group of similar ones; all columns stay."""
-    keep = staged(similar_groups(docs).select(F.col("lead.key").alias("_row_key")))
-    keyed = docs.withColumn("_row_key", row_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(keep, "_row_key", "left_semi").dropDuplicates(["_row_key"]).drop("_row_key")
+    """The rows of docs, one of each group of similar ones; all columns stay, whatever their names."""
+    keep = staged(similar_groups(docs).select(F.col("lead.key").alias("key")))
+    return one_of_each(docs, keep)

@@ -45,6 +45,18 @@ def row_key(doc_id: Column, text: Column) -> Column:
     return F.md5(F.concat_ws("\x01", F.coalesce(doc_id.cast("string"), F.lit("null")), text_of(text)))
 
 
+def one_of_each(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Of the rows of docs (doc_id, text, ...) whose row key is in keys (key): one of each key, with the columns of docs.
+
+    Of rows equal in doc_id and text the least by their other columns as JSON stays. All columns travel in one
+    struct, so no name can clash.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), row.alias("row"))
+    best = F.min_by("row", F.to_json("row")).alias("row")
+    return keyed.join(keys, "key", "left_semi").groupBy("key").agg(best).select("row.*")
+
+
 def _starts(pieces: Column, block: int = 256) -> Column:
     """Running starts of array<struct<gap,len>>: gap_0, gap_0+len_0+gap_1, ...
 
