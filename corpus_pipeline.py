@@ -1,6 +1,12 @@
 """Corpus pipeline: STAGES are applied to `documents` in order, each on what its predecessor kept.
 
-All stages but the last return the columns of `documents`; n_chars follows the text.
+All stages but the last return the columns of their input, whatever their names; n_chars follows the text.
+
+Defined results: a null or empty text is judged by its lack of features, has no lines to cut, is a copy
+of every other such text, holds no window and has no pieces (a null one null); null doc_ids stay null;
+rows equal in doc_id and text fare alike in every stage, and one of them is left by near_duplicates; a
+null source is a source of its own; without labels of both classes all rows are kept; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -8,13 +14,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.decontaminate import find_contamination
+from tidemark.llm.decontaminate import drop_contaminated
 from tidemark.llm.lines import drop_boilerplate
 from tidemark.llm.pieces import MODEL, encode
 from tidemark.llm.quality import keep_accepted, train
 from tidemark.llm.similar import drop_similar
-from tidemark.llm.stage import staged
-from tidemark.llm.text import read_table, row_key
+from tidemark.llm.text import read_table
+from tidemark.sources.staging import staged
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,22 +31,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts boilerplate lines of each source from its documents; all documents stay."""
-    cut = drop_boilerplate(docs)
-    length = F.length("text").cast(dict(docs.dtypes)["n_chars"])
-    return cut.select(*[F.when(F.col("_n_dropped") > 0, length).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    return drop_boilerplate(docs, "n_chars")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group linked by five-word shingle similarity of 0.8 or more, the one with the smallest doc_id."""
+    """Keeps one document of each group linked by five-word shingle similarity of 0.8 or more, the one with the smallest doc_id.
+
+    Links are sought in the SimHash balls and, beyond their reach, by MinHash bands; each is verified.
+    """
     return drop_similar(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
-    marked = find_contamination(docs, read_table(spark, sf_dir, "benchmark"), keep_key=True)
-    bad = marked.where("contaminated").select(F.col("key").alias("_row_key")).distinct()
-    keyed = docs.withColumn("_row_key", row_key(F.col("doc_id"), F.col("text")))
-    return keyed.join(bad, "_row_key", "left_anti").select(*docs.columns)
+    return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
