@@ -121,3 +121,24 @@ def test_strict_visibility(spark):
     rows = [("before", t - timedelta(1), None), ("at", t, None), ("closed_at", t - timedelta(2), t), ("closed_later", t - timedelta(2), t + timedelta(seconds=1))]
     df = spark.createDataFrame(rows, "n string, knowledge_valid_from timestamp, knowledge_valid_to timestamp")
     assert {r["n"] for r in df.where(history.visible_at(F.lit(t))).collect()} == {"before", "closed_later"}
+
+
+def test_two_hundred_batches(spark):
+    """Windows that move on, back and on again, records with long gaps; against the plain rule."""
+    dice = random.Random(4)
+    days = [datetime(2030, 1, 1, 9) + timedelta(i) for i in range(200)]
+    batches = spark.createDataFrame([(f"{f}{i}", f, d) for f in ("inspections", "crashes") for i, d in enumerate(days)], "batch_id string, feed_name string, observed_at timestamp")
+    stories, dates = {}, {}
+    for n in range(30):
+        runs = "".join(dice.choice("ab-") * dice.choice([1, 2, 40]) for _ in range(120))[:200]
+        stories[f"r{n}"], dates[f"r{n}"] = runs, date(2028, 1, 1) + timedelta(dice.randrange(400))
+    rows = [candidate(f"{f}{i}", d, f, k, s[i], event=dates[k]) for f in ("inspections", "crashes") for k, s in stories.items() for i, d in enumerate(days) if s[i] != "-"]
+    v, e = history.rebuild(spark.createDataFrame(rows, SCHEMA), batches)
+    got = {"inspections": {}, "crashes": {}}
+    for r in sorted(v.collect(), key=lambda r: r["first_observed_at"]):
+        mine = got[r["feed_name"]]
+        mine[r["source_record_key"]] = mine.get(r["source_record_key"], "") + ("x" if r["is_deleted"] else r["record_hash"])
+    want = {f: told_by_rule(stories, dates, f) for f in got}
+    assert got == {f: w[0] for f, w in want.items()}
+    assert {(r["source_record_key"], int(r["batch_id"].removeprefix("inspections"))) for r in e.collect()} == want["inspections"][1]
+    assert len(want["inspections"][1]) > 30

@@ -1,8 +1,8 @@
 """The bitemporal version history: what was known of each record, and from when to when.
 
 Two forms with equal results. `rebuild` makes the whole history of a set of batches with window
-functions over each record's appearances - one shuffle by (feed, key), however many batches there
-are. `apply_batch` adds one batch to a stored history. Times of knowledge come from the batches,
+functions over each record's appearances - one shuffle by (feed, key) and a row an appearance,
+however many batches there are. `apply_batch` adds one batch to a stored history. Times of knowledge come from the batches,
 never from the clock.
 
 Rules: a record starts with its first eligible appearance. A later appearance opens a new version
@@ -42,75 +42,85 @@ def cutoffs(candidates: DataFrame) -> DataFrame:
     return candidates.where("feed_name = 'inspections'").groupBy("batch_id").agg(F.min("event_date").alias("cutoff"))
 
 
-def _appearances(candidates: DataFrame, batches: DataFrame) -> DataFrame:
+def _ahead(steps: DataFrame) -> DataFrame:
+    """feed, at, chain: from each batch on, those whose cutoff is below all cutoffs before them; of crashes the batch alone.
+
+    The first batch from `at` on with a cutoff of d or less is the first such in the chain, which is short: windows
+    move forward, so a later cutoff is rarely below an earlier one. One row a batch.
+    """
+    a, b = steps.select(F.col("feed_name").alias("feed"), F.col("no").alias("at")), steps
+    pairs = a.join(b, (F.col("feed") == F.col("feed_name")) & F.when(F.col("feed") == "crashes", F.col("no") == F.col("at")).otherwise(F.col("no") >= F.col("at")))
+    before = F.min("cutoff").over(W.partitionBy("feed", "at").orderBy("no").rowsBetween(W.unboundedPreceding, -1))
+    lower = (F.col("feed") == "crashes") | (F.col("cutoff").isNotNull() & (F.col("before").isNull() | (F.col("cutoff") < F.col("before"))))
+    chain = F.array_sort(F.collect_list(F.struct("no", "batch_id", "observed_at", "cutoff"))).alias("chain")
+    return pairs.withColumn("before", before).where(lower).groupBy("feed", "at").agg(chain)
+
+
+def _appearances(candidates: DataFrame, steps: DataFrame) -> DataFrame:
     """Candidate rows from each record's first eligible one on, with what stands around them.
 
-    missed: the feed's batches between this appearance and the next one, in order.
+    deleted_in: the batch between this appearance and the next one that deletes the record, if any.
     """
-    steps = numbered(batches).join(cutoffs(candidates), "batch_id", "left")
-    per_feed = steps.groupBy(F.col("feed_name").alias("feed")).agg(
-        F.array_sort(F.collect_list(F.struct("no", "batch_id", "observed_at", "cutoff"))).alias("steps")
-    )
     rows = candidates.where(F.col("source_record_key").isNotNull()).drop("observed_at")
-    rows = rows.join(F.broadcast(steps.select("batch_id", "no", "observed_at")), "batch_id")
+    rows = rows.join(F.broadcast(steps.select("batch_id", "no", "last_no", "observed_at")), "batch_id")
     record = W.partitionBy("feed_name", "source_record_key").orderBy("no")
-    started = F.max(F.col("is_model_eligible").cast("int")).over(record.rowsBetween(W.unboundedPreceding, W.currentRow))
+    so_far = record.rowsBetween(W.unboundedPreceding, W.currentRow)
+    started = F.max(F.col("is_model_eligible").cast("int")).over(so_far)
     rows = rows.withColumn("_started", started).where("_started = 1").drop("_started")
     rows = (
         rows.withColumn("before_no", F.lag("no").over(record))
         .withColumn("before_hash", F.lag("record_hash").over(record))
         .withColumn("before_eligible", F.lag("is_model_eligible").over(record))
-        .withColumn("next_no", F.lead("no").over(record))
+        .withColumn("next_no", F.coalesce(F.lead("no").over(record), F.col("last_no") + 1))
     )
-    # one row a feed, with one entry a batch
-    rows = rows.join(F.broadcast(per_feed), F.col("feed_name") == F.col("feed")).drop("feed")
-    between = lambda lo, hi: F.filter("steps", lambda s: (s["no"] > lo) & (hi.isNull() | (s["no"] < hi)))
-    rows = rows.withColumn("missed", between(F.col("no"), F.col("next_no")))
     ineligible_future = ~F.col("is_model_eligible") & (F.col("event_date") > F.to_date("observed_at"))
     dated = F.when(ineligible_future, F.lit(None).cast("date")).otherwise(F.col("event_date"))
     other = ~F.col("record_hash").eqNullSafe(F.col("before_hash")) | (F.col("is_model_eligible") != F.col("before_eligible"))
     rows = rows.withColumn("own_date", dated).withColumn("differs", F.col("before_no").isNull() | other)
     # the stored date is that of the row that opened the version; equal rows keep it while it lasts
-    so_far = record.rowsBetween(W.unboundedPreceding, W.currentRow)
     opened = F.last(F.when(F.col("differs"), F.struct("own_date")), True).over(so_far)["own_date"]
     crash = F.col("feed_name") == "crashes"
     rows = rows.withColumn("version_date", F.when(crash, F.col("own_date")).otherwise(opened))
-    gone = F.filter("missed", lambda s: crash | (s["cutoff"].isNotNull() & (F.col("version_date") >= s["cutoff"])))
-    rows = rows.withColumn("deleted_in", F.get(gone, F.lit(0)))
+    # one row a batch
+    rows = rows.join(F.broadcast(_ahead(steps)), (F.col("feed_name") == F.col("feed")) & (F.col("no") + 1 == F.col("at")), "left").drop("feed", "at")
+    gone = F.filter("chain", lambda s: (s["no"] < F.col("next_no")) & (crash | (F.col("version_date") >= s["cutoff"])))
+    rows = rows.withColumn("deleted_in", F.when(F.col("next_no") > F.col("no") + 1, F.get(gone, F.lit(0)))).drop("chain")
     reborn = F.lag(F.col("deleted_in").isNotNull()).over(record)
     return rows.withColumn("opens", F.col("differs") | F.coalesce(reborn, F.lit(False)))
 
 
 def rebuild(candidates: DataFrame, batches: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(versions, retention expiries) of all batches (batch_id, feed_name, observed_at, all applied)."""
-    seen = _appearances(candidates, batches)
+    last = F.max("no").over(W.partitionBy("feed_name"))
+    steps = numbered(batches).join(cutoffs(candidates), "batch_id", "left").withColumn("last_no", last)
+    seen = _appearances(candidates, steps)
     record = W.partitionBy("feed_name", "source_record_key").orderBy("no")
     # all windows have one order, so the rows are sorted once
     so_far, from_here = record.rowsBetween(W.unboundedPreceding, W.currentRow), record.rowsBetween(W.currentRow, W.unboundedFollowing)
     seen = seen.withColumn("closes", F.coalesce(F.lead("opens").over(record), F.lit(True)))
-    seen = seen.withColumn("last_seen_batch_id", F.first(F.when(F.col("closes"), F.col("batch_id")), True).over(from_here))
+    seen = seen.withColumn("last_seen", F.first(F.when(F.col("closes"), F.col("batch_id")), True).over(from_here))
     seen = seen.withColumn("opened_by", F.last(F.when(F.col("opens"), F.col("batch_id")), True).over(so_far))
-    first = F.col("no") == 1
-    live = seen.where("opens").select(
-        "feed_name", "source_record_key", *PAYLOAD, F.col("no").alias("step"),
-        F.col("own_date").alias("event_date"),
-        F.when(first, F.col("source_proxy_reported_date")).otherwise(F.to_date("observed_at")).alias("reported_date"),
-        F.when(first, F.col("source_proxy_valid_from")).otherwise(F.col("observed_at")).alias("knowledge_valid_from"),
-        F.when(first, F.lit("source_proxy")).otherwise(F.lit("observed")).alias("availability_quality"),
-        F.col("observed_at").alias("first_observed_at"),
-        F.lit(False).alias("is_deleted"), F.lit(None).cast("string").alias("deletion_reason"),
-        F.col("batch_id").alias("first_seen_batch_id"), "last_seen_batch_id",
+    first, d = F.col("no") == 1, F.col("deleted_in")
+
+    def version(**columns: Column) -> Column:
+        return F.struct(*[v.alias(k) for k, v in columns.items()])
+
+    live = version(
+        step=F.col("no"), event_date=F.col("own_date"),
+        reported_date=F.when(first, F.col("source_proxy_reported_date")).otherwise(F.to_date("observed_at")),
+        knowledge_valid_from=F.when(first, F.col("source_proxy_valid_from")).otherwise(F.col("observed_at")),
+        availability_quality=F.when(first, F.lit("source_proxy")).otherwise(F.lit("observed")),
+        first_observed_at=F.col("observed_at"), is_deleted=F.lit(False), deletion_reason=F.lit(None).cast("string"),
+        first_seen_batch_id=F.col("batch_id"), last_seen_batch_id=F.col("last_seen"),
     )
-    d = F.col("deleted_in")
-    dead = seen.where("deleted_in is not null").select(
-        "feed_name", "source_record_key", *PAYLOAD, d["no"].alias("step"),
-        F.col("version_date").alias("event_date"), F.to_date(d["observed_at"]).alias("reported_date"),
-        d["observed_at"].alias("knowledge_valid_from"), F.lit("observed").alias("availability_quality"),
-        d["observed_at"].alias("first_observed_at"),
-        F.lit(True).alias("is_deleted"), F.lit("source_deleted").alias("deletion_reason"),
-        d["batch_id"].alias("first_seen_batch_id"), d["batch_id"].alias("last_seen_batch_id"),
+    dead = version(
+        step=d["no"], event_date=F.col("version_date"), reported_date=F.to_date(d["observed_at"]), knowledge_valid_from=d["observed_at"],
+        availability_quality=F.lit("observed"), first_observed_at=d["observed_at"], is_deleted=F.lit(True), deletion_reason=F.lit("source_deleted"),
+        first_seen_batch_id=d["batch_id"], last_seen_batch_id=d["batch_id"],
     )
-    versions = live.unionByName(dead)
+    # a row gives a version, a deletion, both or neither, in one pass that keeps the rows where they are
+    made = F.array_compact(F.array(F.when(F.col("opens"), live), F.when(d.isNotNull(), dead)))
+    versions = seen.where(F.col("opens") | d.isNotNull()).select("feed_name", "source_record_key", *PAYLOAD, F.inline(made))
     key = version_key(F.col("first_seen_batch_id"), F.col("feed_name"), F.col("source_record_key"), F.col("is_deleted"))
     chain = W.partitionBy("feed_name", "source_record_key").orderBy("step")
     versions = (
@@ -122,19 +132,19 @@ def rebuild(candidates: DataFrame, batches: DataFrame) -> tuple[DataFrame, DataF
         .drop("step")
     )
     # batches that missed a living record whose date lies before their window
-    alive = F.filter(
-        "missed",
-        lambda s: (F.col("deleted_in").isNull() | (s["no"] < d["no"])) & (F.col("version_date") < s["cutoff"]),
-    )
+    end = F.coalesce(d["no"], F.col("next_no")) - 1
+    lapsed = seen.where((F.col("feed_name") == "inspections") & (end > F.col("no")))
+    lapsed = lapsed.select("source_record_key", "feed_name", "opened_by", "version_date", F.explode(F.sequence(F.col("no") + 1, end)).alias("no"))
+    missed = steps.where("feed_name = 'inspections'").select("no", "batch_id", "observed_at", "cutoff")
     expiries = (
-        seen.where("feed_name = 'inspections'")
-        .select("source_record_key", "feed_name", "opened_by", F.explode(alive).alias("s"))
+        lapsed.join(F.broadcast(missed), "no")
+        .where("version_date < cutoff")
         .select(
             "source_record_key",
-            F.col("s.batch_id").alias("batch_id"),
+            "batch_id",
             version_key(F.col("opened_by"), F.col("feed_name"), F.col("source_record_key"), F.lit(False)).alias("event_version_key"),
-            F.col("s.observed_at").alias("observed_at"),
-            F.col("s.cutoff").alias("retention_cutoff"),
+            "observed_at",
+            F.col("cutoff").alias("retention_cutoff"),
         )
     )
     return versions, expiries
