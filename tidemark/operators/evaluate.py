@@ -73,3 +73,13 @@ def confusion(df: DataFrame, score: str, label: str, threshold: float) -> DataFr
         "*", share(tn + tp, n).alias("accuracy"), share(tp, tp + fn).alias("positive_recall"), share(tp, tp + fp).alias("precision"),
         share(2 * tp, 2 * tp + fp + fn).alias("f1"), share(tp + fn, n).alias("prevalence"), share(tn + fp, n).alias("always_negative_accuracy"),
     )
+
+
+def holdout(split: DataFrame, score: str, baseline: str, label: str) -> DataFrame:
+    """One row: the threshold that is best on the train part, and on the test part alone the confusion at it and the
+    average precisions of score and baseline. split: part, label and both scores."""
+    threshold = f1_threshold(split.where("part = 'train'"), score, label).first()["threshold"]  # one number
+    test = split.where("part = 'test'")
+    ap = average_precision(test, [score, baseline], label)
+    one = ap.agg(*[F.max(F.when(F.col("model") == n, F.col("average_precision"))).alias(f"ap_{c}") for n, c in ((score, "model"), (baseline, "baseline"))])
+    return confusion(test, score, label, threshold).select(F.lit(threshold).alias("threshold"), "*").join(one, how="cross")

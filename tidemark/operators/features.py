@@ -109,6 +109,54 @@ def training_features(events: DataFrame, grid: DataFrame) -> DataFrame:
     )
 
 
+def recomputed_features(events: DataFrame, grid: DataFrame) -> DataFrame:
+    """The features once more by the plain interval join of events and months; for checks, not for use at scale."""
+    t = F.col("scoring_date")
+    inspection = F.col("event_type") == "inspection"
+    back = F.when(inspection, F.add_months(t, -6)).otherwise(F.add_months(t, -24))
+    seen = events.where("not is_deleted").join(
+        F.broadcast(grid.select("scoring_date").distinct()),
+        (F.col("event_date") < t) & (F.col("reported_date") < t) & (F.col("event_date") >= back) & visible_at(t.cast("timestamp")),
+    )
+    whole = lambda c: F.coalesce(F.sum(F.when(inspection, F.col(c))), F.lit(0)).cast("bigint").alias(f"{c}s")
+    wide = seen.groupBy("usdot_number", "scoring_date").agg(
+        F.count_if(inspection).alias("inspections_6m"), whole("violation_count"), whole("oos_violation_count"),
+        F.countDistinct(F.when(~inspection, F.col("carrier_crash_key"))).alias("crashes_24m"), F.max(F.when(inspection, F.col("event_date"))).alias("last_inspection_date"),
+    )
+    wide = wide.where("inspections_6m > 0").withColumnsRenamed({"violation_counts": "violations_6m", "oos_violation_counts": "oos_violations_6m"})
+    return wide.select(
+        "usdot_number", "scoring_date", "inspections_6m", "violations_6m", "oos_violations_6m", "crashes_24m",
+        ratio(F.col("violations_6m"), F.col("inspections_6m")).alias("violations_per_inspection"),
+        ratio(F.col("oos_violations_6m"), F.col("violations_6m")).alias("oos_violation_rate"),
+        F.datediff("scoring_date", "last_inspection_date").alias("days_since_last_inspection"), "last_inspection_date",
+    )
+
+
+def feature_differences(stored: DataFrame, expected: DataFrame) -> DataFrame:
+    """(side, n): carrier-months that only one side has, and those of both whose values differ."""
+    keys, values = ["usdot_number", "scoring_date"], [c for c in expected.columns if c not in ("usdot_number", "scoring_date")]
+    a = stored.select(*keys, F.struct(*values).alias("a"))
+    b = expected.select(*keys, F.struct(*values).alias("b"))
+    both = a.join(b, keys, "full")
+    side = F.when(F.col("b").isNull(), "stored_only").when(F.col("a").isNull(), "expected_only").when(~F.col("a").eqNullSafe(F.col("b")), "values")
+    sums = both.select(side.alias("side")).agg(*[F.count_if(F.col("side") == s).alias(s) for s in ("stored_only", "expected_only", "values")])
+    return sums.select(F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("n")) for s in sums.columns])).alias("x")).select("x.*")
+
+
+def landmark_violations(rows: DataFrame, unlabelled_from: str) -> DataFrame:
+    """(rule, violations) of landmark features: bounds, rates exactly where there are violations, labels exactly before a day."""
+    c, late = F.col, F.col("scoring_date") >= F.lit(unlabelled_from).cast("date")
+    rules = {
+        "inspections": c("inspections_4m") < 1,
+        "counts": F.least("violations_4m", "oos_violations_4m", "crashes_24m") < 0,
+        "days": c("days_since_last_inspection") < 1,
+        "rate": (c("violations_4m") == 0) == c("oos_violation_rate").isNotNull(),
+        "label": late == c("label").isNotNull(),
+    }
+    sums = rows.agg(*[F.count_if(F.coalesce(x, F.lit(True))).alias(n) for n, x in rules.items()])
+    return sums.select(F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in rules])).alias("x")).select("x.*")
+
+
 def landmark_features(events: DataFrame, landmarks: list[str], unlabelled_from: str, reported_before: str) -> DataFrame:
     """Features and labels at a few fixed dates from flat events.
 

@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.sources.staging import staged
+
 PAYLOAD = (
     "event_type", "usdot_number", "source_add_at", "source_change_at", "is_model_eligible", "exclusion_reason", "record_hash",
     "state", "violation_count", "oos_violation_count", "report_state", "report_number", "report_time", "report_seq_no",
@@ -164,6 +166,26 @@ def pending(batches: DataFrame, applied: DataFrame) -> DataFrame:
     return fresh
 
 
+def apply_pending(versions: DataFrame, applied: DataFrame, candidates: DataFrame, batches: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """(versions, new expiries, applied registry) after all batches (batch_id, feed_name, observed_at) that are not in `applied`.
+
+    One step a batch, in order of arrival; each is written before the next one. A batch is registered with its step, so
+    a run that is repeated finds nothing to do.
+    """
+    expiries = None
+    order = ("observed_at", "batch_id")
+    seen = {r[0] for r in applied.select("feed_name").distinct().collect()}
+    for b in pending(batches, applied).orderBy(*order).collect():  # batches, a few
+        mine = candidates.where(F.col("batch_id") == b["batch_id"])
+        at = F.lit(b["observed_at"]).cast("timestamp")
+        versions, lapsed = apply_batch(versions, mine, b["feed_name"], b["batch_id"], at, b["feed_name"] in seen)
+        versions, lapsed = staged(versions), staged(lapsed)
+        expiries = lapsed if expiries is None else expiries.unionByName(lapsed)
+        applied = applied.unionByName(batches.where(F.col("batch_id") == b["batch_id"]).select(*applied.columns))
+        seen.add(b["feed_name"])
+    return versions, expiries, applied
+
+
 def apply_batch(
     versions: DataFrame, candidates: DataFrame, feed: str, batch_id: str, observed_at: Column, has_history: bool
 ) -> tuple[DataFrame, DataFrame]:

@@ -17,6 +17,17 @@ QUANTILE, CONFIDENCE, COHORTS, GRACE_MONTHS = 0.995, 0.95, 12, 9
 INCIDENT = ("usdot_number", "report_state", "report_number", "event_date", "report_time")
 
 
+def known_by(versions: DataFrame, day: date) -> DataFrame:
+    return versions.where((F.to_date("knowledge_valid_from") <= F.lit(day)) & (F.col("reported_date") <= F.lit(day)))
+
+
+def missing_carriers(versions: DataFrame, data_as_of: date) -> DataFrame:
+    """One row: the versions without a carrier that are known by a day, and the incidents they stand for."""
+    return known_by(versions, data_as_of).where("usdot_number is null").agg(
+        F.count("*").alias("missing_rows"), F.countDistinct(F.struct(*INCIDENT)).alias("missing_incidents")
+    )
+
+
 def first_incidents(versions: DataFrame, data_as_of: date) -> DataFrame:
     """One row for each incident: the version that first made it known.
 
@@ -25,9 +36,9 @@ def first_incidents(versions: DataFrame, data_as_of: date) -> DataFrame:
     keys that are an incident's earliest, a reportable one first, then a living one, then any, and
     among those the least (reported_date, source_record_key).
     """
-    known = versions.where(
-        (F.to_date("knowledge_valid_from") <= F.lit(data_as_of)) & (F.col("reported_date") <= F.lit(data_as_of)) & F.col("event_date").isNotNull()
-    )
+    known = known_by(versions, data_as_of).where("event_date is not null")
+    if known.where("reported_date < event_date").limit(1).count():
+        raise ValueError("a report is dated before its event")
     content = F.struct(*INCIDENT, "reported_date", "federal_recordable", "is_deleted")
     first = known.groupBy("source_record_key").agg(F.min("knowledge_valid_from").alias("first_known"))
     own = known.join(first, "source_record_key").where("knowledge_valid_from = first_known")
@@ -35,6 +46,11 @@ def first_incidents(versions: DataFrame, data_as_of: date) -> DataFrame:
     if ties.limit(1).count():
         raise ValueError("two first versions of a source key differ")
     own = own.dropDuplicates(["source_record_key"]).where(F.col("usdot_number").isNotNull())
+    whole = F.col("usdot_number").rlike(r"\A[1-9][0-9]*\z")
+    for c in ("report_state", "report_number", "report_time"):
+        whole = whole & (F.coalesce(F.col(c).cast("string"), F.lit("")) != "")
+    if own.where(~whole).limit(1).count():
+        raise ValueError("an incident lacks a part of its identity, or its carrier number is not canonical")
     rank = F.when(F.col("federal_recordable") & ~F.col("is_deleted"), 0).when(~F.col("is_deleted"), 1).otherwise(2)
     order = W.partitionBy(*INCIDENT).orderBy("knowledge_valid_from", rank, "reported_date", "source_record_key")
     return own.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n", "first_known")
@@ -46,8 +62,6 @@ def cohort_lags(incidents: DataFrame, data_as_of: date) -> DataFrame:
     rows = incidents.where(F.col("federal_recordable") & ~F.col("is_deleted")).select(
         F.trunc("event_date", "MM").alias("event_month"), F.datediff("reported_date", "event_date").alias("lag_days")
     )
-    if rows.where("lag_days < 0").limit(1).count():
-        raise ValueError("a report is dated before its event")
     return rows.join(F.broadcast(months), "event_month").groupBy("event_month", "lag_days").agg(F.count("*").alias("n"))
 
 
@@ -145,6 +159,35 @@ def watermark_violations(cohorts: DataFrame, grace_days: int | None, measured: i
     return spark.createDataFrame([(k, int(v)) for k, v in rules.items()], "rule string, violations bigint")
 
 
+METADATA = "struct<version:string,data_as_of:date,grace_days:int,quantile:double,confidence:double,sample_size:bigint,cohorts:array<struct<event_month:date,incident_count:bigint>>>"
+
+
+def metadata_violations(registry: DataFrame) -> DataFrame:
+    """(rule, violations) of a registry against the JSON it was written from.
+
+    registry: version, data_as_of, grace_days, quantile, confidence, sample_size, cohort_start, cohort_end, is_current, metadata.
+    """
+    df = registry.withColumn("m", F.from_json("metadata", METADATA)).withColumn("months", F.col("m.cohorts.event_month"))
+    differs = lambda c: ~F.col(c).eqNullSafe(F.col(f"m.{c}"))
+    not_ = lambda a, b: ~F.coalesce(a == b, F.lit(False))
+    start, end, as_of = F.col("cohort_start"), F.col("cohort_end"), F.col("data_as_of")
+    in_order = F.transform(F.sequence(F.lit(0), F.lit(COHORTS - 1)), lambda i: F.add_months(start, i))
+    sampled = F.aggregate("m.cohorts", F.lit(0).cast("bigint"), lambda a, x: a + x["incident_count"])
+    whole = lambda months: F.add_months(F.last_day(F.add_months(end, months)), GRACE_MONTHS)
+    rules = {
+        "version": differs("version"), "data_as_of": differs("data_as_of"), "grace_days": differs("grace_days"),
+        "quantile": differs("quantile") | not_(F.col("quantile"), F.lit(QUANTILE)), "confidence": differs("confidence") | not_(F.col("confidence"), F.lit(CONFIDENCE)),
+        "sample_size": differs("sample_size") | not_(F.col("sample_size"), sampled),
+        "cohort_count": not_(F.size("months"), F.lit(COHORTS)),
+        "cohort_months": not_(F.col("months"), in_order) | not_(F.trunc(start, "MM"), start),
+        "cohort_end": not_(F.add_months(start, COHORTS - 1), end),
+        "latest_mature": ~F.coalesce((whole(0) <= as_of) & (whole(1) > as_of), F.lit(False)),
+    }
+    sums = df.agg(*[F.count_if(c).alias(n) for n, c in rules.items()], F.count_if("is_current").alias("current"))
+    every = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("violations")) for n in rules], F.struct(F.lit("single_current").alias("rule"), (F.col("current") != 1).cast("bigint").alias("violations")))
+    return sums.select(F.explode(every).alias("x")).select("x.*")
+
+
 def registry_violations(registry: DataFrame) -> DataFrame:
     """(rule, violations) of a registry of measurements: version, previous_version, data_as_of, grace_days, reviewed_decrease, is_current."""
     before = registry.select(F.col("version").alias("v"), F.col("data_as_of").alias("before_as_of"), F.col("grace_days").alias("before_grace"))

@@ -132,7 +132,8 @@ def reconcile_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_lag_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.lag_profile(snapshot_rows(spark, sf_dir), snapshot_manifests(spark).drop("batch_id"), exact=True)
+    found = profile.lag_profile(snapshot_rows(spark, sf_dir), snapshot_manifests(spark).drop("batch_id"), exact=True)
+    return found.orderBy("feed", "acquisition_date", "lag_bucket")
 
 
 def report_lag_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,11 +209,29 @@ def landmark_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates(features.landmark_features(flat_events(spark, sf_dir), LANDMARKS, LANDMARKS[-1], "2001-09-03"))
 
 
-def source_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outcomes of an extraction from the last snapshots' text rows."""
+#: Ranges of raw date text that the extraction takes of each feed.
+EXTRACTED = {"inspections": [("19950101", "19960401"), ("19971015", "19990101"), ("20000101", "20010701")], "crashes": [("19930601", "20010715")]}
+
+
+def _extracted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     i = tables.raw_inspections(spark, sf_dir).where("batch_id = 'insp-6'")
     c = tables.raw_crashes(spark, sf_dir).where("batch_id = 'crash-6'")
-    return files.source_events(i, c, "19950101", "2001-06-01")[1]
+    # some cells as other rows spell them
+    k = F.col("source_row_number")
+    i = i.withColumn("change_date", F.when(k % 41 == 0, F.lit("")).when(k % 41 == 1, F.lit("2001-02-03")).otherwise(F.col("change_date")))
+    i = i.withColumn("insp_date", F.when(k % 5 == 0, F.concat(F.lit("  "), "insp_date")).otherwise(F.col("insp_date")))
+    c = c.withColumn("federal_recordable", F.when(k % 43 == 0, F.lit("")).when(k % 43 == 1, F.lit("perhaps")).otherwise(F.lower("federal_recordable")))
+    c = c.withColumn("report_seq_no", F.when(k % 2 == 0, F.lit("?")).otherwise(F.col("report_seq_no")))
+    return files.source_events(i, c, EXTRACTED, "2001-06-01")
+
+
+def source_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of an extraction from the last snapshots' text rows."""
+    return _extracted(spark, sf_dir)[1]
+
+
+def source_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _extracted(spark, sf_dir)[0]
 
 
 def cohort_months(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,11 +297,63 @@ def availability_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def population_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored carrier-months (without every hundredth carrier, to show a difference) against those that the events call for."""
+    """The stored carrier-months, spoiled to show differences, against those that the events call for."""
+    e = staged(events_union(spark, sf_dir))
+    grid = features.month_grid(batches(spark))
+    return dataset.population_diff(_spoiled(features.training_features(e, grid)), e, grid)
+
+
+def _spoiled(stored: DataFrame) -> DataFrame:
+    """Features of which some carriers are lost, some have another date and some other counts."""
+    c = F.col("usdot_number").cast("bigint")
+    moved = F.when(c % 107 == 0, F.add_months("scoring_date", 1200)).otherwise(F.col("scoring_date"))
+    more = F.when(c % 103 == 0, F.col("violations_6m") + 1).otherwise(F.col("violations_6m"))
+    return stored.where(c % 100 != 0).withColumns({"scoring_date": moved, "violations_6m": more})
+
+
+def features_recomputed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored features, spoiled, against an independent recomputation by the plain interval join."""
     e = staged(events_union(spark, sf_dir))
     grid = features.month_grid(batches(spark))
-    stored = features.training_features(e, grid).where(F.col("usdot_number").cast("bigint") % 100 != 0)
-    return dataset.population_diff(stored, e, grid)
+    return features.feature_differences(_spoiled(features.training_features(e, grid)), features.recomputed_features(e, grid))
+
+
+def encoding_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(reason, n) of feature rows that no model may see, of features spoiled by rules on the carrier."""
+    f = features.training_features(events_union(spark, sf_dir), features.month_grid(batches(spark)))
+    c = F.col("usdot_number").cast("bigint")
+    spoil = {
+        "inspections_6m": F.when(c % 31 == 0, 0).otherwise(F.col("inspections_6m")),
+        "days_since_last_inspection": F.when(c % 37 == 0, 0).otherwise(F.col("days_since_last_inspection")),
+        "oos_violation_rate": F.when(c % 41 == 0, F.lit(None)).when(c % 43 == 0, F.lit(0)).otherwise(F.col("oos_violation_rate")),
+        "crashes_24m": F.when(c % 47 == 0, -1).otherwise(F.col("crashes_24m")),
+        "usdot_number": F.when(c % 53 == 0, F.concat(F.lit("0"), "usdot_number")).otherwise(F.col("usdot_number")),
+    }
+    rows = train.encoded(f.withColumns(spoil))
+    return rows.select(F.explode("invalid").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def landmark_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boundary rules of the landmark features, spoiled by rules on the carrier."""
+    rows = features.landmark_features(flat_events(spark, sf_dir), LANDMARKS, LANDMARKS[-1], "2001-09-03")
+    c = F.col("usdot_number").cast("bigint")
+    spoil = {
+        "inspections_4m": F.when(c % 31 == 0, 0).otherwise(F.col("inspections_4m")),
+        "crashes_24m": F.when(c % 37 == 0, -1).otherwise(F.col("crashes_24m")),
+        "days_since_last_inspection": F.when(c % 41 == 0, 0).otherwise(F.col("days_since_last_inspection")),
+        "oos_violation_rate": F.when(c % 43 == 0, F.lit(None)).otherwise(F.col("oos_violation_rate")),
+        "label": F.when(c % 47 == 0, 1).otherwise(F.col("label")),
+    }
+    return features.landmark_violations(rows.withColumns(spoil), LANDMARKS[-1])
+
+
+def inspection_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inspections whose retained rows differ, of flat events of which some are repeated and some changed."""
+    e = flat_events(spark, sf_dir).where("event_type = 'inspection'")
+    k = F.col("source_key").cast("bigint")
+    e = e.unionByName(e.where(k % 13 == 0)).unionByName(e.where(k % 211 == 0).withColumn("violation_count", F.col("violation_count") + 1))
+    distinct = e.select("source_key", "usdot_number", "event_date", "reported_date", "violation_count", "oos_violation_count").distinct()
+    return checks.duplicates(distinct, "inspection_identity", "source_key")
 
 
 def dataset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,15 +386,30 @@ def confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.confusion(scores(spark, sf_dir), "candidate", "label", 0.5)
 
 
-def boosted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test rows of the purged split with the probability of a model fitted to its train rows."""
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = staged(train.encoded(labelled(spark, sf_dir)))
     grid = features.month_grid(batches(spark)).where(F.add_months("scoring_date", 6) <= F.lit(CUTOFF))
-    split = dataset.purged_split(rows, grid)
+    return dataset.purged_split(rows, grid)
+
+
+def boosted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test rows of the purged split with the probability of a model fitted to its train rows."""
+    split = _split(spark, sf_dir)
     model = train.train(split)
     return train.score(model, split.where("part = 'test'")).select("usdot_number", "scoring_date", "label", "probability")
 
 
+def boosted_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The boosted trees' threshold on their train rows and their metrics on the test rows."""
+    split = _split(spark, sf_dir)
+    return evaluate.holdout(staged(train.score(train.train(split), split)), "probability", "violations_per_inspection", "label")
+
+
+def rate_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same evaluation of a score that needs no model: the violations an inspection."""
+    return evaluate.holdout(_split(spark, sf_dir), "violations_per_inspection", "crashes_24m", "label")
+
+
 def batch_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every carrier's decision on a day: score, or why not."""
     e = staged(events_union(spark, sf_dir))
@@ -332,19 +418,87 @@ def batch_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.batch_decisions(found, e, train.request_dates(carriers, date(2001, 3, 11)))
 
 
+def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every carrier's decision on a day with a score where there is one; the score is a plain function of the features."""
+    e = staged(events_union(spark, sf_dir))
+    found = features.training_features(e, features.month_grid(batches(spark)))
+    carriers = tables.table(spark, sf_dir, "orders").select((F.col("o_custkey") + 1).cast("string").alias("usdot_number"))
+    v = F.col("violations_per_inspection")
+    return train.batch_scores(found, e, train.request_dates(carriers, date(2001, 3, 11)), lambda rows: rows.withColumn("probability", v / (v + 1)))
+
+
+def _stepwise(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(versions, applied registry, candidates): the first snapshots of each feed at once and the later ones batch by batch."""
+    made, known = staged(candidates(spark, sf_dir)), batches(spark)
+    early = known.where("batch_no <= 4")
+    first = history.rebuild(made.join(F.broadcast(early.select("batch_id")), "batch_id", "left_semi"), early)[0]
+    registry = early.select("batch_id", "feed_name", "observed_at")
+    found, _, applied = history.apply_pending(staged(first), registry, made, known)
+    return found, applied, made
+
+
+def incremental_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stepwise(spark, sf_dir)[0]
+
+
+def applied_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry after an incremental run: each batch with its rows and the versions that it made."""
+    found, applied, made = _stepwise(spark, sf_dir)
+    rows = made.groupBy("batch_id").agg(F.count("*").alias("n_rows"))
+    born = found.groupBy(F.col("first_seen_batch_id").alias("batch_id")).agg(F.count("*").alias("n_versions"))
+    sound = applied.join(dataset.unattested(applied, tables.snapshot_batches(spark)), "batch_id", "left_anti")
+    return sound.join(rows, "batch_id", "left").join(born, "batch_id", "left").select("batch_id", "feed_name", "observed_at", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("n_versions", F.lit(0)).alias("n_versions"))
+
+
+def maturity_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maturity.missing_carriers(vehicles(spark, sf_dir), AS_OF)
+
+
+def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the labelled rows rest on, and the outcomes that could not be used."""
+    v = _versions(spark, sf_dir)
+    grid = features.month_grid(batches(spark)).where(F.add_months("scoring_date", 6) <= F.lit(CUTOFF))
+    events = incidents.events_union(v).join(v.select("event_version_key", "availability_quality"), "event_version_key")
+    rows = staged(features.training_features(incidents.events_union(v), grid))
+    return dataset.provenance(dataset.contributions(rows, events, CUTOFF), v.where("feed_name = 'crashes'"), CUTOFF)
+
+
 def history_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule counts of the history with one version in a thousand spoiled, so that rules have something to find."""
+    """Rule counts of the history, with versions spoiled by their key so that each rule on a row has something to find."""
     made = staged(candidates(spark, sf_dir))
     v, expiries = history.rebuild(made, batches(spark))
-    spoil = F.pmod(F.conv(F.substring("event_version_key", 1, 8), 16, 10).cast("bigint"), F.lit(1000)) == 0
-    v = staged(v.withColumn("is_current", F.when(spoil, ~F.col("is_current")).otherwise(F.col("is_current"))))
-    return checks.history_violations(v, batches(spark), staged(expiries))
+    lot = F.pmod(F.conv(F.substring("event_version_key", 1, 8), 16, 10).cast("bigint"), F.lit(200))
+    spoil = {
+        "is_current": F.when(lot == 0, ~F.col("is_current")).otherwise(F.col("is_current")),
+        "availability_quality": F.when(lot == 1, F.lit("guess")).otherwise(F.col("availability_quality")),
+        "deletion_reason": F.when(lot > 20, F.col("deletion_reason")),
+        "event_type": F.when(lot == 3, F.lit("other")).otherwise(F.col("event_type")),
+        "record_hash": F.when(lot != 4, F.col("record_hash")),
+        "usdot_number": F.when(lot != 5, F.col("usdot_number")),
+        "exclusion_reason": F.when(lot > 60, F.col("exclusion_reason")),
+        "event_date": F.when(lot == 7, F.date_add("reported_date", 1)).otherwise(F.col("event_date")),
+        "reported_date": F.when(lot == 8, F.date_add("reported_date", 2)).otherwise(F.col("reported_date")),
+    }
+    expiries = staged(expiries)
+    again = expiries.where(F.col("source_record_key").try_cast("bigint") % 50 == 0)
+    return checks.history_violations(staged(v.withColumns(spoil)), batches(spark), expiries.unionByName(again))
 
 
 def publication_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules on candidates to be published, of which some name no known batch or another time and some are keyless or doubled."""
     made = staged(candidates(spark, sf_dir))
+    k = F.coalesce(F.col("source_record_key").try_cast("bigint"), F.lit(-1))
+    made = made.withColumns(
+        {
+            "batch_id": F.when(k % 301 == 0, F.lit("none")).otherwise(F.col("batch_id")),
+            "observed_at": F.when(k % 307 == 0, F.col("observed_at") + F.expr("interval 1 day")).otherwise(F.col("observed_at")),
+            "source_record_key": F.when(k % 311 != 0, F.col("source_record_key")),
+        }
+    )
+    made = made.unionByName(made.where(k % 313 == 0))
     expected = batches(spark).select("batch_id", (F.col("batch_no") * 1000).alias("row_count"))
-    return checks.publication_violations(made, batches(spark), expected)
+    twice = batches(spark).unionByName(batches(spark).where("batch_no = 2"))
+    return checks.publication_violations(made, twice, expected)
 
 
 def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:

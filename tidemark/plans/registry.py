@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import jobs
 from tidemark.plans.sql import ctes
+from tidemark.plans.sql_checks import CHECKS
 from tidemark.plans.sql_more import MORE
 
 _NAMES = (
@@ -15,7 +16,9 @@ _NAMES = (
     "incident_segments current_events scoring_grid features_6m_24m reconcile_snapshot report_lag_profile report_lag_approx lag_histogram "
     "latency_percentiles json_positions event_arrivals landmark_features source_event_counts cohort_months mature_grid first_incident_reports "
     "cohort_lag_quantiles maturity_bound labels purged_split availability_mix population_diff dataset_fingerprint average_precision "
-    "model_comparison f1_threshold confusion boosted_scores batch_decisions history_violations publication_violations contract_violations replay_identity"
+    "model_comparison f1_threshold confusion boosted_scores batch_decisions history_violations publication_violations contract_violations replay_identity "
+    "source_events features_recomputed encoding_violations landmark_violations inspection_identity boosted_holdout rate_holdout batch_scores "
+    "incremental_history applied_batches maturity_exclusions provenance"
 ).split()
 _RENAMED = {"event_versions": jobs.versions}
 
@@ -40,6 +43,8 @@ UNION ALL SELECT batch_id, source_row_number, feed_name, source_record_key, pars
 FROM candidates WHERE NOT is_model_eligible GROUP BY ALL""",
     "event_versions": ctes("versions")
     + f"SELECT {_VERSION_COLUMNS} FROM versions WINDOW w AS (PARTITION BY feed_name, source_record_key ORDER BY first_observed_at, is_deleted)",
+    "incremental_history": ctes("versions")
+    + f"SELECT {_VERSION_COLUMNS} FROM versions WINDOW w AS (PARTITION BY feed_name, source_record_key ORDER BY first_observed_at, is_deleted)",
     "retention_expiries": ctes("i_expired")
     + """SELECT source_record_key, batch_id, md5(concat_ws('|', first_seen, 'inspections', source_record_key, 'false')) AS event_version_key,
 observed_at, retention_cutoff FROM i_expired""",
@@ -53,4 +58,4 @@ FROM incidents WHERE is_current AND NOT is_deleted""",
     "scoring_grid": """SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH))::DATE
 AS scoring_date FROM orders""",
     "features_6m_24m": ctes("features") + "SELECT * REPLACE (violations_per_inspection::DOUBLE AS violations_per_inspection, oos_violation_rate::DOUBLE AS oos_violation_rate) FROM features",
-} | MORE
+} | MORE | CHECKS

@@ -44,11 +44,25 @@ cum AS (SELECT model, p, sum(p) OVER w AS tp, sum(n) OVER w AS m, sum(p) OVER (P
 ap AS (SELECT model, sum(p / pos * (tp / m)) AS average_precision FROM cum GROUP BY model)
 """
 
-_SPOIL = ctes("versions", "i_expired").rstrip() + """,
-v AS (SELECT * REPLACE (CASE WHEN ('0x' || substr(event_version_key, 1, 8))::BIGINT % 1000 = 0 THEN NOT is_current ELSE is_current END AS is_current),
-  lag(event_version_key) OVER w AS prev, lead(event_version_key) OVER w AS next
-  FROM versions WINDOW w AS (PARTITION BY feed_name, source_record_key ORDER BY first_observed_at, is_deleted))
-"""
+LANDMARK = ctes("order_rows", "vehicle_rows").rstrip() + f""",
+{_VEHICLES},
+grid AS (SELECT unnest([DATE '1996-02-01', DATE '1997-09-01', DATE '2001-06-01']) AS t),
+insp AS (SELECT c::VARCHAR AS usdot_number, d AS e, (d + (1 + (k - 1) % 60)::INTEGER)::DATE AS r, (k - 1) % 7 AS v, least((k - 1) % 3, (k - 1) % 7) AS o FROM order_rows),
+f AS (SELECT usdot_number, t, count(*) AS n, sum(v)::BIGINT AS v, sum(o)::BIGINT AS o, max(e) AS last FROM insp JOIN grid ON e >= t - INTERVAL 4 MONTH AND e < t AND r < t GROUP BY ALL),
+crash AS (SELECT report_number, usdot_number, event_date AS e, min(reported_date) AS r, max(federal_recordable::INTEGER) AS rec FROM vehicles GROUP BY ALL),
+prior AS (SELECT f.usdot_number, t, count(*) AS c FROM f JOIN crash c ON c.usdot_number = f.usdot_number AND e >= t - INTERVAL 24 MONTH AND e < t AND r < t GROUP BY ALL),
+after AS (SELECT DISTINCT f.usdot_number, t FROM f JOIN crash c ON c.usdot_number = f.usdot_number AND e >= t AND e < t + INTERVAL 6 MONTH AND r < DATE '2001-09-03' AND rec = 1)
+SELECT f.usdot_number, f.t AS scoring_date, n AS inspections_4m, v AS violations_4m, o AS oos_violations_4m, coalesce(c, 0) AS crashes_24m,
+  ({ratio("v", "n")})::DOUBLE AS violations_per_inspection, ({ratio("o", "v")})::DOUBLE AS oos_violation_rate, (f.t - last)::INTEGER AS days_since_last_inspection,
+  CASE WHEN f.t < DATE '2001-06-01' THEN (after.t IS NOT NULL)::INTEGER END AS label
+FROM f LEFT JOIN prior USING (usdot_number, t) LEFT JOIN after ON after.usdot_number = f.usdot_number AND after.t = f.t"""
+
+DECISIONS = ctes("features") + """, r AS (SELECT DISTINCT (o_custkey + 1)::VARCHAR AS usdot_number, DATE '2001-03-11' AS request_date FROM orders),
+latest AS (SELECT usdot_number, max(scoring_date) AS scoring_date FROM features WHERE scoring_date <= DATE '2001-03-11' GROUP BY ALL),
+has AS (SELECT DISTINCT usdot_number FROM union_events WHERE event_type = 'inspection' AND NOT is_deleted AND event_date >= DATE '2000-09-11' AND event_date < DATE '2001-03-11' AND reported_date < DATE '2001-03-11'
+  AND knowledge_valid_from < TIMESTAMP '2001-03-11' AND (knowledge_valid_to IS NULL OR knowledge_valid_to > TIMESTAMP '2001-03-11'))
+SELECT r.usdot_number, request_date, scoring_date, CASE WHEN has.usdot_number IS NULL THEN 'insufficient_history' WHEN scoring_date IS DISTINCT FROM DATE '2001-03-01' THEN 'features_unavailable' ELSE 'score' END AS decision
+FROM r LEFT JOIN latest USING (usdot_number) LEFT JOIN has ON has.usdot_number = r.usdot_number"""
 
 MORE: dict[str, str] = {
     "parse_scalars": f"""WITH t AS (SELECT o_orderkey, o_orderkey AS k,
@@ -96,28 +110,7 @@ SELECT feed, lag_bucket, count(ok.feed) AS n FROM every LEFT JOIN ok USING (feed
 SELECT pos, count(v) AS n, sum(v)::BIGINT AS total FROM e GROUP BY pos""",
     "event_arrivals": """SELECT DISTINCT 'b' || (event_id % 500 % 3) AS bucket, 'raw/feed=' || (event_id % 500) || '/manifest.json' AS key, (event_id % 500 % 7)::VARCHAR AS version
 FROM events WHERE event_id % 50 > 1""",
-    "landmark_features": ctes("order_rows", "vehicle_rows").rstrip() + f""",
-{_VEHICLES},
-grid AS (SELECT unnest([DATE '1996-02-01', DATE '1997-09-01', DATE '2001-06-01']) AS t),
-insp AS (SELECT c::VARCHAR AS usdot_number, d AS e, (d + (1 + (k - 1) % 60)::INTEGER)::DATE AS r, (k - 1) % 7 AS v, least((k - 1) % 3, (k - 1) % 7) AS o FROM order_rows),
-f AS (SELECT usdot_number, t, count(*) AS n, sum(v)::BIGINT AS v, sum(o)::BIGINT AS o, max(e) AS last FROM insp JOIN grid ON e >= t - INTERVAL 4 MONTH AND e < t AND r < t GROUP BY ALL),
-crash AS (SELECT report_number, usdot_number, event_date AS e, min(reported_date) AS r, max(federal_recordable::INTEGER) AS rec FROM vehicles GROUP BY ALL),
-prior AS (SELECT f.usdot_number, t, count(*) AS c FROM f JOIN crash c ON c.usdot_number = f.usdot_number AND e >= t - INTERVAL 24 MONTH AND e < t AND r < t GROUP BY ALL),
-after AS (SELECT DISTINCT f.usdot_number, t FROM f JOIN crash c ON c.usdot_number = f.usdot_number AND e >= t AND e < t + INTERVAL 6 MONTH AND r < DATE '2001-09-03' AND rec = 1)
-SELECT f.usdot_number, f.t AS scoring_date, n AS inspections_4m, v AS violations_4m, o AS oos_violations_4m, coalesce(c, 0) AS crashes_24m,
-  ({ratio("v", "n")})::DOUBLE AS violations_per_inspection, ({ratio("o", "v")})::DOUBLE AS oos_violation_rate, (f.t - last)::INTEGER AS days_since_last_inspection,
-  CASE WHEN f.t < DATE '2001-06-01' THEN (after.t IS NOT NULL)::INTEGER END AS label
-FROM f LEFT JOIN prior USING (usdot_number, t) LEFT JOIN after ON after.usdot_number = f.usdot_number AND after.t = f.t""",
-    "source_event_counts": ctes("raw_inspections", "raw_crashes").rstrip() + f""",
-i AS (SELECT {_integer("dot_number", 9223372036854775807)} AS u, {_date("insp_date")} AS e, ({_timestamp("mcmis_add_date")} + INTERVAL 1 DAY)::DATE AS r, {_integer("viol_total")} AS v, {_integer("oos_total")} AS o
-  FROM raw_inspections WHERE batch_id = 'insp-6' AND insp_date >= '19950101'),
-c AS (SELECT {_integer("dot_number", 9223372036854775807)} AS u, {_date("report_date")} AS e, ({_timestamp("add_date")} + INTERVAL 1 DAY)::DATE AS r, {_time("report_time")} AS t
-  FROM raw_crashes WHERE batch_id = 'crash-6' AND report_date >= '19950101'),
-w AS (SELECT 'inspection' AS event_type, r, CASE WHEN coalesce(u, 0) <= 0 THEN 'invalid_inspection_usdot' WHEN e IS NULL THEN 'invalid_inspection_date' WHEN r IS NULL THEN 'invalid_inspection_add_date'
-    WHEN v IS NULL OR o IS NULL THEN 'invalid_inspection_integer' WHEN r < e THEN 'impossible_event_chronology' END AS why FROM i
-  UNION ALL SELECT 'crash', r, CASE WHEN coalesce(u, 0) <= 0 THEN 'missing_or_invalid_usdot' WHEN e IS NULL THEN 'invalid_crash_date' WHEN r IS NULL THEN 'invalid_crash_add_date'
-    WHEN t IS NULL THEN 'invalid_report_time' WHEN r < e THEN 'impossible_event_chronology' END FROM c)
-SELECT event_type, coalesce(why, CASE WHEN r >= DATE '2001-06-01' THEN 'not_yet_visible' ELSE 'selected' END) AS outcome, count(*) AS n FROM w GROUP BY ALL""",
+    "landmark_features": LANDMARK,
     "cohort_months": """WITH m AS (SELECT max(o_orderdate)::DATE AS as_of FROM orders),
 months AS (SELECT (date_trunc('month', as_of) - to_months(i))::DATE AS event_month, as_of FROM m, (SELECT unnest(range(24)) AS i)),
 mature AS (SELECT event_month FROM months WHERE (last_day(event_month) + INTERVAL 9 MONTH)::DATE <= as_of ORDER BY event_month DESC LIMIT 12)
@@ -140,8 +133,6 @@ used AS (SELECT event_version_key, e.availability_quality FROM e JOIN whole w ON
     AND e.knowledge_valid_from < w.scoring_date::TIMESTAMP AND (e.knowledge_valid_to IS NULL OR e.knowledge_valid_to > w.scoring_date::TIMESTAMP)
   UNION SELECT o.event_version_key, o.availability_quality FROM outcomes o JOIN whole w ON w.usdot_number = o.usdot_number AND o.event_date >= w.scoring_date AND o.event_date < w.scoring_date + INTERVAL 6 MONTH)
 SELECT availability_quality, count(*) AS n_versions FROM used GROUP BY ALL""",
-    "population_diff": ctes("features") + """SELECT 'stored_only' AS side, 0 AS n UNION ALL
-SELECT 'events_only', count(*) FROM features WHERE usdot_number::BIGINT % 100 = 0""",
     "average_precision": _SCORES + _AP + "SELECT * FROM ap",
     "model_comparison": _SCORES + _AP + """SELECT max(average_precision) FILTER (model = 'candidate') AS ap_candidate, max(average_precision) FILTER (model = 'baseline') AS ap_baseline,
 max(average_precision) FILTER (model = 'incumbent') AS ap_incumbent, ap_candidate > ap_baseline AND ap_candidate > ap_incumbent AS promote FROM ap""",
@@ -152,31 +143,7 @@ SELECT candidate AS threshold, 2 * tp / (m + pos) AS f1 FROM c ORDER BY f1 DESC,
 count_if(candidate >= 0.5 AND label = 1) AS tp, count(*) AS n FROM scores)
 SELECT tn AS true_negative, fp AS false_positive, fn AS false_negative, tp AS true_positive, n, (tn + tp) / n AS accuracy, tp / (tp + fn) AS positive_recall, tp / (tp + fp) AS precision,
 2 * tp / (2 * tp + fp + fn) AS f1, (tp + fn) / n AS prevalence, (tn + fp) / n AS always_negative_accuracy FROM c""",
-    "batch_decisions": ctes("features") + """, r AS (SELECT DISTINCT (o_custkey + 1)::VARCHAR AS usdot_number, DATE '2001-03-11' AS request_date FROM orders),
-latest AS (SELECT usdot_number, max(scoring_date) AS scoring_date FROM features WHERE scoring_date <= DATE '2001-03-11' GROUP BY ALL),
-has AS (SELECT DISTINCT usdot_number FROM union_events WHERE event_type = 'inspection' AND NOT is_deleted AND event_date >= DATE '2000-09-11' AND event_date < DATE '2001-03-11' AND reported_date < DATE '2001-03-11'
-  AND knowledge_valid_from < TIMESTAMP '2001-03-11' AND (knowledge_valid_to IS NULL OR knowledge_valid_to > TIMESTAMP '2001-03-11'))
-SELECT r.usdot_number, request_date, scoring_date, CASE WHEN has.usdot_number IS NULL THEN 'insufficient_history' WHEN scoring_date IS DISTINCT FROM DATE '2001-03-01' THEN 'features_unavailable' ELSE 'score' END AS decision
-FROM r LEFT JOIN latest USING (usdot_number) LEFT JOIN has ON has.usdot_number = r.usdot_number""",
-    "history_violations": _SPOIL + """SELECT rule, count(x) AS violations FROM (SELECT unnest(['not_null', 'feed_name', 'event_type', 'availability_quality', 'chronology', 'eligible_is_whole',
-  'ineligible_has_reason', 'interval_order', 'current_is_open', 'deleted_has_reason', 'reported_is_known', 'observed_clock', 'unique_version_key', 'unique_per_batch', 'single_current', 'no_overlap',
-  'predecessor_link', 'successor_link', 'batch_lineage', 'unique_expiry', 'expiry_is_due']) AS rule) r LEFT JOIN (
-    SELECT 'current_is_open' AS rule, 1 AS x FROM v WHERE is_current <> (knowledge_valid_to IS NULL)
-    UNION ALL SELECT 'chronology', 1 FROM v WHERE event_date > reported_date
-    UNION ALL SELECT 'interval_order', 1 FROM v WHERE knowledge_valid_from >= knowledge_valid_to
-    UNION ALL SELECT 'reported_is_known', 1 FROM v WHERE reported_date <> knowledge_valid_from::DATE
-    UNION ALL SELECT 'single_current', 1 FROM v WHERE is_current GROUP BY feed_name, source_record_key HAVING count(*) > 1
-    UNION ALL SELECT 'no_overlap', 1 FROM (SELECT knowledge_valid_from, max(coalesce(knowledge_valid_to, TIMESTAMP '9999-12-31')) OVER (PARTITION BY feed_name, source_record_key
-      ORDER BY knowledge_valid_from, event_version_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM v) WHERE knowledge_valid_from < e
-    UNION ALL SELECT 'predecessor_link', 1 FROM v JOIN v p ON v.prev = p.event_version_key WHERE p.knowledge_valid_to IS DISTINCT FROM v.first_observed_at
-    UNION ALL SELECT 'successor_link', 1 FROM v WHERE (is_current AND next IS NOT NULL) OR (NOT is_current AND next IS NULL)
-    UNION ALL SELECT 'ineligible_has_reason', 1 FROM v WHERE NOT is_model_eligible AND exclusion_reason IS NULL
-  ) f USING (rule) GROUP BY rule""",
-    "publication_violations": ctes("candidates") + """SELECT 'unique_batch' AS rule, 0 AS violations
-UNION ALL SELECT 'unambiguous_key', (SELECT count(*) FROM (SELECT 1 FROM candidates WHERE source_record_key IS NOT NULL GROUP BY batch_id, feed_name, source_record_key HAVING count(*) > 1))
-UNION ALL SELECT 'row_count', (SELECT count(*) FROM batches b LEFT JOIN (SELECT batch_id, count(*) AS n FROM candidates GROUP BY ALL) c USING (batch_id) WHERE status = 'loaded' AND coalesce(n, 0) <> batch_no * 1000)
-UNION ALL SELECT 'known_batch', 0 UNION ALL SELECT 'batch_clock', 0
-UNION ALL SELECT 'eligible_has_key', (SELECT count(*) FROM candidates WHERE is_model_eligible AND source_record_key IS NULL)""",
+    "batch_decisions": DECISIONS,
     "contract_violations": """SELECT 'o_orderkey_not_null' AS rule, count_if(o_orderkey IS NULL) AS violations FROM orders
 UNION ALL SELECT 'o_orderkey_unique', (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1))
 UNION ALL SELECT 'o_custkey_unique', (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey HAVING count(*) > 1))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,55 +126,75 @@ def backfill(manifests: DataFrame, feed: str, first: str, last: str, feeds: tupl
     return manifests.where((F.col("feed_name") == feed) & F.col("acquisition_date").between(first, last)).orderBy("object_key")
 
 
-def source_events(inspections: DataFrame, crashes: DataFrame, since: str, visible_before: str) -> tuple[DataFrame, DataFrame]:
+def _stripped(c: str) -> Column:
+    return F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"\A\s+|\s+\z", "")
+
+
+def _digits(c: str) -> Column:
+    """The digits of a whole number (a fraction of zeros may follow) without leading zeros, or null."""
+    return F.nullif(F.regexp_extract(_stripped(c), r"\A0*([0-9]+)(?:\.0+)?\z", 1), F.lit(""))
+
+
+def _within(c: str, windows: list[tuple[str, str]]) -> Column:
+    """Whether the raw date text lies in one of the ranges [from, to)."""
+    t = _stripped(c)
+    return functools.reduce(lambda x, y: x | y, [(t >= lo) & (t < hi) for lo, hi in windows], F.lit(False))
+
+
+def source_events(inspections: DataFrame, crashes: DataFrame, windows: dict[str, list[tuple[str, str]]], data_as_of: str) -> tuple[DataFrame, DataFrame]:
     """(events, counters) of an extraction: flat events of both feeds from text rows, and what was left out and why.
 
-    A range test on the raw date text stands before the parsing, where the scan can use it.
+    windows: ranges [from, to) of raw date text a feed; rows outside them are no part of it. Counters are
+    (event_type, outcome, n): selected, not_visible_at_acquisition or the first rule that a row breaks.
     """
     from tidemark.functions import parse
 
-    strip = lambda c: F.regexp_replace(F.col(c), r"\A\s+|\s+\z", "")
-    number = lambda c: F.regexp_extract(strip(c), r"\A0*([0-9]{1,19})(?:\.0+)?\z", 1).try_cast("bigint")
-    next_day = lambda c: F.date_add(parse.source_timestamp(strip(c)).cast("date"), 1)
-    i = inspections.where(F.col("insp_date") >= since)
+    day = lambda c: parse.source_date(_stripped(c))
+    known = lambda c: F.date_add(parse.source_timestamp(_stripped(c)).cast("date"), 1)
+    zero = F.lit(0).cast("bigint")
+
+    def first(**broken: Column) -> Column:
+        return F.coalesce(*[F.when(F.coalesce(c, F.lit(True)), F.lit(n.rstrip("_"))) for n, c in broken.items()])
+
+    i = inspections.where(_within("insp_date", windows["inspections"]))
+    changed = _stripped("change_date")
+    why_i = first(
+        invalid_inspection_integer=_digits("inspection_id").isNull() | _digits("dot_number").isNull(),
+        invalid_inspection_identity=(_digits("inspection_id") == "0") | (_digits("dot_number") == "0"),
+        invalid_event_date=day("insp_date").isNull(),
+        invalid_source_add_at=known("mcmis_add_date").isNull(),
+        impossible_event_chronology=known("mcmis_add_date") < day("insp_date"),
+        invalid_source_add_at_=(changed != "") & parse.source_timestamp(changed).isNull(),
+        invalid_inspection_integer_=_digits("viol_total").isNull() | _digits("oos_total").isNull(),
+    )
     i = i.select(
-        F.lit("inspection").alias("event_type"), F.col("inspection_id").alias("source_key"), number("dot_number").alias("usdot"),
-        parse.source_date(strip("insp_date")).alias("event_date"), next_day("mcmis_add_date").alias("reported_date"),
-        number("viol_total").alias("violation_count"), number("oos_total").alias("oos_violation_count"), F.lit(False).alias("federal_recordable"),
+        F.lit("inspection").alias("event_type"), _digits("inspection_id").alias("source_key"), _digits("dot_number").alias("usdot_number"),
+        day("insp_date").alias("event_date"), known("mcmis_add_date").alias("reported_date"), _digits("viol_total").try_cast("bigint").alias("violation_count"),
+        _digits("oos_total").try_cast("bigint").alias("oos_violation_count"), F.lit(False).alias("federal_recordable"), why_i.alias("why"),
     )
-    why_i = F.coalesce(
-        F.when(F.coalesce(F.col("usdot") <= 0, F.lit(True)), F.lit("invalid_inspection_usdot")),
-        F.when(F.col("event_date").isNull(), F.lit("invalid_inspection_date")),
-        F.when(F.col("reported_date").isNull(), F.lit("invalid_inspection_add_date")),
-        F.when(F.col("violation_count").isNull() | F.col("oos_violation_count").isNull(), F.lit("invalid_inspection_integer")),
-        F.when(F.col("reported_date") < F.col("event_date"), F.lit("impossible_event_chronology")),
+    c = crashes.where(_within("report_date", windows["crashes"]))
+    state, number, at, told = (_stripped(x) for x in ("report_state", "report_number", "report_time", "federal_recordable"))
+    clock = F.when(at.rlike(r"\A[0-9]+\z"), at.try_cast("int"))
+    yes, no = ("y", "yes", "1", "true"), ("n", "no", "0", "false", "")
+    why_c = first(
+        invalid_usdot_number=F.coalesce(_digits("dot_number"), F.lit("0")) == "0",
+        invalid_event_date=day("report_date").isNull(),
+        invalid_source_add_at=known("add_date").isNull(),
+        impossible_event_chronology=known("add_date") < day("report_date"),
+        invalid_incident_key=(state == "") | (number == "") | clock.isNull() | (clock > 2359) | (clock % 100 > 59),
+        invalid_federal_recordable=~F.lower(told).isin(*yes, *no),
+        missing_source_record_key=(_stripped("crash_id") == "") & ~_stripped("report_seq_no").rlike(r"\A[0-9]+\z"),
     )
-    c = crashes.where(F.col("report_date") >= since)
-    recordable = F.lower(strip("federal_recordable"))
-    key = F.to_json(F.array(strip("report_state"), strip("report_number"), F.date_format(parse.source_date(strip("report_date")), "yyyy-MM-dd"), strip("report_time")))
+    key = F.to_json(F.array(state, number, F.date_format(day("report_date"), "yyyy-MM-dd"), clock.cast("string")))
     c = c.select(
-        F.lit("crash").alias("event_type"), key.alias("source_key"), number("dot_number").alias("usdot"),
-        parse.source_date(strip("report_date")).alias("event_date"), next_day("add_date").alias("reported_date"),
-        F.lit(0).cast("bigint").alias("violation_count"), F.lit(0).cast("bigint").alias("oos_violation_count"),
-        F.when(recordable.isin("y", "yes", "1", "true"), True).when(recordable.isin("n", "no", "0", "false", "") | recordable.isNull(), False).alias("federal_recordable"),
-        (strip("report_time").rlike(r"\A[0-9]{1,4}\z") & (F.coalesce(strip("report_time").try_cast("int"), F.lit(9999)) <= 2359) & (strip("report_time").try_cast("int") % 100 <= 59)).alias("timed"),
+        F.lit("crash").alias("event_type"), key.alias("source_key"), _digits("dot_number").alias("usdot_number"),
+        day("report_date").alias("event_date"), known("add_date").alias("reported_date"), zero.alias("violation_count"), zero.alias("oos_violation_count"),
+        F.lower(told).isin(*yes).alias("federal_recordable"), why_c.alias("why"),
     )
-    why_c = F.coalesce(
-        F.when(F.coalesce(F.col("usdot") <= 0, F.lit(True)), F.lit("missing_or_invalid_usdot")),
-        F.when(F.col("event_date").isNull(), F.lit("invalid_crash_date")),
-        F.when(F.col("reported_date").isNull(), F.lit("invalid_crash_add_date")),
-        F.when(~F.coalesce("timed", F.lit(False)), F.lit("invalid_report_time")),
-        F.when(F.col("federal_recordable").isNull(), F.lit("invalid_federal_recordable")),
-        F.when(F.col("reported_date") < F.col("event_date"), F.lit("impossible_event_chronology")),
-    )
-    both = i.withColumn("why", why_i).unionByName(c.withColumn("why", why_c).drop("timed"))
-    late = F.when(F.col("reported_date") >= F.lit(visible_before).cast("date"), F.lit("not_yet_visible"))
-    both = both.withColumn("why", F.coalesce("why", late))
-    events = both.where("why is null").select(
-        "event_type", "source_key", F.col("usdot").cast("string").alias("usdot_number"), "event_date", "reported_date", "violation_count", "oos_violation_count", "federal_recordable"
-    )
+    late = F.when(F.col("reported_date") >= F.lit(data_as_of).cast("date"), F.lit("not_visible_at_acquisition"))
+    both = i.unionByName(c).withColumn("why", F.coalesce("why", late))
     counters = both.groupBy("event_type", F.coalesce("why", F.lit("selected")).alias("outcome")).agg(F.count("*").alias("n"))
-    return events, counters
+    return both.where("why is null").drop("why"), counters
 
 
 def write_once(df: DataFrame, folder: str) -> str:
