@@ -4,8 +4,10 @@ Seeds: every run of `window` words holds a winnowed anchor - the least hash of i
 SEED-word shingles - and equal runs hold the same anchor at the same place. Anchors are
 shuffled and those met once are dropped; with them go all runs that cannot repeat.
 Extension: around each repeated anchor every run of `window` words that it stands for is
-taken, as far as it reaches to the left and to the right, and compared by a 128-bit content
-hash; the run with the smallest (doc_id, start) is the first one, all others are repeats.
+taken, as far as it reaches to the left and to the right, and compared by a 96-bit content
+hash; the run with the smallest (doc_id, start) is the first one, all others are repeats. Matches
+are extended by these hashes and not word by word in one place: the seeds at the edge of a passage
+that a third of all rows hold would have to meet in one task, while their runs differ and spread.
 Overlapping repeats join up to the maximal repeated stretch, whose words are removed.
 
 Both shuffles are combined before they are sent: of equal anchors or runs of one Arrow batch
@@ -78,11 +80,16 @@ def first_of(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.concatenate(([True], lead[1:] != lead[:-1])) if len(lead) else np.zeros(0, bool)
 
 
+#: What is told of an anchor's place: it may repeat, it repeats, or only that the seed repeats.
+ASKS, REPEATS, TELLS = 1, 0, 2
+SEEDS = "route bigint, seed bigint, doc bigint, place bigint"
+
+
 def seed_rows(window: int):
-    """Rows (route, seed, key, at, times): one for each distinct anchor of a batch.
+    """SEEDS: one row for each distinct anchor of a batch; place: its position and what is told of it; doc: 64 bits of the key.
 
-    An anchor met twice in the batch is known to repeat: it travels once without a place,
-    to tell other batches, and its places go on with times 0, spread by document.
+    An anchor met twice in the batch is known to repeat: it travels once without a place, to tell other
+    batches, and its places go on by themselves, dealt by document.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,60 +107,51 @@ def seed_rows(window: int):
             if not len(h):
                 continue
             order, new = first_of(h)
-            h, doc, at = h[order], doc[order], at[order]
+            h, doc, at = h[order].view(np.int64), b.column("doc").to_numpy()[doc[order]], at[order]
             sizes = np.diff(np.append(np.flatnonzero(new), len(h)))
             many = np.repeat(sizes > 1, sizes)
-            keys = b.column("key")
-            spread = np.array([xxhash.xxh3_64_intdigest(k.as_py()) for k in keys], U).view(np.int64)
-            told = many & new
-            yield pa.record_batch(
-                [
-                    pa.array(np.concatenate([h[~many].view(np.int64), h[told].view(np.int64), spread[doc[many]]])),
-                    pa.array(np.concatenate([h[~many].view(np.int64), h[told].view(np.int64), h[many].view(np.int64)])),
-                    pa.chunked_array([keys.take(pa.array(doc[~many])), pa.nulls(int(told.sum()), pa.string()), keys.take(pa.array(doc[many]))]).combine_chunks(),
-                    pa.array(np.concatenate([at[~many], np.zeros(told.sum(), np.int64), at[many]]).astype(np.int32)),
-                    pa.array(np.concatenate([np.ones((~many).sum(), np.int8), np.full(told.sum(), 2, np.int8), np.zeros(many.sum(), np.int8)])),
-                ],
-                ["route", "seed", "key", "at", "times"],
-            )
+            told = h[many & new]
+            parts = [
+                (h[~many], h[~many], doc[~many], at[~many] * 4 + ASKS),
+                (told, told, np.zeros(len(told), np.int64), np.full(len(told), TELLS)),
+                (doc[many], np.zeros(many.sum(), np.int64), doc[many], at[many] * 4 + REPEATS),
+            ]
+            yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*parts)], ["route", "seed", "doc", "place"])
 
     return run
 
 
 def repeated_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, at) of anchors met twice or known to be; rows come sorted by route and seed, and only the last waits."""
-    names = ["route", "seed", "key", "at", "times"]
-    held: pa.RecordBatch | None = None
-
-    def out(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        route, seed, times = (b.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("route", "seed", "times"))
-        new = np.concatenate(([True], (route[1:] != route[:-1]) | (seed[1:] != seed[:-1])))
-        group = np.cumsum(new) - 1
-        again = (np.bincount(group, times)[group] > 1) | (times == 0)
-        found = pa.array(again & b.column("key").is_valid().to_numpy(zero_copy_only=False))
-        yield b.select(["key", "at"]).filter(found)
+    """(doc, at) of anchors met twice or known to repeat; rows come sorted by route and seed, and only the last waits."""
+    held: np.ndarray | None = None
+
+    def out(x: np.ndarray) -> Iterator[pa.RecordBatch]:
+        kind = x[3] & 3
+        group = np.cumsum(np.concatenate(([True], (x[0, 1:] != x[0, :-1]) | (x[1, 1:] != x[1, :-1])))) - 1
+        again = (np.bincount(group, kind)[group] > 1) & (kind == ASKS) | (kind == REPEATS)
+        yield pa.record_batch([pa.array(x[2, again]), pa.array((x[3, again] >> 2).astype(np.int32))], ["doc", "at"])
 
     for b in batches:
         if not b.num_rows:
             continue
+        x = np.stack([b.column(n).to_numpy() for n in ("route", "seed", "doc", "place")])
         if held is not None:
-            b = pa.Table.from_batches([held, b.select(names)]).combine_chunks().to_batches()[0]
-        route, seed = (b.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("route", "seed"))
+            x = np.concatenate([held, x], 1)
         # of a long group, what has been decided need not wait
-        last = int(np.argmax((route == route[-1]) & (seed == seed[-1])))
+        last = int(np.argmax((x[0] == x[0, -1]) & (x[1] == x[1, -1])))
         if last:
-            yield from out(b.slice(0, last))
-        held = b.slice(last)
-        if held.num_rows > 50_000:
+            yield from out(x[:, :last])
+        held = x[:, last:].copy()
+        if held.shape[1] > 50_000:
             yield from out(held)
-            held = pa.record_batch([held.column("route").slice(0, 1), held.column("seed").slice(0, 1), pa.nulls(1, pa.string()), pa.array([0], pa.int32()), pa.array([2], pa.int8())], names)
+            held = np.array([[held[0, 0]], [held[1, 0]], [0], [TELLS]])
     if held is not None:
         yield from out(held)
 
 
 RUNS = "bucket bigint, batch string, runs binary, docs binary, keys array<string>"
-#: A run: its content hash, its start and its document's number in the batch.
-RUN = np.dtype([("a", U), ("b", U), ("at", np.int32), ("doc", np.int32)])
+#: A run: its content hash (96 bits), its start and its document's number in the batch.
+RUN = np.dtype([("a", U), ("b", np.uint32), ("at", np.int32), ("doc", np.int32)])
 #: A document of a batch: what orders it among all documents.
 DOC = np.dtype([("none", np.int8), ("id", np.int64), ("tie", U), ("no", np.int32)])
 SPOT = np.dtype([("doc", np.int32), ("at", np.int32)])
@@ -202,7 +200,7 @@ def run_rows(window: int, buckets: int):
                 starts = np.flatnonzero(np.isin(of, at.values.to_numpy(zero_copy_only=False)))
                 x = np.empty(len(starts), RUN)
                 x["a"] = rolling(hashes, window, 0xD6E8FEB86659FD93)[starts]
-                x["b"] = rolling(hashes ^ (hashes >> U(31)), window, 0xA0761D6478BD642F)[starts]
+                x["b"] = rolling(hashes ^ (hashes >> U(31)), window, 0xA0761D6478BD642F)[starts] >> U(32)
                 x["at"], x["doc"] = starts, i
                 parts.append(x)
             x = np.concatenate(parts) if parts else np.zeros(0, RUN)
@@ -285,25 +283,31 @@ def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def batch_runs(rows: DataFrame, met: DataFrame, window: int, buckets: int) -> DataFrame:
-    """RUNS of rows (doc_id, key, text) at the anchors met (key, at); equal keys are equal rows, so the order is fixed."""
-    return rows.join(met, "key").sortWithinPartitions("key").mapInArrow(run_rows(window, buckets), RUNS)
+    """RUNS of rows (doc_id, key, doc, text) at the anchors met (doc, at); equal keys are equal rows, so the order is fixed."""
+    return rows.join(met, "doc").sortWithinPartitions("key").mapInArrow(run_rows(window, buckets), RUNS)
 
 
 def anchors_met(rows: DataFrame, window: int) -> DataFrame:
-    """key, at: of rows (key, text) the places of repeated seeds, each once however often the row is repeated."""
-    seeds = rows.select("key", "text").mapInArrow(seed_rows(window), "route bigint, seed bigint, key string, at int, times tinyint")
+    """doc, at: of rows (doc, text) the places of repeated seeds, each once however often the row is repeated."""
     return (
-        seeds.repartition("route")
+        rows.select("doc", "text").mapInArrow(seed_rows(window), SEEDS)
+        .repartition("route")
         .sortWithinPartitions("route", "seed")
-        .mapInArrow(repeated_seeds, "key string, at int")
-        .groupBy("key")
+        .mapInArrow(repeated_seeds, "doc bigint, at int")
+        .groupBy("doc")
         .agg(F.collect_set("at").alias("at"))
     )
 
 
+def named(docs: DataFrame) -> DataFrame:
+    """doc_id, key (names a row by content), doc (64 bits of it; rows that share them only look at more places), text."""
+    rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("text").cast("string").alias("text"))
+    return rows.select("doc_id", "key", F.xxhash64("key").alias("doc"), "text")
+
+
 def repeats(docs: DataFrame, window: int = 20, runs_per_bucket: int = 500_000) -> DataFrame:
     """key, starts: of each row (named by content) the starts of its later runs, packed as int32."""
-    rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("text").cast("string").alias("text"))
+    rows = named(docs)
     met = staged(anchors_met(rows, window))
     places = met.agg(F.sum(F.size("at"))).first()[0] or 0
     runs = batch_runs(rows, met, window, max(16, 8 * places // runs_per_bucket))
