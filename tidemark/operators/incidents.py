@@ -19,12 +19,6 @@ def _event_key() -> F.Column:
     return F.md5(F.concat_ws("|", "feed_name", "source_record_key"))
 
 
-def inspections(versions: DataFrame) -> DataFrame:
-    """Eligible inspection versions."""
-    v = versions.where("feed_name = 'inspections' and is_model_eligible")
-    return v.select("*", _event_key().alias("event_key"), F.datediff("reported_date", "event_date").alias("report_lag_days"))
-
-
 def crashes(versions: DataFrame) -> DataFrame:
     """Eligible crash vehicle versions with the key of their incident."""
     v = versions.where("feed_name = 'crashes' and is_model_eligible").drop("state").withColumnRenamed("report_state", "state")
@@ -32,15 +26,20 @@ def crashes(versions: DataFrame) -> DataFrame:
     return v.select("*", _event_key().alias("event_key"), F.datediff("reported_date", "event_date").alias("report_lag_days"), key.alias("carrier_crash_key"))
 
 
-def events_union(versions: DataFrame) -> DataFrame:
-    """Both feeds in one shape. Vehicles stay apart: both clocks apply before incidents are formed."""
-
-    def shaped(df: DataFrame, kind: str, lacks: dict[str, str]) -> DataFrame:
-        df = df.drop(*lacks)
-        return df.select(*[F.lit(kind).alias(c) if c == "event_type" else F.lit(None).cast(lacks[c]).alias(c) if c in lacks else F.col(c) for c in UNION])
-
-    i = shaped(inspections(versions), "inspection", {"carrier_crash_key": "string", "fatalities": "bigint", "injuries": "bigint", "tow_away": "boolean"})
-    return i.unionByName(shaped(crashes(versions), "crash", {"violation_count": "bigint", "oos_violation_count": "bigint"}))
+def events_union(versions: DataFrame, columns: tuple[str, ...] = UNION) -> DataFrame:
+    """Both feeds in one shape, in one pass. Vehicles stay apart: both clocks apply before incidents are formed."""
+    crash = F.col("feed_name") == "crashes"
+    key = incident_key(*[F.col(c) for c in ("usdot_number", "report_state", "report_number", "event_date", "report_time")])
+    made = {
+        "event_key": _event_key(),
+        "event_type": F.when(crash, "crash").otherwise("inspection"),
+        "carrier_crash_key": F.when(crash, key),
+        "report_lag_days": F.datediff("reported_date", "event_date"),
+        "state": F.when(crash, F.col("report_state")).otherwise(F.col("state")),
+    }
+    made |= {c: F.when(crash, F.col(c)) for c in ("fatalities", "injuries", "tow_away")}
+    made |= {c: F.when(~crash, F.col(c)) for c in ("violation_count", "oos_violation_count")}
+    return versions.where("is_model_eligible").select(*[made.get(c, F.col(c)).alias(c) for c in columns])
 
 
 def crash_incidents(versions: DataFrame) -> DataFrame:

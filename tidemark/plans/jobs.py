@@ -47,7 +47,7 @@ def retention_expiries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incidents.events_union(staged(versions(spark, sf_dir)))
+    return incidents.events_union(versions(spark, sf_dir))
 
 
 def incident_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,15 +264,26 @@ def maturity_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maturity.maturity_bound(_histogram(spark, sf_dir))
 
 
+#: What features, labels and provenance need of a version.
+NEEDED = (
+    "feed_name", "source_record_key", "event_version_key", "usdot_number", "event_date", "reported_date", "report_state", "state", "report_number", "report_time",
+    "violation_count", "oos_violation_count", "knowledge_valid_from", "knowledge_valid_to", "is_deleted", "is_model_eligible", "availability_quality",
+)
+EVENT = (
+    "event_version_key", "event_type", "carrier_crash_key", "usdot_number", "event_date", "reported_date", "violation_count", "oos_violation_count",
+    "knowledge_valid_from", "knowledge_valid_to", "is_deleted", "availability_quality",
+)
+
+
 def _versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staged(versions(spark, sf_dir))
+    return staged(versions(spark, sf_dir).select(*NEEDED))
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features with six-month outcomes as known at the cutoff, for the months whose outcomes are whole."""
     v = _versions(spark, sf_dir)
     grid = features.month_grid(batches(spark)).where(F.add_months("scoring_date", 6) <= F.lit(CUTOFF))
-    found = features.training_features(incidents.events_union(v), grid)
+    found = features.training_features(incidents.events_union(v, EVENT), grid)
     return dataset.labels(found, incidents.crashes(v), CUTOFF)
 
 
@@ -291,8 +302,8 @@ def purged_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def availability_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _versions(spark, sf_dir)
     grid = features.month_grid(batches(spark)).where(F.add_months("scoring_date", 6) <= F.lit(CUTOFF))
-    events = incidents.events_union(v).join(v.select("event_version_key", "availability_quality"), "event_version_key")
-    rows = staged(features.training_features(incidents.events_union(v), grid))
+    events = incidents.events_union(v, EVENT)
+    rows = staged(features.training_features(events, grid))
     return dataset.availability_mix(dataset.contributions(rows, events, CUTOFF))
 
 
@@ -458,8 +469,8 @@ def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the labelled rows rest on, and the outcomes that could not be used."""
     v = _versions(spark, sf_dir)
     grid = features.month_grid(batches(spark)).where(F.add_months("scoring_date", 6) <= F.lit(CUTOFF))
-    events = incidents.events_union(v).join(v.select("event_version_key", "availability_quality"), "event_version_key")
-    rows = staged(features.training_features(incidents.events_union(v), grid))
+    events = incidents.events_union(v, EVENT)
+    rows = staged(features.training_features(events, grid))
     return dataset.provenance(dataset.contributions(rows, events, CUTOFF), v.where("feed_name = 'crashes'"), CUTOFF)
 
 

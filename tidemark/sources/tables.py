@@ -7,9 +7,13 @@ rules on their keys, so that every path of the history is met.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.staging import shared_dir
+
 #: (batch_id, feed_name, number, observed_at) of the snapshots.
 _DAYS = ("1998-01-15", "1999-03-10", "2000-06-20", "2000-12-05", "2001-03-20", "2001-09-05")
 BATCHES = [(f"insp-{n}", "inspections", n, f"{d} 12:00:00") for n, d in enumerate(_DAYS, 1)]
@@ -31,6 +35,23 @@ def snapshot_batches(spark: SparkSession) -> DataFrame:
     return df.select("batch_id", "feed_name", "batch_no", F.col("observed_text").cast("timestamp").alias("observed_at"), "status")
 
 
+#: Folders of snapshots written by `prepare`, by the folder of their tables.
+_PREPARED: dict[str, str] = {}
+
+
+def prepare(spark: SparkSession, sf_dir: str) -> None:
+    """Write the feeds' text snapshots below the shared folder; from then on they are read from there, as real feeds would be."""
+    folder = f"{shared_dir(spark)}/snapshots-{uuid.uuid4().hex}"
+    for name, make in (("inspections", raw_inspections), ("crashes", raw_crashes)):
+        make(spark, sf_dir).write.partitionBy("batch_id").parquet(f"{folder}/{name}")
+    _PREPARED[sf_dir] = folder
+
+
+def _prepared(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame | None:
+    folder = _PREPARED.get(sf_dir)
+    return spark.read.parquet(f"{folder}/{name}").select(*columns) if folder else None
+
+
 def _snapshots(rows: DataFrame, feed: str, key: Column, added: Column) -> DataFrame:
     """A row for each snapshot of the feed that was taken after it was added and does not miss it."""
     batches = F.array(
@@ -69,7 +90,8 @@ def raw_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
         "viol_total": F.when(k % 97 == 11, F.lit("12.5")).otherwise(viol.cast("string")),
         "oos_total": F.least((k - 1) % 3, (k - 1) % 7).cast("string"),
     }
-    return s.select("batch_id", k.alias("source_row_number"), *[v.alias(n) for n, v in spelled.items()])
+    made = s.select("batch_id", k.alias("source_row_number"), *[v_.alias(n) for n, v_ in spelled.items()])
+    return _prepared(spark, sf_dir, "inspections", made.columns) or made
 
 
 def raw_crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,4 +122,5 @@ def raw_crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "tow_away": F.when(F.col("ls") == "F", F.lit("Y")).otherwise(F.lit("no")),
         "federal_recordable": F.when(F.col("rf") != "N", F.lit("Y")).otherwise(F.lit("N")),
     }
-    return s.select("batch_id", k.alias("source_row_number"), *[x.alias(n) for n, x in spelled.items()])
+    made = s.select("batch_id", k.alias("source_row_number"), *[v_.alias(n) for n, v_ in spelled.items()])
+    return _prepared(spark, sf_dir, "crashes", made.columns) or made
