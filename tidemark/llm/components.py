@@ -1,4 +1,8 @@
-"""Connected components of an edge table by alternating large-star and small-star rounds."""
+"""Connected components of an edge table by alternating large-star and small-star rounds.
+
+Defined results: loops and repeated edges change nothing; edges have no nulls; a node without an edge is in no
+component; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 

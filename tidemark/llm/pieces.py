@@ -12,7 +12,8 @@ Equal units of a batch share their lattice, and units of one length are filtered
 together as arrays. Nothing is shuffled.
 
 Defined results: a null text has null pieces, an empty one none; decoding gives back every text
-exactly, white space and unknown characters included; repeated rows get equal results.
+exactly, white space and unknown characters included; repeated rows get equal results; a null doc_id is
+kept and an empty table gives an empty result. doc_id is an integer.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.text import read_table
 
+#: The default of every `model` parameter here: a vocabulary file that the driver can read.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNIT = re.compile(r" ?[^\s]+|\s")
@@ -312,8 +314,8 @@ def decode(pieces: DataFrame, model: str = MODEL) -> DataFrame:
     return pieces.select("doc_id", "pieces").mapInArrow(run, f"doc_id {kind}, text string")
 
 
-def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op8_sentencepiece(spark: SparkSession, sf_dir: str, model: str = MODEL) -> DataFrame:
     """n_pieces and digests of the sampled pieces and of their decoding, for every whole text."""
     docs = read_table(spark, sf_dir, "documents")
     schema = "doc_id bigint, n_pieces bigint, pieces_sha256 string, decoded_sha256 string, lossless boolean"
-    return _named(docs).mapInArrow(encoder(MODEL, 42, 1.0, True), schema)
+    return _named(docs).mapInArrow(encoder(model, 42, 1.0, True), schema)

@@ -1,8 +1,8 @@
 """Quality classifier: naive Bayes support vectors.
 
 Features are indicators of word unigrams and of 1- to 3-grams of word shapes (upper case,
-lower case, digits and punctuation, runs collapsed, with a mark where a word repeats the one
-before it), hashed into 2**BITS slots. Each is scaled by its class log-count ratio, rows are
+lower case, digits and punctuation, runs collapsed and cut at 12 characters, with a mark where a
+word repeats the one before it), hashed into 2**BITS slots. Each is scaled by its class log-count ratio, rows are
 scaled to length one, and a linear hinge-loss model is fitted by dual coordinate descent. A
 logistic curve fitted on a fifth of the sample, which the model has not seen, turns its
 margins into probabilities.
@@ -14,6 +14,7 @@ which read every text whole and shuffle nothing.
 Defined results: a null or empty text is scored by its lack of features; rows with a null
 doc_id are scored and never learned from; of repeated labels of a doc_id the lowest counts;
 without two documents of both classes every score is 0.5 and the filter keeps all rows; an empty table gives an empty result.
+doc_id is an integer.
 """
 
 from __future__ import annotations

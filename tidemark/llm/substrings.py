@@ -16,7 +16,7 @@ third of all rows thus arrives once a batch, not once a row, and no pairs are fo
 
 Defined results: a null or empty text has no words and loses none; documents are ordered by
 doc_id, nulls last, then by content; equal rows (same doc_id and text) are one document and
-get equal results; an empty table gives an empty result; extra columns are ignored.
+get equal results; an empty table gives an empty result; extra columns are ignored. doc_id is an integer.
 """
 
 from __future__ import annotations
