@@ -47,9 +47,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
-def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_pieces and the sampled pieces of each document that is left."""
-    return encode(docs, MODEL)
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str, model: str = MODEL) -> DataFrame:
+    """doc_id, n_pieces and the sampled pieces of each document that is left; model: a vocabulary file."""
+    return encode(docs, model)
 
 
 STAGES = [
