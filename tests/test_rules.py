@@ -7,7 +7,8 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import dataset, evaluate, history, maturity, train
+from tidemark.operators import checks, dataset, evaluate, history, maturity, train
+from tidemark.sources import files
 
 FEATURES = "usdot_number string, scoring_date date, inspections_6m bigint, violations_6m bigint, oos_violations_6m bigint, crashes_24m bigint, violations_per_inspection double, oos_violation_rate double, days_since_last_inspection int"
 GOOD = {"usdot_number": "81", "scoring_date": date(2031, 2, 1), "inspections_6m": 2, "violations_6m": 3, "oos_violations_6m": 1, "crashes_24m": 0, "violations_per_inspection": 1.5, "oos_violation_rate": 0.33, "days_since_last_inspection": 1}
@@ -118,3 +119,44 @@ def test_the_threshold_comes_from_the_train_part_alone(spark):
     assert got["threshold"] == evaluate.f1_threshold(df.where("part = 'train'"), "score", "label").first()["threshold"]
     test = [r for r in rows if r[0] == "test"]
     assert got["true_positive"] == sum(r[1] for r in test if r[2] >= got["threshold"]) and got["n"] == 200
+
+
+def test_registry_succession(spark):
+    good = [("a", None, date(2030, 1, 1), 30, False, False), ("b", "a", date(2030, 2, 1), 30, False, False), ("c", "b", date(2030, 3, 1), 20, True, True)]
+
+    def broken(rows):
+        df = spark.createDataFrame(rows, "version string, previous_version string, data_as_of date, grace_days int, reviewed_decrease boolean, is_current boolean")
+        return {r["rule"] for r in maturity.registry_violations(df).collect() if r["violations"]}
+
+    assert broken(good) == set()
+    put = lambda i, at, v: [tuple(v if (j, k) == (i, at) else x for k, x in enumerate(r)) for j, r in enumerate(good)]
+    assert broken(put(1, 5, True)) == broken(put(2, 5, False)) == {"single_current"}
+    assert broken(put(1, 1, "z")) == {"names_predecessor"}
+    assert broken(put(2, 2, date(2029, 1, 1))) == {"no_backwards_date"}
+    assert broken(put(2, 4, False)) == {"no_unreviewed_decrease"}
+
+
+def test_schema_contract_and_lookup(spark):
+    df = spark.createDataFrame([("7", date(2030, 1, 1), 0.6)], "usdot_number string, scoring_date date, probability double")
+    assert checks.schema_differences(df, df.schema) == []
+    assert len(checks.schema_differences(df.withColumn("probability", F.col("probability").cast("float")), df.schema)) == 1
+    assert len(checks.schema_differences(df.drop("probability"), df.schema)) == 1 and len(checks.schema_differences(df.select(*df.columns[::-1]), df.schema)) == 2
+    asked = spark.createDataFrame([("7", date(2030, 1, 1)), ("7", date(2030, 2, 1)), ("8", date(2030, 1, 1))], "usdot_number string, scoring_date date")
+    got = {(r["usdot_number"], r["scoring_date"].month): (r["probability"], r["flagged"]) for r in train.landmark_lookup(df, asked, 0.6).collect()}
+    assert got == {("7", 1): (0.6, True), ("7", 2): (None, None), ("8", 1): (None, None)}
+
+
+def test_values_that_differ_and_catalog_lines(spark, tmp_path):
+    a = spark.createDataFrame([("x", "1"), ("x", "1"), ("", "22")], "p string, q string")
+    same = lambda b: files.reconcile_values(a, b).first()["equal"]
+    assert same(a.repartition(3)) and same(a.select("q", "p"))
+    for rows in ([("x", "1"), ("", "22")], [("x", "1"), ("x", "1"), ("2", "2")], [("x", "1"), ("x", "1"), (None, "22")], [("1", "x"), ("x", "1"), ("", "22")]):
+        assert not same(spark.createDataFrame(rows, "p string, q string"))
+    m = spark.createDataFrame([("b1", "crashes", "2030-01-02T00:00:00Z", "s", "f", 5, "2030-01-02")], "batch_id string, feed_name string, observed_at string, object_sha256 string, schema_fingerprint string, row_count bigint, acquisition_date string")
+    files.catalog_rows(m, str(tmp_path / "catalog"), derived=True, converter_version="3")
+    line = spark.read.json(str(tmp_path / "catalog")).first()
+    assert (line["batch_id"], line["row_count"], line["feed"], line["converter_version"]) == ("b1", 5, "crashes", "3")
+    path = files.write_once(a, str(tmp_path / "once"))
+    a.limit(1).write.mode("overwrite").parquet(path)
+    with pytest.raises(ValueError, match="other rows"):
+        files.write_once(a, str(tmp_path / "once"))

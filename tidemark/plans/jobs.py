@@ -162,6 +162,10 @@ def json_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _arrived(spark, sf_dir)[0]
+
+
+def _arrived(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Manifests named by notifications made from events: some wrapped, some twice, some test events or malformed."""
     e = tables.table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 500).alias("g"))
     record = F.concat(F.lit('{"Records":[{"s3":{"bucket":{"name":"b'), F.col("g") % 3, F.lit('"},"object":{"key":"raw%2Ffeed%3D'), "g", F.lit('/manifest.json","versionId":"'), F.col("g") % 7, F.lit('"}}}]}'))
@@ -171,7 +175,31 @@ def event_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("event_id") % 3 == 0, F.to_json(F.struct(F.lit("Notification").alias("Type"), record.alias("Message"))))
         .otherwise(record)
     )
-    return arrivals.flatten(e.select(body.alias("body")))[0]
+    return arrivals.flatten(e.select(body.alias("body")))
+
+
+def event_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(reason, n) of the notifications that name no manifest."""
+    return _arrived(spark, sf_dir)[1].groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def csv_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dialect violations of text lines made from orders: quoted, broken in each way, or of another width."""
+    k, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyyMMdd")
+    line = F.concat_ws(",", F.concat(F.lit('"'), "o_orderpriority", F.lit(', ""q"""')), k.cast("string"), day)
+    ways = [
+        F.concat("o_orderstatus", F.lit("\x00,"), k, F.lit(",x")), F.concat(F.lit('"'), "o_orderstatus", F.lit('"y,'), k, F.lit(",x")),
+        F.concat("o_orderstatus", F.lit('"y,'), k, F.lit(',"x"y')), F.concat(k, F.lit(","), day), F.concat(F.lit('"'), k, F.lit(","), day, F.lit(",x")), F.concat(line, F.lit(",")),
+    ]
+    for i, w in enumerate(ways):
+        line = F.when(k % 11 == i, w).otherwise(line)
+    return files.csv_violations(tables.table(spark, sf_dir, "orders").select(line.alias("value")), 3)
+
+
+def derived_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, nulls and value fingerprints of the inspection snapshots as text and of the Parquet derived from them."""
+    text = tables.raw_inspections(spark, sf_dir).na.fill("")
+    return files.reconcile_values(text, staged(text))
 
 
 def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
