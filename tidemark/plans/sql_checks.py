@@ -176,7 +176,7 @@ SELECT batch_id, feed_name, observed_at, coalesce(r.n, 0) AS n_rows, coalesce(b.
 k AS (SELECT *, coalesce(TRY_CAST(source_record_key AS BIGINT), -1) AS k FROM candidates),
 s AS (SELECT * REPLACE (CASE WHEN k % 301 = 0 THEN 'none' ELSE batch_id END AS batch_id, CASE WHEN k % 307 = 0 THEN observed_at + INTERVAL 1 DAY ELSE observed_at END AS observed_at,
   CASE WHEN k % 311 <> 0 THEN source_record_key END AS source_record_key) FROM k),
-p AS (SELECT * FROM s UNION ALL SELECT * FROM s WHERE TRY_CAST(k AS BIGINT) % 313 = 0),
+p AS (SELECT * FROM s UNION ALL SELECT * FROM s WHERE TRY_CAST(source_record_key AS BIGINT) % 313 = 0),
 known AS (SELECT * FROM batches WHERE status = 'loaded'), twice AS (SELECT * FROM known UNION ALL SELECT * FROM known WHERE batch_no = 2)
 SELECT 'unique_batch' AS rule, count(*) AS violations FROM (SELECT 1 FROM twice GROUP BY batch_id HAVING count(*) > 1)
 UNION ALL SELECT 'unambiguous_key', count(*) FROM (SELECT 1 FROM p WHERE source_record_key IS NOT NULL GROUP BY batch_id, feed_name, source_record_key HAVING count(*) > 1)
