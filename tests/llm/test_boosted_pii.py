@@ -66,3 +66,9 @@ def test_one_class_or_nothing_adds_nothing(spark):
     for texts in (["x@y.com"] * 3, ["no data"], []):
         df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
         assert [r["n_added"] for r in find_pii(df).collect()] == [0] * len(texts)
+
+
+def test_digits_inside_tokens_are_no_candidates(spark):
+    texts = corpus() + [f'token = "ede{n}43f42c939b6405768150e0411"' for n in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    assert all(r["n_added"] == 0 for r in find_pii(df).where(F.col("doc_id") >= len(corpus())).collect())

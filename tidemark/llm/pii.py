@@ -9,7 +9,7 @@ candidates of all forms, how likely a candidate of such a format and context is
 Numbers that pass a check by chance stand among others that fail it and score low; real ones do not.
 
 The threshold of each kind is calibrated on a fold that the trees have not seen, over all its
-candidates in the corpus: the least score at which nine in ten hold their evidence. Candidates beyond
+candidates in the corpus: the least score down to which nine in ten of each hundredth hold their evidence. Candidates beyond
 it that hold their evidence and touch no base span and no better candidate are added.
 
 SQL functions and Spark ML only. Texts are read once; spans and features go to a narrow table in
@@ -41,14 +41,15 @@ EMAIL = rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Generators: candidates of a kind, far more than are personal data. What joins their parts may be spaced on both sides.
+#: Generators: candidates of a kind, far more than are personal data. What joins their parts may be spaced on both sides;
+#: digits inside a longer token are none.
 _AT = r"(?:@|\x20@\x20|\x20?(?:\(at\)|\[at\])\x20?)"
 _DOT = r"(?:\.|\x20\.\x20|\x20?(?:\(dot\)|\[dot\])\x20?)"
 GENERATORS = {
     "email": rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+{_AT}[A-Za-z0-9-]{{1,63}}+(?:{_DOT}[A-Za-z0-9-]{{1,63}}+){{1,6}}",
     "ip": r"(?<![0-9])[0-9]{1,3}+(?:\x20?[.,:]\x20?[0-9]{1,3}+){3}(?![0-9])",
-    "card": r"(?<![0-9])[0-9]{4}(?:[\x20./-]?[0-9]{3,6}){2,4}(?![0-9])",
-    "phone": r"[+(]?(?<![0-9])[0-9](?:[\x20()./-]{0,2}[0-9]){7,16}(?![0-9])",
+    "card": r"(?<![A-Za-z0-9])[0-9]{4}(?:[\x20./-]?[0-9]{3,6}){2,4}(?![A-Za-z0-9])",
+    "phone": r"(?<![A-Za-z0-9])[+(]?[0-9](?:[\x20()./-]{0,2}[0-9]){7,16}(?![A-Za-z0-9])",
 }
 SAMPLE = 20_000
 FEATURES = (
@@ -175,16 +176,17 @@ def fitted(candidates: DataFrame, sample: int):
 
 
 def thresholds(judged: DataFrame, precision: float) -> dict[int, float]:
-    """Of each kind (rank) that has one: the least score in hundredths at which `precision` of the candidates hold their evidence.
+    """Of each kind (rank) that has one: the least score down to which, hundredth by hundredth, `precision` of the candidates hold their evidence.
 
     One aggregation over all candidates of the held-back fold; a hundred rows a kind come back.
     """
     sums = judged.groupBy("rank", F.floor(F.col("p") * 100).cast("int").alias("at")).agg(F.count("*").alias("n"), F.count_if("holds").alias("y"))
-    found, total = {}, {}
+    found, done = {}, set()
     for r in sorted(sums.collect(), key=lambda r: -r["at"]):
-        n, y = total.get(r["rank"], (0, 0))
-        total[r["rank"]] = n, y = n + r["n"], y + r["y"]
-        if y >= precision * n:
+        # many sure candidates above must not carry doubtful ones below
+        if r["y"] < precision * r["n"]:
+            done.add(r["rank"])
+        elif r["rank"] not in done:
             found[r["rank"]] = r["at"] / 100
     return found
 
