@@ -306,7 +306,7 @@ def named(docs: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, window: int = 20, runs_per_bucket: int = 500_000) -> DataFrame:
-    """key, starts: of each row (named by content) the starts of its later runs, packed as int32."""
+    """doc, starts: of the rows of a doc (64 bits of the key) their keys and the starts of their later runs, packed as int32."""
     rows = named(docs)
     met = staged(anchors_met(rows, window))
     places = met.agg(F.sum(F.size("at"))).first()[0] or 0
@@ -314,7 +314,8 @@ def repeats(docs: DataFrame, window: int = 20, runs_per_bucket: int = 500_000) -
     later = runs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(later_runs, LATER)
     # a batch's answers meet again: as many documents as one Arrow batch holds
     whole = later.groupBy("batch").agg(F.collect_list("spots").alias("spots"), F.any_value("keys", True).alias("keys"))
-    return whole.mapInArrow(by_document, "key string, starts binary").groupBy("key").agg(F.collect_list("starts").alias("starts"))
+    found = whole.mapInArrow(by_document, "key string, starts binary")
+    return found.groupBy(F.xxhash64("key").alias("doc")).agg(F.collect_list(F.struct("key", "starts")).alias("starts"))
 
 
 def without_repeats(window: int, text: bool):
@@ -349,11 +350,12 @@ def without_repeats(window: int, text: bool):
 
 def dedup_substrings(docs: DataFrame, window: int = 20, text: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept (the words left) of every row of docs (doc_id, text)."""
-    starts = repeats(docs, window)
-    rows = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("text").cast("string").alias("text"))
+    starts, rows = repeats(docs, window), named(docs)
     kind = dict(rows.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept string" * text
-    return rows.join(starts, "key", "left").select("doc_id", "text", "starts").mapInArrow(without_repeats(window, text), schema)
+    mine = F.transform(F.filter("starts", lambda s: s["key"] == F.col("key")), lambda s: s["starts"])
+    # joined by doc as the anchors are, so that the texts are shuffled once for both
+    return rows.join(starts, "doc", "left").select("doc_id", "text", mine.alias("starts")).mapInArrow(without_repeats(window, text), schema)
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
