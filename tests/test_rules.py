@@ -7,7 +7,8 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import checks, dataset, evaluate, history, maturity, train
+from tidemark.operators import checks, dataset, evaluate, maturity, train
+from tidemark.operators.stored import StoredHistory
 from tidemark.sources import files
 
 FEATURES = "usdot_number string, scoring_date date, inspections_6m bigint, violations_6m bigint, oos_violations_6m bigint, crashes_24m bigint, violations_per_inspection double, oos_violation_rate double, days_since_last_inspection int"
@@ -97,18 +98,19 @@ def test_batches_behind_a_data_set_are_attested(spark):
             dataset.attested(*args)
 
 
-def test_a_repeated_incremental_run_has_nothing_to_do(spark):
+def test_a_repeated_incremental_run_has_nothing_to_do(spark, tmp_path):
     from test_history import SCHEMA, candidate
 
     days = [datetime(2030, 7, 10, 9) + timedelta(i) for i in range(3)]
     rows = [candidate(f"c{i}", d, "crashes", k, h, event=date(2030, 7, 1)) for i, d in enumerate(days) for k, h in (("x", "same"), ("y", f"h{i}"))]
     made = spark.createDataFrame(rows, SCHEMA)
     known = spark.createDataFrame([(f"c{i}", "crashes", d) for i, d in enumerate(days)], "batch_id string, feed_name string, observed_at timestamp")
-    empty = history.rebuild(made.limit(0), known.limit(0))[0]
-    found, _, applied = history.apply_pending(empty, known.limit(0), made, known)
-    assert found.count() == 4 and applied.count() == 3
-    again, lapsed, registry = history.apply_pending(found, applied, made, known)
-    assert lapsed is None and registry.count() == 3 and again.exceptAll(found).count() == 0
+    store = StoredHistory(spark, str(tmp_path))
+    assert store.apply_pending(made, known) == 3
+    found = sorted(map(str, store.versions().collect()))
+    assert len(found) == 4 and store.applied().count() == 3
+    assert store.apply_pending(made, known) == 0
+    assert sorted(map(str, StoredHistory(spark, str(tmp_path)).versions().collect())) == found and len(store.commits()) == 3
 
 
 def test_the_threshold_comes_from_the_train_part_alone(spark):

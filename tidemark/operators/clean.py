@@ -165,9 +165,17 @@ def quarantine(inspections: DataFrame, crashes: DataFrame) -> DataFrame:
     return both.where(F.size("parse_reasons") > 0)
 
 
-def change_candidates(inspections: DataFrame, crashes: DataFrame) -> DataFrame:
-    """Both feeds in one shape (CANDIDATE), with what a row lacks to count in the model."""
-    in_time = F.col("source_proxy_reported_date") >= F.col("event_date")
+def _candidate(df: DataFrame) -> DataFrame:
+    df = df.withColumnRenamed("first_observed_at", "observed_at")
+    return df.select(*[(F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in CANDIDATE.items()])
+
+
+def _in_time() -> Column:
+    return F.col("source_proxy_reported_date") >= F.col("event_date")
+
+
+def inspection_candidates(inspections: DataFrame) -> DataFrame:
+    """Typed inspections as CANDIDATE, with what a row lacks to count in the model."""
     whole = (
         (F.size("parse_reasons") == 0)
         & F.col("source_record_key").isNotNull()
@@ -182,25 +190,26 @@ def change_candidates(inspections: DataFrame, crashes: DataFrame) -> DataFrame:
         .when(F.col("event_date").isNull(), "missing_event_date")
         .when(F.col("source_proxy_reported_date").isNull(), "missing_source_add_at")
     )
-    i = (
+    return _candidate(
         inspections.withColumn("event_type", F.lit("inspection"))
-        .withColumn("is_model_eligible", F.coalesce(whole & in_time, F.lit(False)))
+        .withColumn("is_model_eligible", F.coalesce(whole & _in_time(), F.lit(False)))
         .withColumn("exclusion_reason", why)
     )
+
+
+def crash_candidates(crashes: DataFrame) -> DataFrame:
+    """Typed crash rows as CANDIDATE."""
     late = F.when(F.col("source_proxy_valid_from").isNull(), "missing_source_add_at")
-    c = (
+    return _candidate(
         crashes.withColumn("event_type", F.lit("crash"))
-        .withColumn("is_model_eligible", F.coalesce((F.col("model_eligibility") == "eligible") & in_time, F.lit(False)))
+        .withColumn("is_model_eligible", F.coalesce((F.col("model_eligibility") == "eligible") & _in_time(), F.lit(False)))
         .withColumn("exclusion_reason", F.coalesce("exclusion_reason", late))
     )
 
-    def shaped(df: DataFrame) -> DataFrame:
-        df = df.withColumnRenamed("first_observed_at", "observed_at")
-        return df.select(
-            *[(F.col(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in CANDIDATE.items()]
-        )
 
-    return shaped(i).unionByName(shaped(c))
+def change_candidates(inspections: DataFrame, crashes: DataFrame) -> DataFrame:
+    """Both feeds in one shape (CANDIDATE)."""
+    return inspection_candidates(inspections).unionByName(crash_candidates(crashes))
 
 
 def exclusion_counts(candidates: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Two forms with equal results. `rebuild` makes the whole history of a set of batches with window
 functions over each record's appearances - one shuffle by (feed, key) and a row an appearance,
-however many batches there are. `apply_batch` adds one batch to a stored history. Times of knowledge come from the batches,
-never from the clock.
+however many batches there are. `step` adds one batch to the open versions of its feed; `operators/stored.py` keeps
+what it makes. Times of knowledge come from the batches, never from the clock.
 
 Rules: a record starts with its first eligible appearance. A later appearance opens a new version
 if its payload hash or eligibility differs from the one before, or if the record was deleted in
@@ -19,13 +19,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.sources.staging import staged
-
-PAYLOAD = (
-    "event_type", "usdot_number", "source_add_at", "source_change_at", "is_model_eligible", "exclusion_reason", "record_hash",
-    "state", "violation_count", "oos_violation_count", "report_state", "report_number", "report_time", "report_seq_no",
-    "fatalities", "injuries", "tow_away",
-)
+_CARRIED = {
+    "event_type": "string", "usdot_number": "string", "source_add_at": "timestamp_ntz", "source_change_at": "timestamp_ntz", "is_model_eligible": "boolean",
+    "exclusion_reason": "string", "record_hash": "string", "state": "string", "violation_count": "bigint", "oos_violation_count": "bigint", "report_state": "string",
+    "report_number": "string", "report_time": "bigint", "report_seq_no": "bigint", "fatalities": "bigint", "injuries": "bigint", "tow_away": "boolean",
+}
+#: Columns of a version and their types.
+VERSION = {
+    "feed_name": "string", "source_record_key": "string", **_CARRIED, "event_date": "date", "reported_date": "date", "knowledge_valid_from": "timestamp",
+    "availability_quality": "string", "first_observed_at": "timestamp", "is_deleted": "boolean", "deletion_reason": "string", "first_seen_batch_id": "string",
+    "last_seen_batch_id": "string", "event_version_key": "string", "knowledge_valid_to": "timestamp", "predecessor_version_key": "string",
+    "superseded_by_version_key": "string", "is_current": "boolean",
+}
+EXPIRY = {"source_record_key": "string", "batch_id": "string", "event_version_key": "string", "observed_at": "timestamp", "retention_cutoff": "date"}
+PAYLOAD = tuple(_CARRIED)
 
 
 def version_key(batch: Column, feed: Column, key: Column, deleted: Column) -> Column:
@@ -166,39 +173,18 @@ def pending(batches: DataFrame, applied: DataFrame) -> DataFrame:
     return fresh
 
 
-def apply_pending(versions: DataFrame, applied: DataFrame, candidates: DataFrame, batches: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame]:
-    """(versions, new expiries, applied registry) after all batches (batch_id, feed_name, observed_at) that are not in `applied`.
+def step(prior: DataFrame, candidates: DataFrame, feed: str, batch_id: str, observed_at: Column, has_history: bool) -> DataFrame:
+    """What one batch of a feed makes of the feed's open versions: VERSION's columns, part and retention_cutoff.
 
-    One step a batch, in order of arrival; each is written before the next one. A batch is registered with its step, so
-    a run that is repeated finds nothing to do.
+    part: open (still current, or new) or closed (ended by this batch). retention_cutoff: on open versions that the batch
+    misses outside the feed's window, the start of that window. candidates: of this batch only.
     """
-    expiries = None
-    order = ("observed_at", "batch_id")
-    seen = {r[0] for r in applied.select("feed_name").distinct().collect()}
-    for b in pending(batches, applied).orderBy(*order).collect():  # batches, a few
-        mine = candidates.where(F.col("batch_id") == b["batch_id"])
-        at = F.lit(b["observed_at"]).cast("timestamp")
-        versions, lapsed = apply_batch(versions, mine, b["feed_name"], b["batch_id"], at, b["feed_name"] in seen)
-        versions, lapsed = staged(versions), staged(lapsed)
-        expiries = lapsed if expiries is None else expiries.unionByName(lapsed)
-        applied = applied.unionByName(batches.where(F.col("batch_id") == b["batch_id"]).select(*applied.columns))
-        seen.add(b["feed_name"])
-    return versions, expiries, applied
-
-
-def apply_batch(
-    versions: DataFrame, candidates: DataFrame, feed: str, batch_id: str, observed_at: Column, has_history: bool
-) -> tuple[DataFrame, DataFrame]:
-    """(versions, new retention expiries) after one batch of a feed.
-
-    candidates: of this batch and feed only. Other feeds' versions pass through.
-    """
-    rows = candidates.where(F.col("source_record_key").isNotNull())
-    if rows.groupBy("source_record_key").count().where("count > 1").limit(1).count():
+    per_key = candidates.groupBy("source_record_key").agg(F.count("*").alias("n"), F.min("event_date").alias("least"))
+    found = per_key.agg(F.max(F.when(F.col("source_record_key").isNotNull(), F.col("n"))).alias("n"), F.min("least").alias("least")).first()
+    if (found["n"] or 0) > 1:
         raise ValueError(f"batch {batch_id} holds a key twice")
-    cutoff = F.lit(candidates.agg(F.min("event_date")).first()[0] if feed == "inspections" else None).cast("date")
-    current = (F.col("feed_name") == feed) & F.col("is_current")
-    rest, prior = versions.where(~current), versions.where(current)
+    cutoff = F.lit(found["least"] if feed == "inspections" else None).cast("date")
+    rows = candidates.where(F.col("source_record_key").isNotNull())
     now = rows.select("source_record_key", *[F.col(c).alias(f"n_{c}") for c in (*PAYLOAD, "event_date", "source_proxy_reported_date", "source_proxy_valid_from")])
     both = prior.join(now.withColumn("present", F.lit(True)), "source_record_key", "full")
     had, present = F.col("feed_name").isNotNull(), F.coalesce("present", F.lit(False))
@@ -210,14 +196,13 @@ def apply_batch(
     made = version_key(F.lit(batch_id), F.lit(feed), F.col("source_record_key"), F.col("dies"))
     ended = F.col("opens") | F.col("dies")
     seen = present & had & ~F.col("opens")
-    old = both.where(had)
-    closed = {
+    lapsed = had & ~present & ~F.col("is_deleted") & (F.col("event_date") < cutoff) & (F.lit(feed) == "inspections")
+    old = {
         "knowledge_valid_to": F.when(ended, observed_at).otherwise(F.col("knowledge_valid_to")),
         "is_current": ~ended,
         "superseded_by_version_key": F.when(ended, made).otherwise(F.col("superseded_by_version_key")),
         "last_seen_batch_id": F.when(seen & ~F.col("is_deleted"), F.lit(batch_id)).otherwise(F.col("last_seen_batch_id")),
     }
-    old = old.select(*[closed.get(c, F.col(c)).alias(c) for c in versions.columns])
     future = ~F.col("n_is_model_eligible") & (F.col("n_event_date") > F.to_date(observed_at))
     clock = (lambda proxy, own: own) if has_history else (lambda proxy, own: proxy)
     fresh = {
@@ -225,8 +210,8 @@ def apply_batch(
         "source_record_key": F.col("source_record_key"),
         "event_version_key": made,
         "predecessor_version_key": F.col("event_version_key"),
-        "superseded_by_version_key": F.lit(None).cast("string"),
-        "knowledge_valid_to": F.lit(None).cast("timestamp"),
+        "superseded_by_version_key": F.lit(None),
+        "knowledge_valid_to": F.lit(None),
         "is_current": F.lit(True),
         "is_deleted": F.col("dies"),
         "deletion_reason": F.when(F.col("dies"), "source_deleted"),
@@ -239,12 +224,32 @@ def apply_batch(
         "availability_quality": F.when(F.col("dies") | F.lit(has_history), "observed").otherwise("source_proxy"),
     }
     fresh |= {c: F.when(F.col("dies"), F.col(c)).otherwise(F.col(f"n_{c}")) for c in PAYLOAD}
-    born = both.where(ended).select(*[fresh[c].alias(c) for c in versions.columns])
-    lapsed = had & ~present & ~F.col("is_deleted") & (F.col("event_date") < cutoff)
-    expiries = both.where(lapsed & (F.lit(feed) == "inspections")).select(
-        "source_record_key", F.lit(batch_id).alias("batch_id"), "event_version_key", observed_at.alias("observed_at"), cutoff.alias("retention_cutoff")
+
+    def version(columns: dict[str, Column], part: Column, cutoff: Column) -> Column:
+        cells = [columns.get(n, F.col(n)).cast(t).alias(n) for n, t in VERSION.items()]
+        return F.struct(*cells, part.alias("part"), cutoff.cast("date").alias("retention_cutoff"))
+
+    both_versions = F.array(
+        F.when(had, version(old, F.when(ended, "closed").otherwise("open"), F.when(lapsed, cutoff))),
+        F.when(ended, version(fresh, F.lit("open"), F.lit(None))),
+    )
+    return both.select(F.inline(F.array_compact(both_versions)))
+
+
+def lapses(made: DataFrame, batch_id: str, observed_at: Column) -> DataFrame:
+    """The retention expiries among the versions of a step."""
+    return made.where(F.col("retention_cutoff").isNotNull()).select(
+        "source_record_key", F.lit(batch_id).alias("batch_id"), "event_version_key", observed_at.alias("observed_at"), "retention_cutoff"
     )
-    return rest.unionByName(old).unionByName(born), expiries
+
+
+def apply_batch(
+    versions: DataFrame, candidates: DataFrame, feed: str, batch_id: str, observed_at: Column, has_history: bool
+) -> tuple[DataFrame, DataFrame]:
+    """(versions, new retention expiries) after one batch of a feed; other feeds' versions and those that are closed pass through."""
+    current = (F.col("feed_name") == feed) & F.col("is_current")
+    made = step(versions.where(current), candidates, feed, batch_id, observed_at, has_history)
+    return versions.where(~current).unionByName(made.select(*versions.columns)), lapses(made, batch_id, observed_at)
 
 
 def visible_at(t: Column) -> Column:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import keys, parse
 from tidemark.operators import checks, clean, dataset, evaluate, features, history, incidents, maturity, profile, train
+from tidemark.operators.stored import StoredHistory
 from tidemark.sources import files, tables
-from tidemark.sources.staging import staged
+from tidemark.sources.staging import shared_dir, staged
 from tidemark.streaming import arrivals
 
 
@@ -110,11 +112,25 @@ def incident_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The dates of each feed that profiles are made from.
+DATES = {"inspections": ("insp_date", "mcmis_add_date"), "crashes": ("report_date", "add_date")}
+
+
 def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i = tables.raw_inspections(spark, sf_dir).select("batch_id", F.col("insp_date").alias("raw_event_date"), F.col("mcmis_add_date").alias("raw_source_add_at"))
-    c = tables.raw_crashes(spark, sf_dir).select("batch_id", F.col("report_date").alias("raw_event_date"), F.col("add_date").alias("raw_source_add_at"))
-    known = tables.snapshot_batches(spark).select("batch_id", F.col("feed_name").alias("feed"), F.date_format("observed_at", "yyyy-MM-dd").alias("acquisition_date"))
-    return i.unionByName(c).join(F.broadcast(known), "batch_id").drop("batch_id")
+    known = tables.snapshot_batches(spark).select("batch_id", F.col("feed_name").alias("feed"), tables.acquisition_date())
+    rows = [tables.raw_rows(spark, sf_dir, f).select("batch_id", F.col(e).alias("raw_event_date"), F.col(a).alias("raw_source_add_at")) for f, (e, a) in DATES.items()]
+    return rows[0].unionByName(rows[1]).join(F.broadcast(known), "batch_id").drop("batch_id")
+
+
+def selected_rows(spark: SparkSession, folder: str, selected: DataFrame) -> DataFrame:
+    """Dates of the selected (feed, acquisition_date) partitions; no other partition is read."""
+    rows = []
+    for feed, (event, added) in DATES.items():
+        mine = tables.read_snapshots(spark, folder, feed).select(
+            F.lit(feed).alias("feed"), "acquisition_date", F.col(event).alias("raw_event_date"), F.col(added).alias("raw_source_add_at")
+        )
+        rows.append(mine.join(F.broadcast(selected.where(F.col("feed") == feed).select("acquisition_date")), "acquisition_date", "left_semi"))
+    return rows[0].unionByName(rows[1])
 
 
 def snapshot_manifests(spark: SparkSession) -> DataFrame:
@@ -128,7 +144,21 @@ def snapshot_manifests(spark: SparkSession) -> DataFrame:
 def reconcile_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All snapshots, the pending one among them, which has a manifest and no rows."""
     m = snapshot_manifests(spark)
-    return profile.reconcile(snapshot_rows(spark, sf_dir), m, m.select("feed", "acquisition_date"))
+    selected = m.select("feed", "acquisition_date")
+    return profile.reconcile(selected_rows(spark, tables.snapshots(spark, sf_dir), selected), m, selected)
+
+
+#: An inclusive range of acquisition dates, and the feed that it is read of.
+BACKFILL = ("crashes", "1999-03-10", "2001-03-20")
+
+
+def backfill_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshots of a bounded backfill with their rows, keys and latest date of addition, read from their partitions alone."""
+    feed, first, last = BACKFILL
+    known = batches(spark).select("feed_name", "batch_id", tables.acquisition_date()).withColumn("object_key", F.concat(F.lit("raw/feed="), "feed_name", F.lit("/acquisition_date="), "acquisition_date"))
+    chosen = files.backfill(known, feed, first, last).select("acquisition_date")
+    rows = tables.read_snapshots(spark, tables.snapshots(spark, sf_dir), feed).join(F.broadcast(chosen), "acquisition_date", "left_semi")
+    return rows.groupBy("acquisition_date").agg(F.count("*").alias("n_rows"), F.countDistinct("crash_id").alias("n_keys"), F.max("add_date").alias("latest"))
 
 
 def report_lag_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -466,29 +496,69 @@ def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.batch_scores(found, e, train.request_dates(carriers, date(2001, 3, 11)), lambda rows: rows.withColumn("probability", v / (v + 1)))
 
 
-def _stepwise(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(versions, applied registry, candidates): the first snapshots of each feed at once and the later ones batch by batch."""
+def _stepwise(spark: SparkSession, sf_dir: str) -> tuple[StoredHistory, DataFrame]:
+    """(stored history, candidates): the first snapshots of each feed at once and the later ones batch by batch."""
     made, known = staged(candidates(spark, sf_dir)), batches(spark)
     early = known.where("batch_no <= 4")
-    first = history.rebuild(made.join(F.broadcast(early.select("batch_id")), "batch_id", "left_semi"), early)[0]
-    registry = early.select("batch_id", "feed_name", "observed_at")
-    found, _, applied = history.apply_pending(staged(first), registry, made, known)
-    return found, applied, made
+    store = StoredHistory(spark, f"{shared_dir(spark)}/history-{uuid.uuid4().hex}")
+    store.seed(*history.rebuild(made.join(F.broadcast(early.select("batch_id")), "batch_id", "left_semi"), early), early)
+    store.apply_pending(made, known)
+    return store, made
 
 
 def incremental_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stepwise(spark, sf_dir)[0]
+    return _stepwise(spark, sf_dir)[0].versions()
+
+
+def incremental_expiries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stepwise(spark, sf_dir)[0].expiries()
 
 
 def applied_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registry after an incremental run: each batch with its rows and the versions that it made."""
-    found, applied, made = _stepwise(spark, sf_dir)
+    store, made = _stepwise(spark, sf_dir)
+    applied = store.applied()
     rows = made.groupBy("batch_id").agg(F.count("*").alias("n_rows"))
-    born = found.groupBy(F.col("first_seen_batch_id").alias("batch_id")).agg(F.count("*").alias("n_versions"))
+    born = store.versions().groupBy(F.col("first_seen_batch_id").alias("batch_id")).agg(F.count("*").alias("n_versions"))
     sound = applied.join(dataset.unattested(applied, tables.snapshot_batches(spark)), "batch_id", "left_anti")
     return sound.join(rows, "batch_id", "left").join(born, "batch_id", "left").select("batch_id", "feed_name", "observed_at", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.coalesce("n_versions", F.lit(0)).alias("n_versions"))
 
 
+def _arrivals_loaded(spark: SparkSession, sf_dir: str) -> StoredHistory:
+    """The history that arriving manifests build: each names a snapshot, some arrive twice, and one comes again later."""
+    folder, source = f"{shared_dir(spark)}/arrivals-{uuid.uuid4().hex}", tables.snapshots(spark, sf_dir)
+    counted = [tables.read_snapshots(spark, source, f).groupBy("batch_id").agg(F.count("*").alias("row_count")) for f in tables.COLUMNS]
+    manifests = staged(batches(spark).join(counted[0].unionByName(counted[1]), "batch_id").select("batch_id", "feed_name", "observed_at", "row_count", "batch_no"))
+    store = StoredHistory(spark, f"{folder}/history")
+
+    def rows_of(m: Row) -> DataFrame:
+        day = m["observed_at"].date().isoformat()
+        return tables.read_snapshots(spark, source, m["feed_name"]).where(F.col("acquisition_date") == day).drop("acquisition_date")
+
+    def candidates_of(rows: DataFrame, m: Row) -> DataFrame:
+        known = tables.snapshot_batches(spark)
+        if m["feed_name"] == "inspections":
+            return clean.inspection_candidates(clean.clean_inspections(rows, known))
+        return clean.crash_candidates(clean.clean_crashes(rows, known))
+
+    for wave in ("batch_no <= 3", "batch_no >= 3"):
+        manifests.where(wave).drop("batch_no").repartition(2).write.mode("append").json(f"{folder}/in")
+        arrivals.load_history(spark, f"{folder}/in", store, f"{folder}/checkpoint", rows_of, candidates_of)
+    return store
+
+
+def arrived_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _arrivals_loaded(spark, sf_dir).versions()
+
+
+def arrived_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """batch_id, n_rows, n_keys of the source rows that came in with the batches."""
+    store = _arrivals_loaded(spark, sf_dir)
+    keyed = [("inspections", "inspection_id"), ("crashes", "crash_id")]
+    both = [store.rows(f"batch_id string, {key} string", feed).select("batch_id", F.col(key).alias("k")) for feed, key in keyed]
+    return both[0].unionByName(both[1]).groupBy("batch_id").agg(F.count("*").alias("n_rows"), F.countDistinct("k").alias("n_keys"))
+
+
 def maturity_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maturity.missing_carriers(vehicles(spark, sf_dir), AS_OF)
 

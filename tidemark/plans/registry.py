@@ -18,7 +18,7 @@ _NAMES = (
     "cohort_lag_quantiles maturity_bound labels purged_split availability_mix population_diff dataset_fingerprint average_precision "
     "model_comparison f1_threshold confusion boosted_scores batch_decisions history_violations publication_violations contract_violations replay_identity "
     "source_events features_recomputed encoding_violations landmark_violations inspection_identity boosted_holdout rate_holdout batch_scores "
-    "incremental_history applied_batches maturity_exclusions provenance event_rejects csv_audit derived_reconciliation"
+    "incremental_history incremental_expiries arrived_history arrived_rows backfill_counts applied_batches maturity_exclusions provenance event_rejects csv_audit derived_reconciliation"
 ).split()
 _RENAMED = {"event_versions": jobs.versions}
 
@@ -45,6 +45,17 @@ FROM candidates WHERE NOT is_model_eligible GROUP BY ALL""",
     + f"SELECT {_VERSION_COLUMNS} FROM versions WINDOW w AS (PARTITION BY feed_name, source_record_key ORDER BY first_observed_at, is_deleted)",
     "incremental_history": ctes("versions")
     + f"SELECT {_VERSION_COLUMNS} FROM versions WINDOW w AS (PARTITION BY feed_name, source_record_key ORDER BY first_observed_at, is_deleted)",
+    "arrived_history": ctes("versions")
+    + f"SELECT {_VERSION_COLUMNS} FROM versions WINDOW w AS (PARTITION BY feed_name, source_record_key ORDER BY first_observed_at, is_deleted)",
+    "backfill_counts": ctes("raw_crashes")
+    + f"""SELECT strftime(observed_at, '%Y-%m-%d') AS acquisition_date, count(*) AS n_rows, count(DISTINCT crash_id) AS n_keys, max(add_date) AS latest
+FROM raw_crashes JOIN batches USING (batch_id) WHERE observed_at::DATE BETWEEN DATE '{jobs.BACKFILL[1]}' AND DATE '{jobs.BACKFILL[2]}' GROUP BY ALL""",
+    "arrived_rows": ctes("raw_inspections", "raw_crashes")
+    + """SELECT batch_id, count(*) AS n_rows, count(DISTINCT k) AS n_keys
+FROM (SELECT batch_id, inspection_id AS k FROM raw_inspections UNION ALL SELECT batch_id, crash_id FROM raw_crashes) GROUP BY ALL""",
+    "incremental_expiries": ctes("i_expired")
+    + """SELECT source_record_key, batch_id, md5(concat_ws('|', first_seen, 'inspections', source_record_key, 'false')) AS event_version_key,
+observed_at, retention_cutoff FROM i_expired""",
     "retention_expiries": ctes("i_expired")
     + """SELECT source_record_key, batch_id, md5(concat_ws('|', first_seen, 'inspections', source_record_key, 'false')) AS event_version_key,
 observed_at, retention_cutoff FROM i_expired""",

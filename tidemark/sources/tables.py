@@ -2,7 +2,8 @@
 
 orders stand for inspections and order lines for vehicles in crashes, as text rows in six
 snapshots a feed. Of each snapshot some rows are missing, some changed and some malformed, by
-rules on their keys, so that every path of the history is met.
+rules on their keys, so that every path of the history is met. Where a folder snapshots/ lies beside the
+tables (`write_snapshots`), the rows are read from there.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.commits import exists
 from tidemark.sources.staging import shared_dir
 
 #: (batch_id, feed_name, number, observed_at) of the snapshots.
@@ -35,21 +37,56 @@ def snapshot_batches(spark: SparkSession) -> DataFrame:
     return df.select("batch_id", "feed_name", "batch_no", F.col("observed_text").cast("timestamp").alias("observed_at"), "status")
 
 
-#: Folders of snapshots written by `prepare`, by the folder of their tables.
-_PREPARED: dict[str, str] = {}
+#: Text columns of each feed's rows.
+COLUMNS = {
+    "inspections": ("inspection_id", "dot_number", "report_state", "report_number", "insp_date", "mcmis_add_date", "change_date", "viol_total", "oos_total"),
+    "crashes": (
+        "crash_id", "report_state", "report_number", "report_date", "report_time", "report_seq_no", "dot_number", "add_date", "change_date", "fatalities",
+        "injuries", "tow_away", "federal_recordable",
+    ),
+}
 
 
-def prepare(spark: SparkSession, sf_dir: str) -> None:
-    """Write the feeds' text snapshots below the shared folder; from then on they are read from there, as real feeds would be."""
+def write_snapshots(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Both feeds' text rows as tables partitioned by acquisition date, as snapshots arrive."""
+    days = snapshot_batches(spark).select("batch_id", acquisition_date())
+    for feed in COLUMNS:
+        rows = raw_rows(spark, sf_dir, feed).join(F.broadcast(days), "batch_id")
+        rows.repartition("acquisition_date", F.pmod("source_row_number", F.lit(8))).write.partitionBy("acquisition_date").parquet(f"{folder}/{feed}")
+
+
+def acquisition_date() -> Column:
+    return F.date_format("observed_at", "yyyy-MM-dd").alias("acquisition_date")
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the partitioned snapshots: snapshots/ beside the tables if there is one, else a new one in the shared folder."""
+    if exists(spark, f"{sf_dir}/snapshots"):
+        return f"{sf_dir}/snapshots"
     folder = f"{shared_dir(spark)}/snapshots-{uuid.uuid4().hex}"
-    for name, make in (("inspections", raw_inspections), ("crashes", raw_crashes)):
-        make(spark, sf_dir).write.partitionBy("batch_id").parquet(f"{folder}/{name}")
-    _PREPARED[sf_dir] = folder
+    write_snapshots(spark, sf_dir, folder)
+    return folder
+
+
+def read_snapshots(spark: SparkSession, folder: str, feed: str) -> DataFrame:
+    """A feed's rows with acquisition_date as the partition column."""
+    cells = ", ".join(f"{c} string" for c in COLUMNS[feed])
+    return spark.read.schema(f"batch_id string, source_row_number bigint, {cells}, acquisition_date string").parquet(f"{folder}/{feed}")
+
 
+def raw_rows(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    """All of a feed's text rows: batch_id, source_row_number and its columns, from the snapshots beside the tables or made from the tables."""
+    if exists(spark, f"{sf_dir}/snapshots"):
+        return read_snapshots(spark, f"{sf_dir}/snapshots", feed).drop("acquisition_date")
+    return {"inspections": _made_inspections, "crashes": _made_crashes}[feed](spark, sf_dir)
 
-def _prepared(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame | None:
-    folder = _PREPARED.get(sf_dir)
-    return spark.read.parquet(f"{folder}/{name}").select(*columns) if folder else None
+
+def raw_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_rows(spark, sf_dir, "inspections")
+
+
+def raw_crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_rows(spark, sf_dir, "crashes")
 
 
 def _snapshots(rows: DataFrame, feed: str, key: Column, added: Column) -> DataFrame:
@@ -69,8 +106,7 @@ def _spelled(day: Column) -> Column:
     return F.date_format(day, "yyyyMMdd")
 
 
-def raw_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text rows: batch_id, source_row_number and the feed's columns."""
+def _made_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
         (F.col("o_orderkey") + 1).alias("k"), (F.col("o_custkey") + 1).alias("c"), F.to_date("o_orderdate").alias("d"), F.col("o_orderstatus").alias("st")
     )
@@ -90,12 +126,11 @@ def raw_inspections(spark: SparkSession, sf_dir: str) -> DataFrame:
         "viol_total": F.when(k % 97 == 11, F.lit("12.5")).otherwise(viol.cast("string")),
         "oos_total": F.least((k - 1) % 3, (k - 1) % 7).cast("string"),
     }
-    made = s.select("batch_id", k.alias("source_row_number"), *[v_.alias(n) for n, v_ in spelled.items()])
-    return _prepared(spark, sf_dir, "inspections", made.columns) or made
+    return s.select("batch_id", k.alias("source_row_number"), *[v_.alias(n) for n, v_ in spelled.items()])
 
 
-def raw_crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text rows: batch_id, source_row_number and the feed's columns; one row for each vehicle (order line)."""
+def _made_crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each vehicle (order line)."""
     lines = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey", "l_linenumber")
@@ -122,5 +157,4 @@ def raw_crashes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "tow_away": F.when(F.col("ls") == "F", F.lit("Y")).otherwise(F.lit("no")),
         "federal_recordable": F.when(F.col("rf") != "N", F.lit("Y")).otherwise(F.lit("N")),
     }
-    made = s.select("batch_id", k.alias("source_row_number"), *[v_.alias(n) for n, v_ in spelled.items()])
-    return _prepared(spark, sf_dir, "crashes", made.columns) or made
+    return s.select("batch_id", k.alias("source_row_number"), *[v_.alias(n) for n, v_ in spelled.items()])
