@@ -31,13 +31,6 @@ def test_csv_round_trip(spark, tmp_path):
         files.read_contract_csv(spark, str(src), columns[::-1], True)
 
 
-def test_csv_audit(spark):
-    lines = ['a,b,c', '"x","y, z",w', 'a\x00,b,c', '"x"y,b,c', 'a"b,c,d', 'a,b', '"open,b']
-    df = spark.createDataFrame([(x,) for x in lines], "value string")
-    got = {r["violation"]: r["n"] for r in files.csv_violations(df, 3).collect()}
-    assert got["nul"] == 1 and got["text_after_quote"] == 1 and got["wrong_width"] == 1 and got["embedded_newline"] == 2
-
-
 def test_manifests(spark):
     feeds = {"crashes": {"dataset": "d", "url": "u", "fingerprint": "f", "columns": 3}}
     key = "raw/feed=crashes/acquisition_date=2026-01-02/snapshot.csv.gz"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import keys, parse
 from tidemark.operators import checks, clean, dataset, evaluate, features, history, incidents, maturity, profile, train
 from tidemark.operators.stored import StoredHistory
-from tidemark.sources import files, tables
+from tidemark.sources import files, records, tables
 from tidemark.sources.staging import shared_dir, staged
 from tidemark.streaming import arrivals
 
@@ -213,17 +213,36 @@ def event_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _arrived(spark, sf_dir)[1].groupBy("reason").agg(F.count("*").alias("n"))
 
 
+def _as_file(values: DataFrame) -> str:
+    """A folder of text files with one value a line (which may hold line breaks of its own)."""
+    folder = f"{shared_dir(values.sparkSession)}/text-{uuid.uuid4().hex}"
+    values.write.text(folder)
+    return folder
+
+
 def csv_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dialect violations of text lines made from orders: quoted, broken in each way, or of another width."""
-    k, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyyMMdd")
-    line = F.concat_ws(",", F.concat(F.lit('"'), "o_orderpriority", F.lit(', ""q"""')), k.cast("string"), day)
+    """Dialect violations of CSV records made from orders: quoted, with line breaks, broken in each way, or of another width."""
+    k, day = F.col("o_orderkey").cast("string"), F.date_format("o_orderdate", "yyyyMMdd")
+    line = F.concat(F.lit('"'), "o_orderpriority", F.lit(', ""q""",'), k, F.lit(","), day)
+    s = F.col("o_orderstatus")
     ways = [
-        F.concat("o_orderstatus", F.lit("\x00,"), k, F.lit(",x")), F.concat(F.lit('"'), "o_orderstatus", F.lit('"y,'), k, F.lit(",x")),
-        F.concat("o_orderstatus", F.lit('"y,'), k, F.lit(',"x"y')), F.concat(k, F.lit(","), day), F.concat(F.lit('"'), k, F.lit(","), day, F.lit(",x")), F.concat(line, F.lit(",")),
+        F.concat(s, F.lit("\x00,"), k, F.lit(",x")), F.concat(F.lit('"'), s, F.lit('"y,'), k, F.lit(",x")), F.concat(s, F.lit('"y,'), k, F.lit(',"x"y')),
+        F.concat(k, F.lit(","), day), F.concat(F.lit('"'), k, F.lit("\n"), day, F.lit('",'), k, F.lit(",x")), F.concat(line, F.lit(",")),
+        F.concat(F.lit('"a\r\n""\n'), s, F.lit('",'), k, F.lit(',"\n"')),
     ]
     for i, w in enumerate(ways):
-        line = F.when(k % 11 == i, w).otherwise(line)
-    return files.csv_violations(tables.table(spark, sf_dir, "orders").select(line.alias("value")), 3)
+        line = F.when(F.col("o_orderkey") % 11 == i, w).otherwise(line)
+    text = tables.table(spark, sf_dir, "orders").select(line.alias("value"))
+    return records.audit(records.read_records(spark, _as_file(text)), 3)
+
+
+def csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a note of several lines, through a CSV file and back."""
+    o = tables.table(spark, sf_dir, "orders")
+    note = F.concat("o_orderpriority", F.lit(', "'), "o_orderstatus", F.lit('"'), F.expr("repeat('\\n', cast(o_orderkey % 4 as int))"), F.date_format("o_orderdate", "yyyyMMdd"))
+    text = o.select(F.concat("o_orderkey", F.lit(',"'), F.replace(note, F.lit('"'), F.lit('""')), F.lit('",'), "o_orderstatus").alias("value"))
+    found = records.read_records(spark, _as_file(text))
+    return found.select(F.get("cells", F.lit(0)).cast("bigint").alias("o_orderkey"), F.get("cells", F.lit(1)).alias("note"), F.col("lines").alias("n_lines"), F.size("cells").alias("n_cells"))
 
 
 def derived_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:

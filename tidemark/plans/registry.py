@@ -18,7 +18,7 @@ _NAMES = (
     "cohort_lag_quantiles maturity_bound labels purged_split availability_mix population_diff dataset_fingerprint average_precision "
     "model_comparison f1_threshold confusion boosted_scores batch_decisions history_violations publication_violations contract_violations replay_identity "
     "source_events features_recomputed encoding_violations landmark_violations inspection_identity boosted_holdout rate_holdout batch_scores "
-    "incremental_history incremental_expiries arrived_history arrived_rows backfill_counts applied_batches maturity_exclusions provenance event_rejects csv_audit derived_reconciliation"
+    "incremental_history incremental_expiries arrived_history arrived_rows backfill_counts applied_batches maturity_exclusions provenance event_rejects csv_audit csv_records derived_reconciliation"
 ).split()
 _RENAMED = {"event_versions": jobs.versions}
 

@@ -95,19 +95,21 @@ def _fingerprint(columns: list[str], table: str) -> str:
     return f"SELECT count(*) AS n_rows, sha256(concat_ws(',', count(*)::VARCHAR, {parts})) AS fingerprint FROM (SELECT sha256({cell}) AS d FROM {table})"
 
 
-_CELL = """(?:"(?:[^"]|"")*"|[^",]*)"""
 _TEXT = "batch_id source_row_number inspection_id dot_number report_state report_number insp_date mcmis_add_date change_date viol_total oos_total".split()
 
 CHECKS: dict[str, str] = {
     "event_rejects": """SELECT 'malformed' AS reason, count(*) AS n FROM events WHERE event_id % 50 = 1 HAVING count(*) > 0""",
-    "csv_audit": f"""WITH k AS (SELECT o_orderkey AS k, o_orderkey % 11 AS m, o_orderkey::VARCHAR AS t, o_orderstatus AS s, strftime(o_orderdate, '%Y%m%d') AS d, o_orderpriority AS p FROM orders),
+    "csv_audit": f"""WITH k AS (SELECT o_orderkey % 11 AS m, o_orderkey::VARCHAR AS t, o_orderstatus AS s, strftime(o_orderdate, '%Y%m%d') AS d, o_orderpriority AS p FROM orders),
 v AS (SELECT CASE m WHEN 0 THEN s || chr(0) || ',' || t || ',x' WHEN 1 THEN '"' || s || '"y,' || t || ',x' WHEN 2 THEN s || '"y,' || t || ',"x"y' WHEN 3 THEN t || ',' || d
-  WHEN 4 THEN '"' || t || ',' || d || ',x' ELSE '"' || p || ', ""q' || repeat('"', 3) || ',' || t || ',' || d || CASE WHEN m = 5 THEN ',' ELSE '' END END AS v FROM k),
-f AS (SELECT v, (length(v) - length(replace(v, '"', ''))) % 2 = 1 AS odd, regexp_full_match(v, '{_CELL}(?:,{_CELL})*') AS closed FROM v)
-SELECT 'nul' AS violation, count_if(contains(v, chr(0))) AS n FROM f UNION ALL SELECT 'embedded_newline', count_if(odd) FROM f
-UNION ALL SELECT 'text_after_quote', count_if(NOT odd AND regexp_matches(v, '(?:^|,)"(?:[^"]|"")*"[^",]')) FROM f
-UNION ALL SELECT 'quote_in_bare_text', count_if(NOT odd AND regexp_matches(v, '(?:^|,)[^",][^",]*"')) FROM f
-UNION ALL SELECT 'wrong_width', count_if(closed AND len(regexp_extract_all(',' || v, ',{_CELL}')) <> 3) FROM f""",
+  WHEN 4 THEN '"' || t || chr(10) || d || '",' || t || ',x' WHEN 6 THEN '"a' || chr(13) || chr(10) || '""' || chr(10) || s || '",' || t || ',"' || chr(10) || '"'
+  ELSE '"' || p || ', ""q""' || '",' || t || ',' || d || CASE WHEN m = 5 THEN ',' ELSE '' END END AS v FROM k)
+SELECT 'nul' AS violation, count_if(contains(v, chr(0))) AS n FROM v UNION ALL SELECT 'embedded_newline', count_if(contains(v, chr(10))) FROM v
+UNION ALL SELECT 'text_after_quote', count_if(regexp_matches(v, '(?:^|,)"(?:[^"]|"")*"[^",]')) FROM v
+UNION ALL SELECT 'quote_in_bare_text', count_if(regexp_matches(v, '(?:^|,)[^",][^",]*"')) FROM v WHERE NOT contains(v, ', ""q') AND NOT contains(v, chr(10))
+UNION ALL SELECT 'open_quote', 0
+UNION ALL SELECT 'wrong_width', count_if(len(regexp_extract_all(',' || v, ',(?:"(?:[^"]|"")*"[^,]*|[^",][^,]*|)')) <> 3) FROM v""",
+    "csv_records": """SELECT o_orderkey, o_orderpriority || ', "' || o_orderstatus || '"' || repeat(chr(10), (o_orderkey % 4)::BIGINT) || strftime(o_orderdate, '%Y%m%d') AS note,
+(o_orderkey % 4 + 1)::INTEGER AS n_lines, 3 AS n_cells FROM orders""",
     "derived_reconciliation": ctes("raw_inspections").rstrip() + f""",
 t AS (SELECT {", ".join(f"coalesce({c}::VARCHAR, '') AS {c}" if c != "source_row_number" else c for c in _TEXT)} FROM raw_inspections),
 f AS ({_fingerprint(_TEXT, "t")})

@@ -6,16 +6,11 @@ import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.keys import fingerprint, length_prefixed_id
+from tidemark.sources import records
 
-BROKEN, ROW = "_broken", "source_row_number"
-
-
-def contract(columns: list[str]) -> T.StructType:
-    """A feed's columns, all text, in order."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+ROW = "source_row_number"
 
 
 def contract_fingerprint(columns: list[str], version: str) -> str:
@@ -25,31 +20,21 @@ def contract_fingerprint(columns: list[str], version: str) -> str:
     return hashlib.sha256(json.dumps([version, columns], separators=(",", ":")).encode()).hexdigest()
 
 
-def check_header(spark: SparkSession, path: str, columns: list[str]) -> None:
-    """The first line's names and order must be the contract's; a byte-order mark is let pass."""
-    got = spark.read.option("multiLine", True).option("quote", '"').option("escape", '"').csv(path).limit(1).first()
-    names = [str(x) for x in got] if got else []
-    if names:
-        names[0] = names[0].removeprefix("﻿")
-    if names != columns:
-        raise ValueError(f"header is not the contract's: {names[:5]}...")
-
-
 def read_contract_csv(spark: SparkSession, path: str, columns: list[str], empty_as_null: bool) -> DataFrame:
-    """Rows of quoted CSV with their number from 1; line breaks inside quotes are kept.
+    """Rows of quoted CSV with their number from 1 in each file, from as many splits as there are (`records`).
 
-    A gzip file is one partition, read from its start, so that an increasing id taken before any
-    exchange numbers its rows. Rows of another width end the job. Empty cells become null for the
-    raw load and stay empty for derived files.
+    The header's names and order must be the contract's, and rows of another width end the job. Empty cells become null
+    for the raw load and stay empty for derived files.
     """
-    check_header(spark, path, columns)
-    schema = T.StructType([*contract(columns), T.StructField(BROKEN, T.StringType())])
-    reader = spark.read.schema(schema).option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-    df = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN).option("emptyValue", "").option("nullValue", "\x00").option("enforceSchema", True).csv(path)
-    numbered = df.withColumn(ROW, F.monotonically_increasing_id() % (1 << 33) + 1)
-    cells = [F.nullif(F.col(c), F.lit("")).alias(c) if empty_as_null else F.coalesce(c, F.lit("")).alias(c) for c in columns]
-    sound = F.when(F.col(BROKEN).isNotNull(), F.raise_error(F.concat(F.lit("row of another width: "), F.col(ROW).cast("string")))).otherwise(F.col(ROW))
-    return numbered.select(sound.alias(ROW), *cells)
+    found = records.read_records(spark, path)
+    for r in found.where("record = 1").select("cells").distinct().limit(2).collect():
+        if r["cells"] != columns:
+            raise ValueError(f"header is not the contract's: {r['cells'][:5]}...")
+    wide = F.size("cells") == len(columns)
+    wrong = F.raise_error(F.concat(F.lit("row of another width: "), "file", F.lit(" "), (F.col("record") - 1).cast("string"))).cast("bigint")
+    cell = lambda i: F.get("cells", F.lit(i))
+    cells = [(F.nullif(cell(i), F.lit("")) if empty_as_null else F.coalesce(cell(i), F.lit(""))).alias(c) for i, c in enumerate(columns)]
+    return found.where("record > 1").select(F.when(wide, F.col("record") - 1).otherwise(wrong).alias(ROW), *cells)
 
 
 def derive_parquet(spark: SparkSession, csv_path: str, out: str, columns: list[str]) -> DataFrame:
@@ -72,24 +57,6 @@ def reconcile_values(source: DataFrame, derived: DataFrame) -> DataFrame:
     return wide.withColumn("nulls", F.coalesce("nulls", F.lit(0))).withColumn("equal", same)
 
 
-def csv_violations(lines: DataFrame, columns: int) -> DataFrame:
-    """(violation, n) of text lines (value): NUL, quote in bare text, text after a closing quote, open quote, wrong width."""
-    v = F.col("value")
-    cell = r'(?:"(?:[^"]|"")*"|[^",]*)'
-    closed = v.rlike(rf"\A{cell}(?:,{cell})*+\z")
-    width = F.size(F.regexp_extract_all(F.concat(F.lit(","), v), F.lit(rf",({cell})"), F.lit(0)))
-    odd = (F.length(v) - F.length(F.replace(v, F.lit('"'), F.lit("")))) % 2 == 1
-    kinds = {
-        "nul": v.contains("\x00"),
-        "embedded_newline": odd,
-        "text_after_quote": ~odd & v.rlike(r'(?:\A|,)"(?:[^"]|"")*"[^",]'),
-        "quote_in_bare_text": ~odd & v.rlike(r'(?:\A|,)[^",][^",]*"'),
-        "wrong_width": closed & (width != columns),
-    }
-    sums = lines.agg(*[F.count_if(c).alias(n) for n, c in kinds.items()])
-    return sums.select(F.explode(F.array(*[F.struct(F.lit(n).alias("violation"), F.col(n).alias("n")) for n in kinds])).alias("x")).select("x.*")
-
-
 def batch_id(feed: Column, dataset: Column, observed_at: Column, object_key: Column, object_sha256: Column) -> Column:
     return length_prefixed_id(feed, dataset, observed_at, object_key, object_sha256)
 
