@@ -7,11 +7,12 @@ from datetime import date, timedelta
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators.features import cohort_months
+from tidemark.sources.staging import staged
 
 QUANTILE, CONFIDENCE, COHORTS, GRACE_MONTHS = 0.995, 0.95, 12, 9
 INCIDENT = ("usdot_number", "report_state", "report_number", "event_date", "report_time")
@@ -37,23 +38,27 @@ def first_incidents(versions: DataFrame, data_as_of: date) -> DataFrame:
     among those the least (reported_date, source_record_key).
     """
     known = known_by(versions, data_as_of).where("event_date is not null")
-    if known.where("reported_date < event_date").limit(1).count():
-        raise ValueError("a report is dated before its event")
-    content = F.struct(*INCIDENT, "reported_date", "federal_recordable", "is_deleted")
-    first = known.groupBy("source_record_key").agg(F.min("knowledge_valid_from").alias("first_known"))
-    own = known.join(first, "source_record_key").where("knowledge_valid_from = first_known")
-    ties = own.groupBy("source_record_key").agg(F.countDistinct(content).alias("n")).where("n > 1")
-    if ties.limit(1).count():
-        raise ValueError("two first versions of a source key differ")
-    own = own.dropDuplicates(["source_record_key"]).where(F.col("usdot_number").isNotNull())
+    content = (*INCIDENT, "reported_date", "federal_recordable", "is_deleted")
+    # the least and the greatest content at the earliest time: two that differ are a conflict
+    early = -F.unix_micros("knowledge_valid_from")
+    both = known.groupBy("source_record_key").agg(
+        F.min(F.struct("knowledge_valid_from", *content)).alias("first"), F.max(F.struct(early.alias("early"), *content)).alias("other"),
+        F.max(F.col("reported_date") < F.col("event_date")).alias("backwards"),
+    )
+    clash = ~F.struct(*[F.col("first")[c] for c in content]).eqNullSafe(F.struct(*[F.col("other")[c] for c in content]))
+    own = staged(both.select("source_record_key", "first.*", "backwards", clash.alias("clash")))
     whole = F.col("usdot_number").rlike(r"\A[1-9][0-9]*\z")
     for c in ("report_state", "report_number", "report_time"):
         whole = whole & (F.coalesce(F.col(c).cast("string"), F.lit("")) != "")
-    if own.where(~whole).limit(1).count():
-        raise ValueError("an incident lacks a part of its identity, or its carrier number is not canonical")
+    broken = own.agg(F.max("backwards"), F.max("clash"), F.max(F.col("usdot_number").isNotNull() & ~whole)).first()
+    for found, what in zip(broken, ("a report is dated before its event", "two first versions of a source key differ", "an incident lacks a part of its identity, or its carrier number is not canonical"), strict=True):
+        if found:
+            raise ValueError(what)
     rank = F.when(F.col("federal_recordable") & ~F.col("is_deleted"), 0).when(~F.col("is_deleted"), 1).otherwise(2)
-    order = W.partitionBy(*INCIDENT).orderBy("knowledge_valid_from", rank, "reported_date", "source_record_key")
-    return own.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n", "first_known")
+    rest = ("federal_recordable", "is_deleted")
+    best = F.min(F.struct("knowledge_valid_from", rank.alias("rank"), "reported_date", "source_record_key", *rest)).alias("best")
+    chosen = own.where("usdot_number is not null").groupBy(*INCIDENT).agg(best)
+    return chosen.select("best.source_record_key", *INCIDENT, "best.reported_date", "best.knowledge_valid_from", *[f"best.{c}" for c in rest])
 
 
 def cohort_lags(incidents: DataFrame, data_as_of: date) -> DataFrame:
@@ -72,6 +77,70 @@ def cohort_quantiles(histogram: DataFrame) -> DataFrame:
     )
 
 
+def order_bounds(histogram: DataFrame) -> DataFrame:
+    """event_month, incident_count, low_95_days, high_95_days: between which a drawn bound (`maturity_bound`) lies, without draws.
+
+    Of n lags drawn with replacement, the k-th is at most v if at least k of them are: a binomial tail with F(v), the share of
+    lags up to v. The drawn quantile lies between two neighbouring ranks, so its 95th percentile lies between theirs. A tail has
+    n - k terms, half a percent of n; they are summed as logarithms.
+    """
+    month = W.partitionBy("event_month")  # a histogram: some thousand lags
+    h = histogram.withColumn("upto", F.sum("n").over(month.orderBy("lag_days"))).withColumn("size", F.sum("n").over(month))
+    p = F.col("upto") / F.col("size")
+    place = (F.col("size") - 1) * QUANTILE
+
+    def reached(k: Column) -> Column:
+        start, odds, n = F.col("size") * F.log(p), F.log((1 - p) / p), F.col("size")
+
+        def add(a: Column, m: Column) -> Column:
+            term = a["term"] + F.log((n - m + 1) / m) + odds
+            total = F.greatest(a["total"], term) + F.log1p(F.exp(-F.abs(a["total"] - term)))
+            return F.struct(term.alias("term"), total.alias("total"))
+
+        missing = n - k
+        terms = F.when(missing > 0, F.sequence(F.lit(1).cast("bigint"), missing)).otherwise(F.array().cast("array<bigint>"))
+        tail = F.aggregate(terms, F.struct(start.alias("term"), start.alias("total")), add, lambda a: F.exp(a["total"]))
+        return F.when(F.col("upto") == n, F.lit(1.0)).otherwise(tail) >= CONFIDENCE
+
+    ranks = {"low_95_days": F.floor(place) + 1, "high_95_days": F.ceil(place) + 1}
+    h = h.select("event_month", "size", "lag_days", *[F.when(reached(k), F.col("lag_days")).alias(name) for name, k in ranks.items()])
+    return h.groupBy("event_month").agg(F.max("size").alias("incident_count"), *[F.min(name).alias(name) for name in ranks])
+
+
+def policy_rows(measurements: DataFrame) -> DataFrame:
+    """The policy after each measurement (data_as_of, measured_grace_days or null, reviewed_decrease), one after the other.
+
+    Adds version, previous_version, grace_days, status, is_current. A measurement that is incomplete leaves the former
+    grace in force; so does a decrease, until one is reviewed. One row a measurement, a few a year.
+    """
+    made = F.array_sort(F.collect_list(F.struct("data_as_of", "measured_grace_days", "reviewed_decrease"))).alias("all")
+    kind = "array<struct<data_as_of:date,measured_grace_days:int,reviewed_decrease:boolean,grace_days:int,status:string,before:date>>"
+
+    def fold(done: Column, x: Column) -> Column:
+        last = F.element_at(done, -1)
+        grace = F.when(F.size(done) > 0, last["grace_days"])
+        m = x["measured_grace_days"]
+        held = F.coalesce((m < grace) & ~x["reviewed_decrease"], F.lit(False))
+        status = F.when(m.isNull(), "incomplete").when(held, "decrease_pending_review").otherwise("measured")
+        now = F.when(m.isNull() | held, grace).otherwise(m)
+        row = F.struct(x["data_as_of"], m, x["reviewed_decrease"], now.alias("grace_days"), status.alias("status"), F.when(F.size(done) > 0, last["data_as_of"]).alias("before"))
+        return F.concat(done, F.array(row).cast(kind))
+
+    cast = measurements.select("data_as_of", F.col("measured_grace_days").cast("int").alias("measured_grace_days"), "reviewed_decrease")
+    rows = cast.agg(made).select(F.explode(F.aggregate("all", F.array().cast(kind), fold)).alias("r"), F.element_at("all", -1)["data_as_of"].alias("newest"))
+    name = lambda d: F.concat(F.lit("maturity-"), F.date_format(d, "yyyy-MM-dd"))
+    return rows.select(
+        name("r.data_as_of").alias("version"), F.when(F.col("r.before").isNotNull(), name("r.before")).alias("previous_version"), "r.data_as_of",
+        "r.measured_grace_days", "r.grace_days", "r.status", "r.reviewed_decrease", (F.col("r.data_as_of") == F.col("newest")).alias("is_current"),
+    )
+
+
+def measured_grace(bounds: DataFrame, upper: str) -> DataFrame:
+    """data_as_of, measured_grace_days of bounds (data_as_of, event_month, ...): the largest in whole days, null unless all cohorts are there."""
+    top = F.when(F.count(upper) == COHORTS, F.ceil(F.max(upper))).cast("int")
+    return bounds.groupBy("data_as_of").agg(top.alias("measured_grace_days"))
+
+
 def _replicate(seed: int, replicates: int, chunk: int):
     """Bootstrap quantiles of one cohort: each replicate is a multinomial draw over the lag histogram."""
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import parse
+from tidemark.operators.sketch import quantiles, sketch
+from tidemark.sources.staging import staged
 
 
 def select_snapshots(rows: DataFrame, selected: DataFrame) -> DataFrame:
@@ -27,21 +29,29 @@ def lags(rows: DataFrame) -> DataFrame:
 QUANTILES = (0.50, 0.90, 0.95, 0.99, 0.995)
 
 
+def lag_counts(rows: DataFrame) -> DataFrame:
+    """feed, acquisition_date, lag_days, n: a snapshot's lags in a few thousand rows, whatever its size."""
+    return lags(rows).groupBy("feed", "acquisition_date", "lag_days").agg(F.count("*").alias("n"))
+
+
 def lag_profile(rows: DataFrame, manifests: DataFrame, exact: bool = False) -> DataFrame:
     """For each snapshot and lag bucket: the bucket's rows and fraction beside the snapshot's summary.
 
-    manifests: feed, acquisition_date, manifest_observed_at, manifest_row_count. Percentiles are
-    approximate (a bounded sketch) unless `exact`, which sorts the distinct lags.
+    manifests: feed, acquisition_date, manifest_observed_at, manifest_row_count. The rows are read once, into counts
+    by lag. Percentiles are those of a sketch (`operators/sketch.py` gives the bound) unless `exact`.
     """
-    at = lags(rows)
-    listed = F.array(*[F.lit(q) for q in QUANTILES])
-    p = F.percentile("lag_days", listed) if exact else F.approx_percentile("lag_days", listed, 10000)
-    summary = at.groupBy("feed", "acquisition_date").agg(
-        F.count("*").alias("lag_sample_size"), F.min("lag_days").alias("minimum_lag_days"), F.max("lag_days").alias("maximum_lag_days"), p.alias("p")
-    )
-    histogram = at.groupBy("feed", "acquisition_date", parse.lag_bucket(F.col("lag_days")).alias("lag_bucket")).agg(F.count("*").alias("lag_bucket_row_count"))
+    on = ["feed", "acquisition_date"]
+    at = staged(lag_counts(rows))
+    summary = at.groupBy(*on).agg(
+        F.sum("n").alias("lag_sample_size"), F.min("lag_days").alias("minimum_lag_days"), F.max("lag_days").alias("maximum_lag_days"),
+        F.percentile("lag_days", F.array(*[F.lit(q) for q in QUANTILES]), F.col("n")).alias("p"),
+    )
+    if not exact:
+        found = quantiles(sketch(at, on, "lag_days", weight="n"), on, QUANTILES)
+        summary = summary.drop("p").join(F.broadcast(found.drop("n")), on)
+    histogram = at.groupBy(*on, parse.lag_bucket(F.col("lag_days")).alias("lag_bucket")).agg(F.sum("n").alias("lag_bucket_row_count"))
     # summaries are one row a snapshot
-    wide = histogram.join(F.broadcast(summary), ["feed", "acquisition_date"]).join(F.broadcast(manifests), ["feed", "acquisition_date"])
+    wide = histogram.join(F.broadcast(summary), on).join(F.broadcast(manifests), on)
     names = ("p50_lag_days", "p90_lag_days", "p95_lag_days", "p99_lag_days", "p995_lag_days")
     return wide.select(
         "feed", "acquisition_date", "manifest_observed_at", "manifest_row_count", F.lit("source_proxy").alias("availability_quality"),

@@ -6,10 +6,11 @@ import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions import keys, parse
-from tidemark.operators import checks, clean, dataset, evaluate, features, history, incidents, maturity, profile, train
+from tidemark.operators import checks, clean, dataset, evaluate, features, history, incidents, maturity, profile, sketch, train
 from tidemark.operators.stored import StoredHistory
 from tidemark.sources import files, records, tables
 from tidemark.sources.staging import shared_dir, staged
@@ -170,6 +171,26 @@ def report_lag_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.lag_profile(snapshot_rows(spark, sf_dir), snapshot_manifests(spark).drop("batch_id"))
 
 
+def lag_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of each feed's lags over all snapshots from stored sketches, beside the exact values.
+
+    The sketches are made in two runs: the second finds those of the first and reads the new snapshots alone.
+    """
+    folder = tables.snapshots(spark, sf_dir)
+    store = sketch.SketchStore(spark, f"{shared_dir(spark)}/sketches-{uuid.uuid4().hex}")
+    selected = snapshot_manifests(spark).select("feed", "acquisition_date")
+    for wave in (selected.where("acquisition_date < '2001-01-01'"), selected):
+        store.add(wave, lambda chosen: profile.lag_counts(selected_rows(spark, folder, chosen)), "lag_days", "n")
+    listed = F.arrays_zip(F.array(*[F.lit(q) for q in profile.QUANTILES]).alias("quantile"), F.col("p").alias("estimate"))
+    found = sketch.quantiles(store.read(), ["feed"], profile.QUANTILES).select("feed", F.col("n").alias("n_rows"), F.inline(listed))
+    counts = profile.lag_counts(snapshot_rows(spark, sf_dir))
+    ranks = W.partitionBy("feed")
+    told = counts.groupBy("feed", "lag_days").agg(F.sum("n").alias("n")).withColumn("upto", F.sum("n").over(ranks.orderBy("lag_days")))
+    true = found.join(told, "feed").where(F.col("upto") >= F.ceil(F.col("quantile") * F.col("n_rows"))).groupBy("feed", "n_rows", "quantile", "estimate").agg(F.min("lag_days").alias("exact"))
+    near = F.abs(F.col("estimate") - F.col("exact")) <= F.col("exact") / 2**sketch.BITS
+    return true.withColumn("within", near)
+
+
 def lag_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lags between order and shipping, dense over the ten buckets."""
     o, li = tables.table(spark, sf_dir, "orders"), tables.table(spark, sf_dir, "lineitem")
@@ -341,6 +362,43 @@ def maturity_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maturity.maturity_bound(_histogram(spark, sf_dir))
 
 
+def maturity_order_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maturity.order_bounds(_histogram(spark, sf_dir))
+
+
+#: (day, days by which reports come later than in the tables, whether a decrease was reviewed) of successive measurements.
+MEASURED = [
+    (date(1996, 1, 10), 0, False), (date(1999, 6, 5), 20, False), (date(2000, 3, 5), 0, False), (date(2000, 9, 5), 0, True), (date(2001, 3, 5), 10, False), (date(2001, 9, 5), 0, False),
+]
+
+
+def maturity_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The policy after each of several measurements: first incidents, cohorts, bound, and what the policy makes of it."""
+    v, found = staged(vehicles(spark, sf_dir)), None
+    for day, late, _ in MEASURED:
+        told = v.withColumns({"reported_date": F.date_add("reported_date", late), "knowledge_valid_from": F.col("knowledge_valid_from") + F.expr(f"interval {late} days")})
+        bounds = maturity.order_bounds(maturity.cohort_lags(maturity.first_incidents(told, day), day)).select(F.lit(day).alias("data_as_of"), "high_95_days")
+        found = bounds if found is None else found.unionByName(bounds)
+    reviewed = spark.createDataFrame([(d, r) for d, _, r in MEASURED], "data_as_of date, reviewed_decrease boolean")
+    grace = reviewed.join(maturity.measured_grace(found, "high_95_days"), "data_as_of", "left")
+    return maturity.policy_rows(grace)
+
+
+def maturity_policy_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Succession rules over the policy's rows, and over a copy that breaks each of them."""
+    rows = staged(maturity_policy(spark, sf_dir))
+    first = F.col("previous_version").isNull()
+    spoiled = rows.withColumns(
+        {
+            "is_current": F.lit(True), "previous_version": F.when(first, F.lit("none")).otherwise(F.col("previous_version")),
+            "data_as_of": F.when(F.col("is_current"), F.lit(date(1990, 1, 1))).otherwise(F.col("data_as_of")),
+            "grace_days": F.when(F.col("is_current"), 1).otherwise(F.col("grace_days")),
+        }
+    )
+    told = lambda df, name: maturity.registry_violations(df).select(F.lit(name).alias("registry"), "rule", "violations")
+    return told(rows, "policy").unionByName(told(spoiled, "spoiled"))
+
+
 #: What features, labels and provenance need of a version.
 NEEDED = (
     "feed_name", "source_record_key", "event_version_key", "usdot_number", "event_date", "reported_date", "report_state", "state", "report_number", "report_time",
@@ -506,6 +564,19 @@ def batch_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train.batch_decisions(found, e, train.request_dates(carriers, date(2001, 3, 11)))
 
 
+#: Days on which every carrier is asked for.
+REQUESTED = [date(2000, 8, 15), date(2000, 12, 31), date(2001, 3, 1), date(2001, 6, 30)]
+
+
+def batch_decisions_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every carrier's decision on several days."""
+    e = staged(events_union(spark, sf_dir))
+    found = features.training_features(e, features.month_grid(batches(spark)))
+    carriers = tables.table(spark, sf_dir, "orders").select((F.col("o_custkey") + 1).cast("string").alias("usdot_number")).distinct()
+    asked = carriers.withColumn("request_date", F.explode(F.array(*[F.lit(d) for d in REQUESTED])))
+    return train.batch_decisions(found, e, asked)
+
+
 def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every carrier's decision on a day with a score where there is one; the score is a plain function of the features."""
     e = staged(events_union(spark, sf_dir))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.plans import jobs
 from tidemark.plans.sql import ctes
 from tidemark.plans.sql_checks import CHECKS
+from tidemark.plans.sql_measured import MEASURED
 from tidemark.plans.sql_more import MORE
 
 _NAMES = (
@@ -18,7 +19,7 @@ _NAMES = (
     "cohort_lag_quantiles maturity_bound labels purged_split availability_mix population_diff dataset_fingerprint average_precision "
     "model_comparison f1_threshold confusion boosted_scores batch_decisions history_violations publication_violations contract_violations replay_identity "
     "source_events features_recomputed encoding_violations landmark_violations inspection_identity boosted_holdout rate_holdout batch_scores "
-    "incremental_history incremental_expiries arrived_history arrived_rows backfill_counts applied_batches maturity_exclusions provenance event_rejects csv_audit csv_records derived_reconciliation"
+    "incremental_history incremental_expiries arrived_history arrived_rows backfill_counts applied_batches maturity_exclusions provenance event_rejects csv_audit csv_records lag_sketches maturity_order_bounds maturity_policy maturity_policy_violations batch_decisions_dates derived_reconciliation"
 ).split()
 _RENAMED = {"event_versions": jobs.versions}
 
@@ -69,4 +70,4 @@ FROM incidents WHERE is_current AND NOT is_deleted""",
     "scoring_grid": """SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH))::DATE
 AS scoring_date FROM orders""",
     "features_6m_24m": ctes("features") + "SELECT * REPLACE (violations_per_inspection::DOUBLE AS violations_per_inspection, oos_violation_rate::DOUBLE AS oos_violation_rate) FROM features",
-} | MORE | CHECKS
+} | MORE | CHECKS | MEASURED
