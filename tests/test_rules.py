@@ -155,9 +155,10 @@ def test_values_that_differ_and_catalog_lines(spark, tmp_path):
     for rows in ([("x", "1"), ("", "22")], [("x", "1"), ("x", "1"), ("2", "2")], [("x", "1"), ("x", "1"), (None, "22")], [("1", "x"), ("x", "1"), ("", "22")]):
         assert not same(spark.createDataFrame(rows, "p string, q string"))
     m = spark.createDataFrame([("b1", "crashes", "2030-01-02T00:00:00Z", "s", "f", 5, "2030-01-02")], "batch_id string, feed_name string, observed_at string, object_sha256 string, schema_fingerprint string, row_count bigint, acquisition_date string")
-    files.catalog_rows(m, str(tmp_path / "catalog"), derived=True, converter_version="3")
+    told = spark.createDataFrame([("b1", 5, "v")], "batch_id string, derived_rows bigint, value_fingerprint string")
+    files.catalog_rows(m, str(tmp_path / "catalog"), told, converter_version="3")
     line = spark.read.json(str(tmp_path / "catalog")).first()
-    assert (line["batch_id"], line["row_count"], line["feed"], line["converter_version"]) == ("b1", 5, "crashes", "3")
+    assert (line["batch_id"], line["row_count"], line["feed"], line["converter_version"], line["value_fingerprint"]) == ("b1", 5, "crashes", "3", "v")
     path = files.write_once(a, str(tmp_path / "once"))
     a.limit(1).write.mode("overwrite").parquet(path)
     with pytest.raises(ValueError, match="other rows"):

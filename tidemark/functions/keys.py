@@ -88,9 +88,14 @@ def fingerprint(df: DataFrame) -> DataFrame:
     Four 60-bit slices of each row's sha256 are summed exactly, so equal multisets agree and a changed,
     lost or doubled row shows.
     """
-    d = df.select(row_digest(df).alias("d"))
+    return fingerprint_by(df, [])
+
+
+def fingerprint_by(df: DataFrame, by: list[str]) -> DataFrame:
+    """The fingerprint of each group's rows: by, n_rows, fingerprint."""
+    d = df.select(*by, row_digest(df).alias("d"))
     sums = [
         F.sum(F.conv(F.substring("d", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")).cast("decimal(38,0)").alias(f"s{i}") for i in range(4)
     ]
-    folded = d.agg(F.count("*").alias("n_rows"), *sums)
-    return folded.select("n_rows", F.sha2(F.concat_ws(",", "n_rows", *[F.coalesce(f"s{i}", F.lit(0)) for i in range(4)]), 256).alias("fingerprint"))
+    folded = d.groupBy(*by).agg(F.count("*").alias("n_rows"), *sums)
+    return folded.select(*by, "n_rows", F.sha2(F.concat_ws(",", "n_rows", *[F.coalesce(f"s{i}", F.lit(0)) for i in range(4)]), 256).alias("fingerprint"))

@@ -209,6 +209,21 @@ def training_eligibility(found: dict | None, data_as_of: date, label_window_end:
     return "eligible"
 
 
+def window_eligibility(rows: DataFrame) -> DataFrame:
+    """rows (status, grace_days, data_as_of, label_window_end, ...) with reason: `training_eligibility` of each, as a column."""
+    grace, end = F.col("grace_days"), F.col("label_window_end")
+    known = F.col("status").isin("measured", "incomplete", "decrease_pending_review")
+    reason = (
+        F.when(F.col("status").isNull(), "maturity_unmeasured")
+        .when(~known, "maturity_invalid")
+        .when((F.col("status") == "incomplete") | grace.isNull(), "maturity_incomplete")
+        .when(grace > F.datediff(F.add_months(end, GRACE_MONTHS), end), "grace_exceeds_nine_calendar_months")
+        .when(F.date_add(end, grace) > F.col("data_as_of"), "labels_not_mature")
+        .otherwise("eligible")
+    )
+    return rows.withColumn("reason", reason)
+
+
 def watermark_violations(cohorts: DataFrame, grace_days: int | None, measured: int | None, status: str) -> DataFrame:
     """(rule, violations) of a stored measurement: twelve contiguous months, grace = ceil(max), consistent status."""
     order = W.orderBy("event_month")  # twelve rows

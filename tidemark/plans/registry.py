@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import jobs
+from tidemark.plans import jobs, jobs_more
 from tidemark.plans.sql import ctes
 from tidemark.plans.sql_checks import CHECKS
 from tidemark.plans.sql_measured import MEASURED
 from tidemark.plans.sql_more import MORE
+from tidemark.plans.sql_spoiled import SPOILED
 
 _NAMES = (
     "parse_scalars incident_keys clean_inspections clean_crashes quarantine exclusion_counts event_versions retention_expiries events_union "
@@ -25,6 +26,7 @@ _RENAMED = {"event_versions": jobs.versions}
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {n: _RENAMED.get(n) or getattr(jobs, n) for n in _NAMES}
 QUERIES["change_candidates"] = jobs.candidates
+QUERIES |= {n: getattr(jobs_more, n) for n in jobs_more.NAMES}
 
 _VERSION_COLUMNS = """feed_name, source_record_key, event_date, reported_date, knowledge_valid_from, knowledge_valid_to, availability_quality,
 first_observed_at, is_deleted, deletion_reason, is_current, first_seen AS first_seen_batch_id, last_seen AS last_seen_batch_id, event_type, usdot_number,
@@ -70,4 +72,4 @@ FROM incidents WHERE is_current AND NOT is_deleted""",
     "scoring_grid": """SELECT unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)), INTERVAL 1 MONTH))::DATE
 AS scoring_date FROM orders""",
     "features_6m_24m": ctes("features") + "SELECT * REPLACE (violations_per_inspection::DOUBLE AS violations_per_inspection, oos_violation_rate::DOUBLE AS oos_violation_rate) FROM features",
-} | MORE | CHECKS | MEASURED
+} | MORE | CHECKS | MEASURED | SPOILED

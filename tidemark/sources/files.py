@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import fingerprint, length_prefixed_id
-from tidemark.sources import records
+from tidemark.sources import published, records
+from tidemark.sources.staging import staged
 
 ROW = "source_row_number"
 
@@ -38,10 +39,13 @@ def read_contract_csv(spark: SparkSession, path: str, columns: list[str], empty_
 
 
 def derive_parquet(spark: SparkSession, csv_path: str, out: str, columns: list[str]) -> DataFrame:
-    """Writes required-text Parquet and returns one row of both sides' counts and fingerprints; unequal sides are an error."""
-    source = read_contract_csv(spark, csv_path, columns, empty_as_null=False).drop(ROW)
-    source.write.mode("errorifexists").parquet(out)
-    result = reconcile_values(source, spark.read.parquet(out))
+    """Publishes required-text Parquet below `out` and returns one row of both sides' counts and fingerprints.
+
+    Unequal sides are an error and publish nothing; so are other rows under a name that is taken.
+    """
+    source = staged(read_contract_csv(spark, csv_path, columns, empty_as_null=False).drop(ROW))
+    derived = published.publish(source, out, "derived")
+    result = reconcile_values(source, spark.read.parquet(derived))
     if not result.first()["equal"]:
         raise ValueError("derived Parquet does not hold the source's values")
     return result
@@ -165,24 +169,13 @@ def source_events(inspections: DataFrame, crashes: DataFrame, windows: dict[str,
 
 
 def write_once(df: DataFrame, folder: str) -> str:
-    """Writes df below its fingerprint. The same content again is no write; the path of other content is an error by itself."""
-    spark = df.sparkSession
-    found = fingerprint(df).first()["fingerprint"]
-    path = f"{folder.rstrip('/')}/fingerprint={found}"
-    try:
-        stored = spark.read.schema(df.schema).parquet(path)
-        if fingerprint(stored).first()["fingerprint"] != found:
-            raise ValueError(f"{path} holds other rows than its name says")
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        df.write.mode("errorifexists").parquet(path)
-    return path
-
-
-def catalog_rows(manifests: DataFrame, out: str, derived: bool = False, converter_version: str = "1") -> None:
-    """One JSON line a snapshot, by feed and acquisition date."""
+    """Publishes df below its fingerprint. The same content again is no write."""
+    return published.publish(df, folder)
+
+
+def catalog_rows(manifests: DataFrame, out: str, derived: DataFrame | None = None, converter_version: str = "1") -> None:
+    """One JSON line a snapshot, by feed and acquisition date. derived: batch_id, derived_rows, value_fingerprint of the derived files."""
     df = manifests.select("batch_id", "feed_name", "observed_at", "object_sha256", "schema_fingerprint", "row_count", F.col("feed_name").alias("feed"), "acquisition_date")
-    if derived:
-        df = df.withColumn("converter_version", F.lit(converter_version))
+    if derived is not None:
+        df = df.join(derived.select("batch_id", "derived_rows", "value_fingerprint"), "batch_id", "left").withColumn("converter_version", F.lit(converter_version))
     df.write.mode("overwrite").partitionBy("feed", "acquisition_date").json(out)
