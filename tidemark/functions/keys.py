@@ -10,7 +10,7 @@ UNIT = "\x1f"
 
 def incident_key(usdot: Column, state: Column, number: Column, day: Column, time: Column) -> Column:
     """Identity of an incident; the vehicle's place in it is no part."""
-    return F.md5(F.concat_ws(UNIT, usdot, state, number, F.date_format(day, "yyyy-MM-dd"), time.cast("string")))
+    return F.md5(F.concat_ws(UNIT, usdot, state, number, day.cast("date").cast("string"), time.cast("string")))
 
 
 def json_text(value: Column) -> Column:
@@ -35,7 +35,7 @@ def json_array(*pieces: Column) -> Column:
 def fallback_key(state: Column, number: Column, day: Column, time: Column, sequence: Column) -> Column:
     """Key of a row without an id of its own: the hex of its five parts as a JSON array."""
     parts = json_array(
-        json_text(state), json_text(number), json_text(F.date_format(day, "yyyy-MM-dd")), time.cast("string"), sequence.cast("string")
+        json_text(state), json_text(number), quoted(day.cast("date").cast("string")), time.cast("string"), sequence.cast("string")
     )
     return F.concat(F.lit("fallback:"), F.lower(F.hex(F.encode(parts, "UTF-8"))))
 
@@ -49,7 +49,7 @@ def payload_hash(*values: tuple[Column, str]) -> Column:
         if kind == "date":
             return quoted(value.cast("date").cast("string"))
         if kind == "timestamp":
-            return quoted(F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss"))
+            return quoted(F.translate(value.cast("timestamp_ntz").cast("string"), " ", "T"))
         if kind == "texts":
             return F.concat(F.lit("["), F.array_join(F.transform(value, json_text), ", "), F.lit("]"))
         return value.cast("string")

@@ -18,33 +18,49 @@ def _trimmed(s: Column) -> Column:
     return F.btrim(s, F.lit(" "))
 
 
+def _digits(t: Column) -> Column:
+    """Whether there are digits and nothing else; costs less than a pattern."""
+    return (t != "") & (F.translate(t, "0123456789", "") == "")
+
+
+def _day(t: Column) -> Column:
+    """YYYYMMDD at the start of a text as a date's usual form."""
+    return F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2))
+
+
 def source_date(s: Column) -> Column:
     """YYYYMMDD of a real calendar day in years 1 to 9999."""
-    return F.try_to_date(F.regexp_extract(_trimmed(s), r"\A((?!0000)[0-9]{8})\z", 1), "yyyyMMdd")
+    t = _trimmed(s)
+    return F.when((F.length(t) == 8) & _digits(t) & (F.substring(t, 1, 4) != "0000"), _day(t).try_cast("date"))
 
 
 def source_timestamp(s: Column) -> Column:
     """YYYYMMDD HHMM, hours 0 to 23 and minutes 0 to 59, without a time zone."""
-    shaped = F.regexp_extract(_trimmed(s), r"\A((?!0000)[0-9]{8} (?:[01][0-9]|2[0-3])[0-5][0-9])\z", 1)
-    return F.try_to_timestamp(shaped, F.lit("yyyyMMdd HHmm")).cast("timestamp_ntz")
+    t = _trimmed(s)
+    shaped = (F.length(t) == 13) & (F.substring(t, 9, 1) == " ") & (F.translate(t, "0123456789", "") == " ") & (F.substring(t, 1, 4) != "0000")
+    at = F.concat(_day(t), F.lit(" "), F.substring(t, 10, 2), F.lit(":"), F.substring(t, 12, 2), F.lit(":00"))
+    return F.when(shaped, at.try_cast("timestamp_ntz"))
 
 
 def _number(s: Column, digits: int) -> Column:
     """Digits with an optional plus and zero decimals, leading zeros aside at most `digits` of them."""
-    found = F.regexp_extract(_trimmed(s), rf"\A[+]?0*([0-9]{{1,{digits}}})(?:[.]0+)?\z", 1)
-    return found.try_cast("decimal(38,0)")
+    t = _trimmed(s)
+    found = F.regexp_extract(t, rf"\A[+]?0*([0-9]{{1,{digits}}})(?:[.]0+)?\z", 1)
+    # plain digits, as most are, need no pattern
+    plain = _digits(t) & (F.length(t) <= min(digits, 18))
+    return F.when(plain, t.cast("bigint").cast("decimal(20,0)")).otherwise(found.try_cast("decimal(20,0)"))
 
 
 def nonnegative_integer(s: Column, maximum: int = INT_MAX) -> Column:
     """A number of at most `maximum`, as a bigint."""
     n = _number(s, len(str(maximum)))
-    return F.when(n <= F.lit(maximum).cast("decimal(38,0)"), n.cast("bigint"))
+    return F.when(n <= F.lit(maximum).cast("decimal(20,0)"), n.cast("bigint"))
 
 
 def positive_id(s: Column) -> Column:
     """A bigint above zero, spelled without sign, zeros or decimals."""
     n = _number(s, len(str(BIGINT_MAX)))
-    return F.when((n > 0) & (n <= F.lit(BIGINT_MAX).cast("decimal(38,0)")), n.cast("string"))
+    return F.when((n > 0) & (n <= F.lit(BIGINT_MAX).cast("decimal(20,0)")), n.cast("string"))
 
 
 def report_time(s: Column) -> Column:

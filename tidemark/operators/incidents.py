@@ -48,18 +48,29 @@ def crash_incidents(versions: DataFrame) -> DataFrame:
     Boundaries and vehicles meet within one incident key, so the range join is as wide as the
     incident has vehicle versions.
     """
-    v = crashes(versions)
+    return segments(crashes(versions))
+
+
+#: What segments need of a vehicle version (`crashes`).
+VEHICLE = (
+    "carrier_crash_key", "usdot_number", "state", "report_number", "report_time", "event_key", "event_version_key", "event_date", "reported_date", "fatalities",
+    "injuries", "tow_away", "is_deleted", "deletion_reason", "source_record_key", "record_hash", "knowledge_valid_from", "knowledge_valid_to",
+)
+
+
+def segments(v: DataFrame) -> DataFrame:
+    """`crash_incidents` of vehicle versions (VEHICLE)."""
     edges = (
         v.select("carrier_crash_key", F.explode(F.array("knowledge_valid_from", "knowledge_valid_to")).alias("at"))
         .where("at is not null")
         .distinct()
     )
     order = W.partitionBy("carrier_crash_key").orderBy("at")
-    segments = edges.select(F.col("carrier_crash_key").alias("k"), F.col("at").alias("seg_from"), F.lead("at").over(order).alias("seg_to"))
+    stretches = edges.select(F.col("carrier_crash_key").alias("k"), F.col("at").alias("seg_from"), F.lead("at").over(order).alias("seg_to"))
     covers = (F.col("knowledge_valid_from") <= F.col("seg_from")) & (
         F.col("knowledge_valid_to").isNull() | (F.col("knowledge_valid_to") > F.col("seg_from"))
     )
-    active = segments.join(v, (F.col("k") == F.col("carrier_crash_key")) & covers)
+    active = stretches.join(v, (F.col("k") == F.col("carrier_crash_key")) & covers)
     living = lambda c: F.when(~F.col("is_deleted"), F.col(c))
     grouped = active.groupBy("carrier_crash_key", "usdot_number", "state", "report_number", "report_time", "seg_from", "seg_to").agg(
         F.min("event_key").alias("event_key"),

@@ -54,7 +54,8 @@ def events_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def incident_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return incidents.crash_incidents(staged(versions(spark, sf_dir)))
+    made = staged(incidents.crashes(versions(spark, sf_dir)).select(*incidents.VEHICLE))
+    return incidents.segments(made)
 
 
 def current_events(spark: SparkSession, sf_dir: str) -> DataFrame:
