@@ -44,8 +44,3 @@ def test_case_of_other_letters_and_spaces_counts(spark):
     df = spark.createDataFrame(rows, "doc_id int, text string")
     got = {r["row"]["doc_id"]: (r["keep_id"], r["kept"]) for r in mark_copies(df, "largest").collect()}
     assert got == {1: (3, False), 2: (2, True), 3: (3, True), 4: (4, True), 5: (6, False), 6: (6, True)}
-
-
-def test_texts_are_shuffled_once(spark, docs):
-    df = mark_copies(docs.select("doc_id", "text"), "largest", ["doc_id"])
-    assert Counter(x for x in df.columns) == Counter(["row", "keep_id", "group_size", "kept", "text_sha256"])
