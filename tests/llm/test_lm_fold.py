@@ -66,6 +66,29 @@ def test_scores_equal_a_plain_model_however_texts_are_dealt(spark, monkeypatch):
         assert all(a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-5 for a, b in zip(got, want))
 
 
+def test_requests_do_not_grow_as_blocks_times_ranges(spark, monkeypatch):
+    """Four times the texts: four times the blocks and ranges, and at most some eight times the rows, at either level."""
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 300)
+    found = []
+    for n in (400, 1600):
+        dice = random.Random(n)
+        rows = [(i, " ".join(f"w{dice.randrange(5000)}" for _ in range(50))) for i in range(n)]
+        blocks = lm.staged(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2).mapInArrow(lm.pack, lm.BLOCK))
+        asked, ranges, count = lm.requested(blocks, 100)
+        up = asked.where("far >= 0").groupBy("far").count().agg({"count": "sum"}).first()[0]
+        crowd = asked.where("far >= 0").groupBy("far").count().agg({"count": "max"}).first()[0]
+        places = asked.where("far < 0").count()
+        blocks_n = sum(count.values())
+        groups = sum(math.isqrt(x) for x in count.values())
+        # a group's range may end within a range of the corpus, which then hears from it twice
+        assert crowd <= 2 * groups and up <= 4 * groups * (ranges + 1)
+        assert places <= 2 * blocks_n * (ranges / math.isqrt(count["a"]) + 1)
+        found.append((blocks_n, up + places, ranges))
+    (b0, r0, k0), (b1, r1, k1) = found
+    assert b1 / b0 > 3.5 and k1 / k0 > 3.5
+    assert r1 / r0 < 10
+
+
 def test_keys_travel_as_differences():
     dice = random.Random(1)
     for bits in (8, 40, 64):

@@ -10,9 +10,13 @@ Counts live in a shuffle, not in the driver or a broadcast. Texts are packed int
 megabytes and written to the shared folder; the texts of the fold are packed once more into
 blocks of their own. Each block asks for the counts of its distinct words and word pairs, once
 each, and sends its own counts along: keys are cut into ranges of their hash, sorted and sent as
-differences. A range is added up in one task and answered to the blocks that asked: the counts
-of all training texts to the blocks of texts, those without the fold to the blocks of the fold.
-A word in every text is one request a block; nothing gathers a word's occurrences. Words are
+differences. Requests are combined in two levels. About the square root of the blocks form a
+group, whose ranges are as much wider as it has fewer tokens than the corpus; a group's range is
+united in one task, which then asks once for what several blocks asked for. The ranges of the
+corpus are added up in one task each and answered to the groups: the counts of all training texts
+to groups of texts, those without the fold to groups of the fold. The groups' ranges hand them on
+by the places of each block's keys. Rows of either level number ranges times the square root of
+blocks, and no task sees more requests for a word than that root, be it in every text. Words are
 keyed by 80 bits, pairs by 56. Ranges grow in number with the input, not in size; a task holds
 one range or one block at a time, and the one text at hand whole.
 
@@ -23,6 +27,8 @@ an empty table gives an empty result; extra columns are ignored. doc_id is an in
 
 from __future__ import annotations
 
+import itertools
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -160,7 +166,7 @@ class Block:
         h = (h ^ (h >> U(32))) * U(0x94D049BB133111EB)
         self.key = {WORD: digest[:, 0], PAIR: (h ^ (h >> U(29))) >> U(64 - PAIR_BITS)}
         self.tail = {WORD: digest[:, 1].astype(np.uint16), PAIR: None}
-        self.order = {k: np.argsort(self.key[k], kind="stable") for k in (WORD, PAIR)}
+        self.order = {WORD: np.lexsort((self.tail[WORD], self.key[WORD])), PAIR: np.argsort(self.key[PAIR], kind="stable")}
 
     def counts(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
         """Of each word or pair: its count in the training texts without the fold, and in the fold. A block of the fold only asks."""
@@ -174,11 +180,16 @@ class Block:
     def ranges(self, kind: int, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
         """Ranges of the hash with the entries in them, both ascending."""
         order = self.order[kind]
-        key = self.key[kind][order]
-        top = (key >> U(32 if kind == WORD else PAIR_BITS - 32)) * U(ranges) >> U(32)
-        cuts = np.flatnonzero(np.concatenate(([True], top[1:] != top[:-1], [True])))
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            yield int(top[lo]), order[lo:hi]
+        for top, lo, hi in cut(kind, self.key[kind][order], ranges):
+            yield top, order[lo:hi]
+
+
+def cut(kind: int, key: np.ndarray, ranges: int) -> Iterator[tuple[int, int, int]]:
+    """Of ascending keys: the ranges of the hash that hold some, and where each begins and ends."""
+    top = (key >> U(32 if kind == WORD else PAIR_BITS - 32)) * U(ranges) >> U(32)
+    cuts = np.flatnonzero(np.concatenate(([True], top[1:] != top[:-1], [True])))
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        yield int(top[lo]), int(lo), int(hi)
 
 
 def rows_of(b: pa.RecordBatch) -> Iterator[dict]:
@@ -187,84 +198,145 @@ def rows_of(b: pa.RecordBatch) -> Iterator[dict]:
         yield {n: b.column(n)[i].as_py() for n in b.schema.names}
 
 
+def runs_of(batches: Iterator[pa.RecordBatch], *by: str) -> Iterator[list[dict]]:
+    """Neighbouring rows that are equal in `by`."""
+    rows = itertools.chain.from_iterable(map(rows_of, batches))
+    for _, run in itertools.groupby(rows, key=lambda r: tuple(r[c] for c in by)):
+        yield list(run)
+
+
 def batch_of(rows: list[tuple], names: list[str], kinds: tuple) -> pa.RecordBatch:
     return pa.record_batch([pa.array([r[j] for r in rows], k) for j, k in enumerate(kinds)], names)
 
 
-ASKED = "part bigint, block string, keys binary, tails binary, rest binary, fold binary"
+def batches_of(rows: Iterator[tuple], names: list[str], kinds: tuple, size: int = 50) -> Iterator[pa.RecordBatch]:
+    for some in itertools.batched(rows, size):
+        yield batch_of(some, names, kinds)
 
 
-def requests(ranges: int):
-    """Part 2 r + kind of the request goes to range r of the kind's hashes."""
-    names, kinds = ["part", "block", "keys", "tails", "rest", "fold"], (pa.int64(), pa.string(), *[pa.binary()] * 4)
+def grouping(blocks: int, tokens: int, keys_per_range: int) -> tuple[int, int]:
+    """Groups that so many blocks form, and ranges that a group's keys are cut into."""
+    groups = max(1, math.isqrt(blocks))
+    return groups, max(1, math.ceil(tokens / keys_per_range / groups))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for r in rows_of(b):
-                block, rows = Block(r["block"], r["ids"], r["texts"]), []
-                for kind in (WORD, PAIR):
-                    rest, fold = block.counts(kind)
-                    for top, at in block.ranges(kind, ranges):
-                        tails = block.tail[kind][at].tobytes() if kind == WORD else None
-                        told = (None, None) if block.is_fold else (squeeze(rest[at]), squeeze(fold[at]))
-                        rows.append((2 * top + kind, r["block"], differences(block.key[kind][at]), tails, *told))
-                        if len(rows) == 200:
-                            yield batch_of(rows, names, kinds)
-                            rows = []
-                if rows:
-                    yield batch_of(rows, names, kinds)
 
-    return run
+KEYS = ["keys", "tails", "rest", "fold"]
+ASKED = "group string, part bigint, block string, keys binary, tails binary, rest binary, fold binary"
+ASKED_KINDS = (pa.string(), pa.int64(), pa.string(), *[pa.binary()] * 4)
 
 
-ANSWER = "block string, part bigint, counts binary, tokens bigint, types bigint"
+def requests(shapes: dict[str, tuple[int, int]]):
+    """What each block asks of its group. Part 2 r + kind goes to range r of the kind's hashes; shapes: grouping of the
+    blocks of texts (a) and of the fold (f)."""
 
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for r in itertools.chain.from_iterable(map(rows_of, batches)):
+            name, block = r["block"], Block(r["block"], r["ids"], r["texts"])
+            groups, ranges = shapes[name[0]]
+            group = f"{name[0]}-{xxhash.xxh64_intdigest(name) % groups}"
+            for kind in (WORD, PAIR):
+                rest, fold = block.counts(kind)
+                for top, at in block.ranges(kind, ranges):
+                    tails = block.tail[kind][at].tobytes() if kind == WORD else None
+                    told = (None, None) if block.is_fold else (squeeze(rest[at]), squeeze(fold[at]))
+                    yield group, 2 * top + kind, name, differences(block.key[kind][at]), tails, *told
+
+    return lambda batches: batches_of(asked(batches), ["group", "part", "block", *KEYS], ASKED_KINDS)
 
-def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each request's counts in its own order; rows come sorted by part. A row without block holds the part's sums: of
-    all counts, and of those without the fold under the part's negative number."""
-    names, kinds = ["block", "part", "counts", "tokens", "types"], (pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
 
-    def settle(part: int, rows: list[dict]) -> Iterator[pa.RecordBatch]:
+class United:
+    """The distinct keys of several requests in ascending order, the places of each request's keys among them, and their sums."""
+
+    def __init__(self, kind: int, rows: list[dict]):
         key = [sums(r["keys"]) for r in rows]
-        size = np.array([len(x) for x in key])
+        at = np.cumsum([0] + [len(x) for x in key])
         key = np.concatenate(key)
-        if part % 2 == WORD:
+        self.tail = None
+        if kind == WORD:
             tail = np.concatenate([np.frombuffer(r["tails"], np.uint16) for r in rows])
             order = np.lexsort((tail, key))
-            new = np.concatenate(([True], (np.diff(key[order]) != 0) | (np.diff(tail[order].astype(np.int32)) != 0)))
+            key, tail = key[order], tail[order]
+            new = np.concatenate(([True], (key[1:] != key[:-1]) | (tail[1:] != tail[:-1])))
+            self.tail = tail[new]
         else:
             order = np.argsort(key, kind="stable")
-            new = np.concatenate(([True], np.diff(key[order]) != 0))
-        group = np.empty(len(order), np.int64)
-        group[order] = np.cumsum(new) - 1
-        del key, order
-        n, at = int(new.sum()), np.concatenate(([0], np.cumsum(size)))
-        rest, every = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        for r, lo, hi in zip(rows, at[:-1], at[1:]):
+            key = key[order]
+            new = np.concatenate(([True], key[1:] != key[:-1]))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(new) - 1
+        self.key, self.places = key[new], [place[lo:hi] for lo, hi in zip(at[:-1], at[1:])]
+        self.rest, self.fold = np.zeros(len(self.key), np.int64), np.zeros(len(self.key), np.int64)
+        for r, x in zip(rows, self.places):
             if r["rest"] is not None:
                 # a request names each key once
-                x = spread(r["rest"])
-                rest[group[lo:hi]] += x
-                every[group[lo:hi]] += x + spread(r["fold"])
-        out = []
-        if part % 2 == WORD:
-            out += [(None, part, None, int(every.sum()), int((every > 0).sum())), (None, -part - 1, None, int(rest.sum()), int((rest > 0).sum()))]
-        for r, lo, hi in zip(rows, at[:-1], at[1:]):
-            told = rest if r["rest"] is None else every
-            out.append((r["block"], part, squeeze(told[group[lo:hi]]), None, None))
-        for i in range(0, len(out), 200):
-            yield batch_of(out[i : i + 200], names, kinds)
-
-    held: list[dict] = []
-    for b in batches:
-        for r in rows_of(b):
-            if held and held[-1]["part"] != r["part"]:
-                yield from settle(held[-1]["part"], held)
-                held = []
-            held.append(r)
-    if held:
-        yield from settle(held[-1]["part"], held)
+                self.rest[x] += spread(r["rest"])
+                self.fold[x] += spread(r["fold"])
+
+
+JOINED = "far bigint, group string, part bigint, block string, keys binary, tails binary, rest binary, fold binary"
+
+
+def joined(ranges: int):
+    """A group's range asks the ranges of the corpus (far) once for each of its keys. The places of each block's keys go
+    along under negative numbers. Rows come sorted by group and part."""
+
+    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for rows in runs_of(batches, "group", "part"):
+            group, part = rows[0]["group"], rows[0]["part"]
+            whole = United(part % 2, rows)
+            aside = -1 - xxhash.xxh64_intdigest(f"{group} {part}") % (1 << 40)
+            for r, x in zip(rows, whole.places):
+                yield aside, group, part, r["block"], squeeze(np.diff(x, prepend=0)), None, None, None
+            for top, lo, hi in cut(part % 2, whole.key, ranges):
+                tails = whole.tail[lo:hi].tobytes() if part % 2 == WORD else None
+                told = (None, None) if group[0] == "f" else (squeeze(whole.rest[lo:hi]), squeeze(whole.fold[lo:hi]))
+                yield 2 * top + part % 2, group, part, None, differences(whole.key[lo:hi]), tails, *told
+
+    return lambda batches: batches_of(united(batches), ["far", "group", "part", "block", *KEYS], (pa.int64(), *ASKED_KINDS))
+
+
+ANSWER = "far bigint, group string, part bigint, block string, data binary, tokens bigint, types bigint"
+
+
+def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each request's counts in its own order; rows come sorted by far. A row without group holds the range's sums: of
+    all counts, and of those without the fold under the range's negative number. Places pass through."""
+
+    def settled() -> Iterator[tuple]:
+        # places are passed on one by one: only requests of a range are held together
+        rows = itertools.chain.from_iterable(map(rows_of, batches))
+        for far, run in itertools.groupby(rows, key=lambda r: r["far"]):
+            if far < 0:
+                for r in run:
+                    yield -1, r["group"], r["part"], r["block"], r["keys"], None, None
+                continue
+            held = list(run)
+            whole = United(far % 2, held)
+            every = whole.rest + whole.fold
+            if far % 2 == WORD:
+                for no, x in ((far, every), (-far - 1, whole.rest)):
+                    yield no, None, None, None, None, int(x.sum()), int((x > 0).sum())
+            for r, x in zip(held, whole.places):
+                yield far, r["group"], r["part"], None, squeeze((whole.rest if r["rest"] is None else every)[x]), None, None
+
+    names = ["far", "group", "part", "block", "data", "tokens", "types"]
+    yield from batches_of(settled(), names, (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.int64()))
+
+
+HANDED = "block string, part bigint, data binary"
+
+
+def handed_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A group's answers dealt to its blocks by the places of their keys; rows come sorted by group, part and far, places first."""
+
+    def dealt() -> Iterator[tuple]:
+        for rows in runs_of(batches, "group", "part"):
+            counts = np.concatenate([spread(r["data"]) for r in rows if r["block"] is None])
+            for r in rows:
+                if r["block"] is not None:
+                    yield r["block"], r["part"], squeeze(counts[np.cumsum(spread(r["data"]))])
+
+    yield from batches_of(dealt(), ["block", "part", "data"], (pa.string(), pa.int64(), pa.binary()))
 
 
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, np.ndarray, np.ndarray]]:
@@ -279,15 +351,8 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, np.ndarr
             found.append(count)
         return block, *found
 
-    held: list[dict] = []
-    for b in batches:
-        for r in rows_of(b):
-            if held and held[-1]["block"] != r["block"]:
-                yield out(held)
-                held = []
-            held.append(r)
-    if held:
-        yield out(held)
+    for rows in runs_of(batches, "block"):
+        yield out(rows)
 
 
 def context_bucket(c: np.ndarray) -> np.ndarray:
@@ -375,29 +440,39 @@ def score_rows(n: int, types: int, mix: np.ndarray):
     return run
 
 
+def requested(blocks: DataFrame, keys_per_range: int = KEYS_PER_RANGE) -> tuple[DataFrame, int, dict[str, int]]:
+    """The requests of blocks, united by group; the ranges that they go to; and the number of blocks of either kind."""
+    sizes = {r["kind"]: r for r in blocks.groupBy(F.substring("block", 1, 1).alias("kind")).agg(F.count("*").alias("n"), F.sum("n_tokens").alias("tokens")).collect()}
+    shapes = {kind: grouping(r["n"], r["tokens"], keys_per_range) for kind, r in sizes.items()}
+    ranges = max(4, sum(r["tokens"] for r in sizes.values()) // keys_per_range)
+    asked = blocks.mapInArrow(requests(shapes), ASKED)
+    by_group = asked.repartition(max(8, ranges // 4), "group", "part").sortWithinPartitions("group", "part")
+    return by_group.mapInArrow(joined(ranges), JOINED), ranges, {kind: r["n"] for kind, r in sizes.items()}
+
+
 def score_texts(docs: DataFrame, keys_per_range: int = KEYS_PER_RANGE) -> DataFrame:
     """SCORES of every row of docs (doc_id, text)."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     blocks = staged(rows.mapInArrow(pack, BLOCK))
-    count, volume = blocks.agg(F.count("*"), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
-    ranges = max(4, volume // keys_per_range)
-    asked = blocks.mapInArrow(requests(ranges), ASKED)
-    told = staged(asked.repartition(max(8, ranges // 4), "part").sortWithinPartitions("part").mapInArrow(answers, ANSWER))
+    asked, ranges, count = requested(blocks, keys_per_range)
+    parts = max(8, ranges // 4)
+    told = staged(asked.repartition(parts, "far").sortWithinPartitions("far").mapInArrow(answers, ANSWER))
 
     def totals(where: str) -> tuple[int, int]:
-        r = told.where(f"block is null and {where}").agg(F.sum("tokens"), F.sum("types")).first()
+        r = told.where(f"group is null and {where}").agg(F.sum("tokens"), F.sum("types")).first()
         return r[0] or 0, r[1] or 0
 
-    def answered(which: str) -> DataFrame:
-        """Blocks, each followed by its answers."""
-        mine = F.col("block").startswith(which)
-        whole = blocks.where(mine).select("block", F.lit(-1).cast("bigint").alias("part"), "ids", F.col("texts").alias("data"))
-        said = told.where(mine).select("block", "part", F.lit(None).cast("array<bigint>").alias("ids"), F.col("counts").alias("data"))
-        return whole.union(said).repartition(max(8, count // 4), "block").sortWithinPartitions("block", "part")
+    def answered(kind: str) -> DataFrame:
+        """Blocks of texts (a) or of the fold (f), each followed by its answers."""
+        by_group = told.where(F.col("group").startswith(kind)).select("group", "part", "far", "block", "data")
+        said = by_group.repartition(parts, "group", "part").sortWithinPartitions("group", "part", "far").mapInArrow(handed_on, HANDED)
+        said = said.select("block", "part", F.lit(None).cast("array<bigint>").alias("ids"), "data")
+        whole = blocks.where(F.col("block").startswith(kind)).select("block", F.lit(-1).cast("bigint").alias("part"), "ids", F.col("texts").alias("data"))
+        return whole.union(said).repartition(max(8, sum(count.values()) // 4), "block").sortWithinPartitions("block", "part")
 
-    n, types = totals("part < 0")
+    n, types = totals("far < 0")
     mix = learn(staged(answered("f").mapInArrow(fold_events(n), EVENTS)), types)
-    return answered("a").mapInArrow(score_rows(*totals("part >= 0"), mix), SCORES)
+    return answered("a").mapInArrow(score_rows(*totals("far >= 0"), mix), SCORES)
 
 
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
