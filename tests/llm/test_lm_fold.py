@@ -94,3 +94,5 @@ def test_keys_travel_as_differences():
     for bits in (8, 40, 64):
         x = lm.np.array(sorted(dice.randrange(1 << bits) for _ in range(50)), lm.U)
         assert (lm.sums(lm.differences(x)) == x).all() and (lm.sums(lm.differences(x[:1])) == x[:1]).all()
+    x = lm.np.array([7, 7, 9, 1 << 63, (1 << 64) - 1], lm.U)
+    assert (lm.sums(lm.differences(x)) == x).all()

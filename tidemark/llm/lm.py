@@ -75,18 +75,23 @@ def spread(b: bytes) -> np.ndarray:
 
 
 def differences(x: np.ndarray) -> bytes:
-    """Ascending uint64 numbers as the first one and the steps between them, in as few bytes each as the largest step takes."""
+    """Ascending uint64 numbers as the first one and the steps between them: the low bytes that the mean step fills as they
+    are, for they are random, and the planes of bytes above them by zlib."""
     steps = np.diff(x)
-    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
-    return bytes([width]) + x[:1].tobytes() + steps.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    n, top = len(steps), int(steps.max()) if len(steps) else 0
+    low, width = (int(x[-1] - x[0]) // max(n, 1)).bit_length() // 8, (top.bit_length() + 7) // 8
+    planes = steps.view(np.uint8).reshape(-1, 8)
+    return bytes([low]) + n.to_bytes(4, "little") + x[:1].tobytes() + planes[:, :low].tobytes() + zlib.compress(planes[:, low:width].T.tobytes(), 1)
 
 
 def sums(b: bytes) -> np.ndarray:
-    width = b[0]
-    steps = np.frombuffer(b, np.uint8, offset=9).reshape(-1, width)
-    whole = np.zeros((len(steps) + 1, 8), np.uint8)
-    whole[0] = np.frombuffer(b, np.uint8, 8, 1)
-    whole[1:, :width] = steps
+    low, n = b[0], int.from_bytes(b[1:5], "little")
+    whole = np.zeros((n + 1, 8), np.uint8)
+    whole[0] = np.frombuffer(b, np.uint8, 8, 5)
+    if n:
+        whole[1:, :low] = np.frombuffer(b, np.uint8, n * low, 13).reshape(n, low)
+        high = np.frombuffer(zlib.decompress(b[13 + n * low :]), np.uint8).reshape(-1, n)
+        whole[1:, low : low + len(high)] = high.T
     return np.cumsum(whole.view(U)[:, 0], dtype=U)
 
 
