@@ -30,6 +30,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.spans import touching, untouched_by_better
 from tidemark.llm.text import find_spans, joined_spans, let, read_table, row_key, text_of
 from tidemark.sources.staging import staged
 
@@ -126,11 +127,19 @@ def evidence(value: Column, kind: str) -> Column:
 def described(text: Column, kind: str, rank: int) -> Column:
     """Candidates of a generator: array of structs (rank, start, end, kind, holds, FEATURES)."""
 
-    def one(s: Column) -> Column:
-        value, start = s["value"], s["start"].cast("int")
+    def context(spans: Column, gaps: Column, i: Column) -> Column:
+        # of the text itself, substring would count code points from its start for every candidate; a candidate has
+        # 5 characters or more, so 5 of them with the gaps around them reach back far enough
+        near = F.transform(
+            F.sequence(F.greatest(i - 5, F.lit(0)), i),
+            lambda j: F.concat(F.right(F.get(gaps, j), F.lit(24)), F.when(j < i, F.get(spans, j)["value"]).otherwise("")),
+        )
+        after = F.concat(F.get(gaps, i + 1), F.coalesce(F.get(spans, i + 1)["value"], F.lit("")))
+        return F.struct(F.right(F.array_join(near, ""), F.lit(24)).alias("before"), F.left(after, F.lit(1)).alias("after"))
+
+    def one(s: Column, around: Column) -> Column:
+        value, before = s["value"], around["before"]
         shown = F.regexp_replace(value, r"^\+", "")
-        before = F.substring(text, F.greatest(start - 23, F.lit(1)), F.least(start, F.lit(24)))
-        around = F.concat(F.substring(text, F.greatest(start, F.lit(1)), F.least(start, F.lit(1))), F.substring(text, s["end"].cast("int") + 1, F.lit(1)))
         count = lambda p: F.length(F.regexp_replace(shown, p, "")).cast("double")
         groups = F.regexp_extract_all(shown, F.lit("[0-9]+"), F.lit(0))
         return F.struct(
@@ -144,14 +153,18 @@ def described(text: Column, kind: str, rank: int) -> Column:
             count("[^A-Za-z]").alias("n_letters"),
             count("[^ ]").alias("n_spaces"),
             value.contains("(").cast("double").alias("paren"),
-            around.rlike("[A-Za-z0-9]").cast("double").alias("glued"),
+            F.concat(F.right(before, F.lit(1)), around["after"]).rlike("[A-Za-z0-9]").cast("double").alias("glued"),
             _said(before, "mail|contact|write").alias("said_mail"),
             _said(before, "phone|tel|call|fax|mobil").alias("said_phone"),
             _said(before, "card|visa|credit|pay").alias("said_card"),
             _said(before, r"\bip\b|host|server|addr").alias("said_host"),
         )
 
-    return F.transform(find_spans(text, GENERATORS[kind]), one)
+    def each(spans: Column) -> Column:
+        gaps = F.split(F.when(F.size(spans) > 0, text), GENERATORS[kind], -1)
+        return let(gaps, lambda g: F.transform(spans, lambda s, i: let(context(spans, g, i), lambda c: one(s, c))))
+
+    return let(find_spans(text, GENERATORS[kind]), each)
 
 
 def _vectors(candidates: DataFrame) -> DataFrame:
@@ -204,9 +217,7 @@ def find_pii(docs: DataFrame, sample: int = SAMPLE, precision: float = 0.9) -> D
     listed = F.concat(*[described(F.col("t"), k, i).cast(shape) for i, k in enumerate(KINDS)])
     found = staged(rows.select("doc_id", "key", *plain, listed.alias("candidates")))
     own = F.concat(*KINDS)
-    touches = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    each = found.where(F.size("candidates") > 0).select("key", own.alias("own"), F.explode("candidates").alias("c"))
-    each = each.select("key", "c.*", F.exists("own", lambda b: touches(b, F.col("c"))).alias("taken"))
+    each = found.where(F.size("candidates") > 0).select("key", F.explode("candidates").alias("c")).select("key", "c.*")
     model = fitted(each, sample)
     done = found.select("doc_id", "key", *KINDS)
     least = thresholds(scored(each.where(held_back()), model), precision) if model else {}
@@ -214,11 +225,14 @@ def find_pii(docs: DataFrame, sample: int = SAMPLE, precision: float = 0.9) -> D
         done = done.withColumn("added", F.array().cast(f"array<{ROW}>"))
     else:
         good = functools.reduce(lambda a, b: a | b, [(F.col("rank") == k) & (F.col("p") >= t) for k, t in least.items()])
-        chosen = scored(each.where(F.col("holds") & ~F.col("taken")), model).where(good)
-        chosen = chosen.groupBy("key").agg(F.collect_set(F.struct((-F.col("p")).alias("q"), "rank", "start", "end", "kind")).alias("c"))
+        chosen = scored(each.where("holds"), model).where(good).select("key", "rank", "start", "end", (-F.col("p")).alias("q"))
+        plainly = found.select("key", F.inline(own)).select("key", F.lit(-1).alias("rank"), "start", "end", F.lit(None).cast("double").alias("q"))
+        apart = chosen.unionByName(plainly).distinct().withColumn("taken", touching(F.col("rank") < 0)).where("rank >= 0 and not taken").drop("taken")
         # of candidates that touch, the one with the better score stays
-        best = let(F.array_sort("c"), lambda c: F.filter(c, lambda x, i: ~F.exists(F.slice(c, F.lit(1), i), lambda y: touches(x, y))))
-        added = F.transform(best, lambda x: F.struct(x["rank"].alias("rank"), x["start"].alias("start"), x["end"].alias("end"), F.concat(F.lit("likely_"), x["kind"]).alias("kind")))
+        best = untouched_by_better(apart, range(len(KINDS)))
+        kind = F.element_at(F.array(*[F.lit(f"likely_{k}") for k in KINDS]), F.col("rank") + 1)
+        chosen = best.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("q", "rank", "start", "end", kind.alias("kind")))).alias("c"))
+        added = F.transform("c", lambda x: F.struct(x["rank"].alias("rank"), x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))
         done = done.join(chosen.select("key", added.cast(f"array<{ROW}>").alias("added")), "key", "left")
         done = done.withColumn("added", F.coalesce("added", F.array().cast(f"array<{ROW}>")))
     return done.select(

@@ -11,7 +11,7 @@ The link is an interval join. Each part is a point where it starts, for partners
 where it ends, for partners behind it; points are binned by offset and each bin keeps its least and
 greatest point of each class. Of the bin that a part's edge lies in and the bin beyond, the extremes
 decide exactly whether a point is in scope. A bin gives one row however many parts it holds, so no
-pairs are enumerated.
+pairs are enumerated; which parts touch is found in passes over the sorted parts of a text (`spans.py`).
 
 Defined results: null or empty text finds nothing; a null doc_id is kept as null; repeated rows each
 get their result; an empty table gives an empty result; extra columns of the input are ignored,
@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.spans import touching
 from tidemark.llm.text import TAGGED, find_spans, joined_spans, read_table, row_key, tagged, text_of
 
 KINDS = ("assign", "access", "hex")
@@ -46,45 +47,31 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-def _apart(spans: Column, others: Column) -> Column:
-    """The spans that touch none of the others."""
-    return F.filter(spans, lambda s: ~F.exists(others, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])))
-
-
 def _parts(docs: DataFrame) -> DataFrame:
     """One row per part of docs (key, t): key, kind (id, secret, endpoint), weak, inside (an endpoint), rank, start, end."""
     t = F.col("t")
     # only texts with a weak part that could be reported need linking
     rows = docs.where(t.rlike(WEAK_ID) | t.rlike(WEAK_SECRET))
     base = base_spans(t)
-    rows = rows.select(
-        "key",
-        tagged(base["access"], "id", 1).alias("ids"),
-        tagged(F.concat(base["assign"], base["hex"]), "secret", 0).alias("secrets"),
-        tagged(find_spans(t, WEAK_ID), "id", 3).alias("weak_ids"),
-        tagged(find_spans(t, WEAK_SECRET), "secret", 4).alias("weak_secrets"),
-        tagged(find_spans(t, ENDPOINT), "endpoint", 5).alias("endpoints"),
-    )
-    rows = rows.withColumn("weak_ids", _apart("weak_ids", F.concat("ids", "secrets")))
-    rows = rows.withColumn("weak_secrets", _apart("weak_secrets", F.concat("ids", "secrets", "weak_ids")))
-    free = _apart("weak_secrets", F.col("endpoints"))
-    rows = rows.withColumn("free", F.transform(free, lambda s: s["start"]))
-
-    def marked(spans: str, weak: bool, inside=lambda s: F.lit(False)) -> Column:
-        more = F.transform(spans, lambda s: s.withField("weak", F.lit(weak)).withField("inside", inside(s)))
-        return more.cast(f"{TAGGED[:-2]},weak:boolean,inside:boolean>>")
-
     every = F.concat(
-        *[marked(c, False) for c in ("ids", "secrets", "endpoints")],
-        marked("weak_ids", True),
-        marked("weak_secrets", True, lambda s: ~F.array_contains("free", s["start"])),
+        tagged(base["access"], "id", 1).cast(TAGGED),
+        tagged(F.concat(base["assign"], base["hex"]), "secret", 0).cast(TAGGED),
+        tagged(find_spans(t, WEAK_ID), "id", 3).cast(TAGGED),
+        tagged(find_spans(t, WEAK_SECRET), "secret", 4).cast(TAGGED),
+        tagged(find_spans(t, ENDPOINT), "endpoint", 5).cast(TAGGED),
     )
-    return rows.select("key", F.inline(every))
+    parts = rows.select("key", F.inline(every)).distinct()
+    rank = F.col("rank")
+    # weak ids beside the base spans; then tokens beside both; then tokens within endpoints
+    parts = parts.withColumn("met", touching(rank < 3)).where((rank != 3) | ~F.col("met"))
+    parts = parts.withColumn("met", touching(rank < 4)).where((rank != 4) | ~F.col("met"))
+    parts = parts.withColumn("inside", (rank == 4) & touching(rank == 5))
+    return parts.select("key", "kind", rank.isin(3, 4).alias("weak"), "inside", "rank", "start", "end")
 
 
 def linked_parts(docs: DataFrame, scope: int) -> DataFrame:
     """Weak parts with a complementary part in scope: key, linked (array of tagged spans). docs: key, t."""
-    parts = _parts(docs).distinct()
+    parts = _parts(docs)
     edges = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.col(at).alias("pos")) for side, at in (("behind", "start"), ("before", "end"))]))
     points = parts.select("key", F.col("kind").alias("partner"), edges.alias("e")).select("key", "partner", "e.side", "e.pos")
     bins = points.groupBy("key", "side", "partner", F.floor(F.col("pos") / scope).alias("bin")).agg(
