@@ -103,12 +103,12 @@ def _stripped(c: str) -> Column:
 
 def _digits(c: str) -> Column:
     """The digits of a whole number (a fraction of zeros may follow) without leading zeros, or null."""
-    return F.nullif(F.regexp_extract(_stripped(c), r"\A0*([0-9]+)(?:\.0+)?\z", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(F.coalesce(F.col(c), F.lit("")), r"\A\s*0*([0-9]+)(?:\.0+)?\s*\z", 1), F.lit(""))
 
 
 def _within(c: str, windows: list[tuple[str, str]]) -> Column:
-    """Whether the raw date text lies in one of the ranges [from, to)."""
-    t = _stripped(c)
+    """Whether a stripped date text lies in one of the ranges [from, to)."""
+    t = F.col(c)
     return functools.reduce(lambda x, y: x | y, [(t >= lo) & (t < hi) for lo, hi in windows], F.lit(False))
 
 
@@ -120,47 +120,54 @@ def source_events(inspections: DataFrame, crashes: DataFrame, windows: dict[str,
     """
     from tidemark.functions import parse
 
-    day = lambda c: parse.source_date(_stripped(c))
-    known = lambda c: F.date_add(parse.source_timestamp(_stripped(c)).cast("date"), 1)
+    known = lambda c: F.date_add(parse.source_timestamp(F.col(c)).cast("date"), 1)
+    # values that several rules read are made once, as columns of a step of their own
+    stripped = lambda df, *names: df.withColumns({n: _stripped(n) for n in names})
     zero = F.lit(0).cast("bigint")
 
     def first(**broken: Column) -> Column:
         return F.coalesce(*[F.when(F.coalesce(c, F.lit(True)), F.lit(n.rstrip("_"))) for n, c in broken.items()])
 
-    i = inspections.where(_within("insp_date", windows["inspections"]))
-    changed = _stripped("change_date")
+    i = stripped(inspections, "insp_date", "mcmis_add_date", "change_date").where(_within("insp_date", windows["inspections"]))
+    i = i.select(
+        "change_date", _digits("inspection_id").alias("source_key"), _digits("dot_number").alias("usdot_number"), parse.source_date(F.col("insp_date")).alias("event_date"),
+        known("mcmis_add_date").alias("reported_date"), _digits("viol_total").alias("viol_total"), _digits("oos_total").alias("oos_total"),
+    )
     why_i = first(
-        invalid_inspection_integer=_digits("inspection_id").isNull() | _digits("dot_number").isNull(),
-        invalid_inspection_identity=(_digits("inspection_id") == "0") | (_digits("dot_number") == "0"),
-        invalid_event_date=day("insp_date").isNull(),
-        invalid_source_add_at=known("mcmis_add_date").isNull(),
-        impossible_event_chronology=known("mcmis_add_date") < day("insp_date"),
-        invalid_source_add_at_=(changed != "") & parse.source_timestamp(changed).isNull(),
-        invalid_inspection_integer_=_digits("viol_total").isNull() | _digits("oos_total").isNull(),
+        invalid_inspection_integer=F.col("source_key").isNull() | F.col("usdot_number").isNull(),
+        invalid_inspection_identity=(F.col("source_key") == "0") | (F.col("usdot_number") == "0"),
+        invalid_event_date=F.col("event_date").isNull(),
+        invalid_source_add_at=F.col("reported_date").isNull(),
+        impossible_event_chronology=F.col("reported_date") < F.col("event_date"),
+        invalid_source_add_at_=(F.col("change_date") != "") & parse.source_timestamp(F.col("change_date")).isNull(),
+        invalid_inspection_integer_=F.col("viol_total").isNull() | F.col("oos_total").isNull(),
     )
     i = i.select(
-        F.lit("inspection").alias("event_type"), _digits("inspection_id").alias("source_key"), _digits("dot_number").alias("usdot_number"),
-        day("insp_date").alias("event_date"), known("mcmis_add_date").alias("reported_date"), _digits("viol_total").try_cast("bigint").alias("violation_count"),
-        _digits("oos_total").try_cast("bigint").alias("oos_violation_count"), F.lit(False).alias("federal_recordable"), why_i.alias("why"),
+        F.lit("inspection").alias("event_type"), "source_key", "usdot_number", "event_date", "reported_date", F.col("viol_total").try_cast("bigint").alias("violation_count"),
+        F.col("oos_total").try_cast("bigint").alias("oos_violation_count"), F.lit(False).alias("federal_recordable"), why_i.alias("why"),
+    )
+    c = stripped(crashes, "report_date", "add_date", "report_state", "report_number", "report_time", "federal_recordable", "crash_id", "report_seq_no")
+    c = c.where(_within("report_date", windows["crashes"])).withColumns(
+        {
+            "usdot_number": _digits("dot_number"), "event_date": parse.source_date(F.col("report_date")), "reported_date": known("add_date"),
+            "clock": F.when(F.col("report_time").rlike(r"\A[0-9]+\z"), F.col("report_time").try_cast("int")), "told": F.lower("federal_recordable"),
+        }
     )
-    c = crashes.where(_within("report_date", windows["crashes"]))
-    state, number, at, told = (_stripped(x) for x in ("report_state", "report_number", "report_time", "federal_recordable"))
-    clock = F.when(at.rlike(r"\A[0-9]+\z"), at.try_cast("int"))
+    clock = F.col("clock")
     yes, no = ("y", "yes", "1", "true"), ("n", "no", "0", "false", "")
     why_c = first(
-        invalid_usdot_number=F.coalesce(_digits("dot_number"), F.lit("0")) == "0",
-        invalid_event_date=day("report_date").isNull(),
-        invalid_source_add_at=known("add_date").isNull(),
-        impossible_event_chronology=known("add_date") < day("report_date"),
-        invalid_incident_key=(state == "") | (number == "") | clock.isNull() | (clock > 2359) | (clock % 100 > 59),
-        invalid_federal_recordable=~F.lower(told).isin(*yes, *no),
-        missing_source_record_key=(_stripped("crash_id") == "") & ~_stripped("report_seq_no").rlike(r"\A[0-9]+\z"),
+        invalid_usdot_number=F.coalesce("usdot_number", F.lit("0")) == "0",
+        invalid_event_date=F.col("event_date").isNull(),
+        invalid_source_add_at=F.col("reported_date").isNull(),
+        impossible_event_chronology=F.col("reported_date") < F.col("event_date"),
+        invalid_incident_key=(F.col("report_state") == "") | (F.col("report_number") == "") | clock.isNull() | (clock > 2359) | (clock % 100 > 59),
+        invalid_federal_recordable=~F.col("told").isin(*yes, *no),
+        missing_source_record_key=(F.col("crash_id") == "") & ~F.col("report_seq_no").rlike(r"\A[0-9]+\z"),
     )
-    key = F.to_json(F.array(state, number, F.date_format(day("report_date"), "yyyy-MM-dd"), clock.cast("string")))
+    key = F.to_json(F.array("report_state", "report_number", F.date_format("event_date", "yyyy-MM-dd"), clock.cast("string")))
     c = c.select(
-        F.lit("crash").alias("event_type"), key.alias("source_key"), _digits("dot_number").alias("usdot_number"),
-        day("report_date").alias("event_date"), known("add_date").alias("reported_date"), zero.alias("violation_count"), zero.alias("oos_violation_count"),
-        F.lower(told).isin(*yes).alias("federal_recordable"), why_c.alias("why"),
+        F.lit("crash").alias("event_type"), key.alias("source_key"), "usdot_number", "event_date", "reported_date", zero.alias("violation_count"),
+        zero.alias("oos_violation_count"), F.col("told").isin(*yes).alias("federal_recordable"), why_c.alias("why"),
     )
     late = F.when(F.col("reported_date") >= F.lit(data_as_of).cast("date"), F.lit("not_visible_at_acquisition"))
     both = i.unionByName(c).withColumn("why", F.coalesce("why", late))
