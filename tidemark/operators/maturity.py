@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 from datetime import date, timedelta
 
@@ -29,6 +30,26 @@ def missing_carriers(versions: DataFrame, data_as_of: date) -> DataFrame:
     )
 
 
+def _whole() -> Column:
+    """Whether an incident's identity is complete."""
+    whole = F.col("usdot_number").rlike(r"\A[1-9][0-9]*\z")
+    for c in ("report_state", "report_number", "report_time"):
+        whole = whole & (F.coalesce(F.col(c).cast("string"), F.lit("")) != "")
+    return whole
+
+
+def _refuse(broken: tuple) -> None:
+    for found, what in zip(broken, ("a report is dated before its event", "two first versions of a source key differ", "an incident lacks a part of its identity, or its carrier number is not canonical"), strict=True):
+        if found:
+            raise ValueError(what)
+
+
+def _best() -> Column:
+    """Of an incident's earliest versions the least is the one that is taken."""
+    rank = F.when(F.col("federal_recordable") & ~F.col("is_deleted"), 0).when(~F.col("is_deleted"), 1).otherwise(2)
+    return F.struct("knowledge_valid_from", rank.alias("rank"), "reported_date", "source_record_key", "federal_recordable", "is_deleted")
+
+
 def first_incidents(versions: DataFrame, data_as_of: date) -> DataFrame:
     """One row for each incident: the version that first made it known.
 
@@ -47,16 +68,9 @@ def first_incidents(versions: DataFrame, data_as_of: date) -> DataFrame:
     )
     clash = ~F.struct(*[F.col("first")[c] for c in content]).eqNullSafe(F.struct(*[F.col("other")[c] for c in content]))
     own = staged(both.select("source_record_key", "first.*", "backwards", clash.alias("clash")))
-    whole = F.col("usdot_number").rlike(r"\A[1-9][0-9]*\z")
-    for c in ("report_state", "report_number", "report_time"):
-        whole = whole & (F.coalesce(F.col(c).cast("string"), F.lit("")) != "")
-    broken = own.agg(F.max("backwards"), F.max("clash"), F.max(F.col("usdot_number").isNotNull() & ~whole)).first()
-    for found, what in zip(broken, ("a report is dated before its event", "two first versions of a source key differ", "an incident lacks a part of its identity, or its carrier number is not canonical"), strict=True):
-        if found:
-            raise ValueError(what)
-    rank = F.when(F.col("federal_recordable") & ~F.col("is_deleted"), 0).when(~F.col("is_deleted"), 1).otherwise(2)
-    rest = ("federal_recordable", "is_deleted")
-    best = F.min(F.struct("knowledge_valid_from", rank.alias("rank"), "reported_date", "source_record_key", *rest)).alias("best")
+    whole = _whole()
+    _refuse(own.agg(F.max("backwards"), F.max("clash"), F.max(F.col("usdot_number").isNotNull() & ~whole)).first())
+    best, rest = F.min(_best()).alias("best"), ("federal_recordable", "is_deleted")
     chosen = own.where("usdot_number is not null").groupBy(*INCIDENT).agg(best)
     return chosen.select("best.source_record_key", *INCIDENT, "best.reported_date", "best.knowledge_valid_from", *[f"best.{c}" for c in rest])
 
@@ -70,6 +84,46 @@ def cohort_lags(incidents: DataFrame, data_as_of: date) -> DataFrame:
     return rows.join(F.broadcast(months), "event_month").groupBy("event_month", "lag_days").agg(F.count("*").alias("n"))
 
 
+def measured_lags(versions: DataFrame, measured: list[tuple[date, int]]) -> DataFrame:
+    """data_as_of, event_month, lag_days, n: `cohort_lags` of `first_incidents` for each (day, days by which reports come later), in one pass.
+
+    A record's versions meet once for all measurements, as a list (of few). Incidents outside a measurement's cohorts are only
+    checked: they fall into one group before anything is moved. The result is a histogram.
+    """
+    spark, content = versions.sparkSession, (*INCIDENT, "reported_date", "federal_recordable", "is_deleted")
+    told = F.collect_list(F.struct("knowledge_valid_from", *content)).alias("told")
+    days = F.explode(F.array(*[F.struct(F.lit(d).alias("data_as_of"), F.lit(n).alias("late")) for d, n in measured]))
+    keyed = versions.where("event_date is not null").groupBy("source_record_key").agg(told).select("*", days.alias("m")).select("source_record_key", "told", "m.*")
+
+    def known(v: Column) -> Column:
+        return (F.to_date(v["knowledge_valid_from"] + F.make_dt_interval("late")) <= F.col("data_as_of")) & (F.date_add(v["reported_date"], F.col("late")) <= F.col("data_as_of"))
+
+    def backwards(v: Column) -> Column:
+        return known(v) & (F.date_add(v["reported_date"], F.col("late")) < v["event_date"])
+
+    # most records have one version, for which no list has to be looked through
+    alone, only, seen = F.size("told") == 1, F.get("told", F.lit(0)), F.filter("told", known)
+    earliest = F.filter(seen, lambda v: v["knowledge_valid_from"] == F.array_min(seen)["knowledge_valid_from"])
+    own = keyed.select(
+        "source_record_key", "data_as_of", "late", F.when(alone, F.when(known(only), only)).otherwise(F.array_min(seen)).alias("first"),
+        F.when(alone, backwards(only)).otherwise(F.exists("told", backwards)).alias("backwards"),
+        F.when(alone, F.lit(False)).otherwise(~F.array_min(earliest).eqNullSafe(F.array_max(earliest))).alias("clash"),
+    )
+    own = own.where("first is not null").select("source_record_key", "data_as_of", "late", "backwards", "clash", "first.*")
+    own = own.withColumns({"reported_date": F.date_add("reported_date", F.col("late")), "event_month": F.trunc("event_date", "MM")})
+    cohorts = [cohort_months(spark, d, COHORTS, GRACE_MONTHS).select("event_month", F.lit(d).alias("data_as_of"), F.lit(True).alias("mature")) for d, _ in measured]
+    own = own.join(F.broadcast(functools.reduce(DataFrame.unionByName, cohorts)), ["data_as_of", "event_month"], "left")
+    mine = F.col("mature").isNotNull() & F.col("usdot_number").isNotNull()
+    guards = {"backwards": F.col("backwards"), "clash": F.col("clash"), "partial": F.col("usdot_number").isNotNull() & ~_whole()}
+    by = ("data_as_of", mine.alias("mine"), *[F.when(mine, F.col(c)).alias(c) for c in INCIDENT])
+    chosen = own.groupBy(*by).agg(F.min(_best()).alias("best"), *[F.max(g).alias(n) for n, g in guards.items()])
+    counted = F.col("mine") & F.col("best.federal_recordable") & ~F.col("best.is_deleted")
+    month, lag = F.when(counted, F.trunc("event_date", "MM")), F.when(counted, F.datediff("best.reported_date", "event_date"))
+    found = staged(chosen.groupBy("data_as_of", month.alias("event_month"), lag.alias("lag_days")).agg(F.count("*").alias("n"), *[F.max(n).alias(n) for n in guards]))
+    _refuse(found.agg(*[F.max(n) for n in guards]).first())
+    return found.where("event_month is not null").select("data_as_of", "event_month", "lag_days", "n")
+
+
 def cohort_quantiles(histogram: DataFrame) -> DataFrame:
     """event_month, incident_count, p995_days (linear between ranks)."""
     return histogram.groupBy("event_month").agg(
