@@ -62,9 +62,12 @@ def lag_profile(rows: DataFrame, manifests: DataFrame, exact: bool = False) -> D
 
 def dense_histogram(rows: DataFrame) -> DataFrame:
     """feed, lag_bucket, n with a zero for buckets that no row falls into."""
-    at = lags(rows)
-    every = at.select("feed").distinct().withColumn("lag_bucket", F.explode(F.array(*[F.lit(b) for b in parse.LAG_BUCKETS])))
-    found = at.groupBy("feed", parse.lag_bucket(F.col("lag_days")).alias("lag_bucket")).agg(F.count("*").alias("n"))
+    # pairs of date texts repeat, so they are counted first and each is parsed once; a pair without a lag has no bucket
+    pairs = parsed(rows.groupBy("feed", "raw_event_date", "raw_source_add_at").agg(F.count("*").alias("n")))
+    days = F.when(F.col("reported_date") >= F.col("event_date"), F.datediff("reported_date", "event_date"))
+    # staged, as it is read twice; a row a bucket
+    found = staged(pairs.groupBy("feed", parse.lag_bucket(days).alias("lag_bucket")).agg(F.sum("n").alias("n"))).where("lag_bucket is not null")
+    every = found.select("feed").distinct().withColumn("lag_bucket", F.explode(F.array(*[F.lit(b) for b in parse.LAG_BUCKETS])))
     return every.join(found, ["feed", "lag_bucket"], "left").select("feed", "lag_bucket", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
